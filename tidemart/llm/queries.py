@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.llm import sketch, url_filter
 from tidemart.llm.common import table
 
 
@@ -28,6 +29,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op7_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.sketch import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.packing import pack
 
@@ -43,8 +56,10 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op4_url_filter": op4_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_scaled_sketch": op7_scaled_sketch,
     "op8_media_columns": op8_media_columns,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_url_filter": url_filter.sql(), "op7_scaled_sketch": sketch.SQL}
