@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import sketch, url_filter
+from tidemart.llm import sketch, url_filter, warc
 from tidemart.llm.common import table
 
 
@@ -29,6 +29,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.warc import archive_index
+
+    index = archive_index(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.url_filter import judge
 
@@ -56,10 +63,11 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_warc_index": op3_warc_index,
     "op4_url_filter": op4_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_scaled_sketch": op7_scaled_sketch,
     "op8_media_columns": op8_media_columns,
 }
 
-ORACLES: dict[str, str] = {"op4_url_filter": url_filter.sql(), "op7_scaled_sketch": sketch.SQL}
+ORACLES: dict[str, str] = {"op3_warc_index": warc.SQL, "op4_url_filter": url_filter.sql(), "op7_scaled_sketch": sketch.SQL}
