@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import sketch, url_filter, warc
+from tidemart.llm import shingle_join, sketch, url_filter, warc
 from tidemart.llm.common import table
 
 
@@ -23,6 +23,12 @@ def byte_bpe() -> tuple[str, str, str]:
     return tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.shingle_join import similar_rows
+
+    return similar_rows(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.token_count import count_tokens
 
@@ -62,6 +68,7 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_shingle_join": op1_shingle_join,
     "op2_token_counts": op2_token_counts,
     "op3_warc_index": op3_warc_index,
     "op4_url_filter": op4_url_filter,
@@ -70,4 +77,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_media_columns": op8_media_columns,
 }
 
-ORACLES: dict[str, str] = {"op3_warc_index": warc.SQL, "op4_url_filter": url_filter.sql(), "op7_scaled_sketch": sketch.SQL}
+ORACLES: dict[str, str] = {"op1_shingle_join": shingle_join.SQL, "op3_warc_index": warc.SQL, "op4_url_filter": url_filter.sql(), "op7_scaled_sketch": sketch.SQL}
