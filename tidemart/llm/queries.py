@@ -67,6 +67,16 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("feature", feature_text()).drop("fp_times", "fp_hashes")
 
 
+#: Target weights of the mixture: the large source twice the share of each other.
+WEIGHTS = {"src0": 2.0}
+
+
+def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.mixing import schedule
+
+    return schedule(table(spark, sf_dir, "documents"), weights=WEIGHTS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shingle_join": op1_shingle_join,
     "op2_token_counts": op2_token_counts,
@@ -75,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_scaled_sketch": op7_scaled_sketch,
     "op8_media_columns": op8_media_columns,
+    "op9_mixture": op9_mixture,
 }
 
 ORACLES: dict[str, str] = {"op1_shingle_join": shingle_join.SQL, "op3_warc_index": warc.SQL, "op4_url_filter": url_filter.sql(), "op7_scaled_sketch": sketch.SQL}
