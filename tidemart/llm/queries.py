@@ -54,6 +54,13 @@ def op7_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.toxicity import learn, scored
+
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.packing import pack
 
@@ -82,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_warc_index": op3_warc_index,
     "op4_url_filter": op4_url_filter,
+    "op5_toxicity": op5_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_scaled_sketch": op7_scaled_sketch,
     "op8_media_columns": op8_media_columns,
