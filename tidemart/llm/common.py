@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
@@ -56,3 +57,13 @@ def text_of(column: str):
 def held_out(doc_id, folds: int, fold: int):
     """Rows whose labels no model may learn from: crc32 of the id as text falls in ``fold``."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+def score_of(score, column: str):
+    """``score(text)`` as a column, in Arrow batches."""
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        return texts.map(score).astype("float64")
+
+    return scored(F.col(column))

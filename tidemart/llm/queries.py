@@ -84,6 +84,13 @@ def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule(table(spark, sf_dir, "documents"), weights=WEIGHTS)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.quality import learn, scored
+
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shingle_join": op1_shingle_join,
     "op2_token_counts": op2_token_counts,
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_scaled_sketch": op7_scaled_sketch,
     "op8_media_columns": op8_media_columns,
     "op9_mixture": op9_mixture,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {"op1_shingle_join": shingle_join.SQL, "op3_warc_index": warc.SQL, "op4_url_filter": url_filter.sql(), "op7_scaled_sketch": sketch.SQL}

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.common import field, held_out, text_of, written
+from tidemart.llm.common import field, held_out, score_of, text_of, written
 
 # Letters of other scripts that look like Latin ones, and what digits and signs stand for.
 HOMOGLYPHS = dict(zip("аеорсхуіјѕһԁӏԛԝαεικνορτυχ", "aeopcxyijshdlqwaeikvoptux"))
@@ -201,15 +201,4 @@ def scored(df: DataFrame, lexicon: Lexicon, folds: int = 5, fold_: int = 0, id_c
 
 def harmless(df: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
     """The rows whose texts score under one half; all columns are kept, and clashing names are no matter."""
-    score = _score_udf(lexicon)
-    return df.where(score(F.col(text_col)) < 0.5)
-
-
-def _score_udf(lexicon: Lexicon):
-    import pandas as pd
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return texts.map(lexicon.score).astype("float64")
-
-    return score
+    return df.where(score_of(lexicon.score, text_col) < 0.5)
