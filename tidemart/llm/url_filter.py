@@ -12,25 +12,22 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _rest(url: Column) -> Column:
-    """What follows the first ``://``; empty if there is none."""
-    at = F.instr(url, "://")
-    return F.when(at > 0, url.substr(at + 3, F.length(url))).otherwise("")
-
-
 def host_of(url: Column) -> Column:
-    return F.translate(F.regexp_extract(_rest(url), r"^([^/?#]*)", 1), UPPER, LOWER)
+    """After the first ``://``; empty if there is none."""
+    return F.translate(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), UPPER, LOWER)
 
 
 def path_of(url: Column) -> Column:
-    return F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1)
+    return F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def key_of(url: Column) -> Column:
-    """A URL's identity: host, path (``/`` if empty) and query, without scheme and fragment; null if it has no host."""
-    host, path = host_of(url), path_of(url)
-    query = F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)", 1)
-    return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(path), query))
+def with_key(df: DataFrame, url_col: str, name: str) -> DataFrame:
+    """``name``: a URL's identity, host, path (``/`` if empty) and query, without scheme and fragment; null without a host."""
+    url = F.col(url_col)
+    query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
+    parts = df.withColumns({"_host": host_of(url), "_path": path_of(url), "_query": query})
+    path = F.when(F.col("_path") == "", "/").otherwise(F.col("_path"))
+    return parts.withColumn(name, F.when(F.col("_host") != "", F.concat("_host", path, "_query"))).drop("_host", "_path", "_query")
 
 
 def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
@@ -50,28 +47,27 @@ def verdict_of(rule: Column, rules=RULES) -> Column:
     return out
 
 
-def _resolved(target: Column, url: Column) -> Column:
-    """A link's target as an absolute URL."""
-    scheme = F.regexp_extract(url, r"^([^:/?#]*):", 1)
-    site = F.concat(scheme, F.lit("://"), host_of(url))
-    folder = F.regexp_extract(path_of(url), r"^(.*/)", 1)
-    return (
-        F.when(target == "", None)
-        .when(target.contains("://"), target)
-        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(site, target))
-        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), target))
-    )
-
-
 def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(url, target) for each canonical link and refresh redirect in the pages' markup."""
     html, url = F.col(html_col), F.col(url_col)
     canonical = F.regexp_extract(html, r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
     refresh = F.regexp_extract(html, r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    target = F.explode(F.array(canonical, refresh))
-    found = pages.select(url.alias("url"), target.alias("_target")).where(F.col("_target") != "")
-    return found.select("url", _resolved(F.col("_target"), F.col("url")).alias("target"))
+    scheme, folder = F.regexp_extract(url, r"^([^:/?#]*):", 1), F.regexp_extract(path_of(url), r"^(.*/)", 1)
+    found = pages.select(
+        url.alias("url"),
+        scheme.alias("_scheme"),
+        F.concat(scheme, F.lit("://"), host_of(url)).alias("_site"),
+        folder.alias("_folder"),
+        F.explode(F.array(canonical, refresh)).alias("_target"),
+    ).where(F.col("_target") != "")
+    target = F.col("_target")
+    resolved = (
+        F.when(target.contains("://"), target)
+        .when(target.startswith("//"), F.concat("_scheme", F.lit(":"), target))
+        .when(target.startswith("/"), F.concat("_site", target))
+        .otherwise(F.concat("_site", F.when(F.col("_folder") == "", "/").otherwise(F.col("_folder")), target))
+    )
+    return found.select("url", resolved.alias("target"))
 
 
 def judge(
@@ -92,10 +88,7 @@ def judge(
     links = alias_links(pages, url_col, html_col)
     if redirects is not None:
         links = links.unionByName(redirects.select("url", "target"))
-    links = written(
-        links.select("url", "target", key_of(F.col("url")).alias("a"), key_of(F.col("target")).alias("b")).where("a <> b"),
-        "links",
-    )
+    links = written(with_key(with_key(links, "url", "a"), "target", "b").where("a <> b"), "links")
     groups = connected_components(links, "a", "b")
     nodes = links.select(F.col("a").alias("node"), "url").union(links.select("b", "target")).distinct()
     ruled = nodes.withColumn("said", verdict_of(matching_rule(host_of(F.col("url")), path_of(F.col("url")), rules), rules))
@@ -107,10 +100,13 @@ def judge(
     spread = groups.join(decided, "component").select(
         F.col("node").alias("_key"), F.when(F.col("allow") == 1, "allow").when(F.col("block") == 1, "block").alias("_spread")
     )
-    own = pages.select(
-        id_col, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), key_of(F.col(url_col)).alias("_key")
+    own = with_key(pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url")), "_url", "_key")
+    own = own.select(
+        F.col("_id").alias(id_col),
+        F.coalesce(host_of(F.col("_url")), F.lit("")).alias("host"),
+        F.coalesce(path_of(F.col("_url")), F.lit("")).alias("path"),
+        "_key",
     )
-    own = own.withColumns({c: F.coalesce(c, F.lit("")) for c in ("host", "path")})
     own = own.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
     return own.join(spread, "_key", "left").select(
         id_col,
