@@ -93,6 +93,11 @@ def fine_avg(x: Name) -> Column:
     return fine_sum(x) / F.count(col(x))
 
 
+def fraction_avg(x: Name) -> Column:
+    """The mean of ratios around one, exact to twelve decimals."""
+    return F.sum(col(x).cast("decimal(24,12)")).cast("double") / F.count(col(x))
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, null where b is zero."""
     return a / F.nullif(b, F.lit(0).cast("double"))

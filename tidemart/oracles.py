@@ -281,7 +281,7 @@ with sums as (
   select date_key, product_key, store_key, count(*) as transaction_count, cast(sum(quantity_sold) as bigint) as total_quantity_sold,
     {money('gross_sales_amount')} as total_gross_sales, {money('discount_amount')} as total_discount_amount, {money('net_sales_amount')} as total_net_sales,
     {money('cost_amount')} as total_cost_amount, {money('profit_amount')} as total_profit_amount,
-    {money('net_sales_amount')} / count(net_sales_amount) as avg_transaction_size, {fine('profit_margin_pct')} / count(profit_margin_pct) as avg_profit_margin_pct,
+    {money('net_sales_amount')} / count(net_sales_amount) as avg_transaction_size, cast(sum(cast(profit_margin_pct as decimal(24,12))) as double) / count(profit_margin_pct) as avg_profit_margin_pct,
     count(distinct customer_key) as unique_customers, {_count('discount_pct > 0', 'discounted_transactions')},
     {_count("transaction_size_category in ('LARGE', 'EXTRA_LARGE')", 'large_transactions')}, {_count("quantity_category = 'BULK_PURCHASE'", 'bulk_purchases')},
     avg(data_quality_score) as avg_data_quality_score, {_count("data_source = 'STREAMING'", 'streaming_transactions')},

@@ -223,7 +223,7 @@ def fact_sales_daily(fact: DataFrame) -> DataFrame:
         c.money_sum("cost_amount").alias("total_cost_amount"),
         c.money_sum("profit_amount").alias("total_profit_amount"),
         c.money_avg("net_sales_amount").alias("avg_transaction_size"),
-        c.fine_avg("profit_margin_pct").alias("avg_profit_margin_pct"),
+        c.fraction_avg("profit_margin_pct").alias("avg_profit_margin_pct"),
         F.countDistinct("customer_key").alias("unique_customers"),
         F.count_if(F.col("discount_pct") > 0).alias("discounted_transactions"),
         yes("transaction_size_category", "LARGE", "EXTRA_LARGE").alias("large_transactions"),
