@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WORDS = 5
 BELOW = "2"  #: hashes are hex digests; those that sort below this are kept: 2/16 of all
-DIGITS = 16  #: hex digits kept of a hash
+DIGITS = 12  #: hex digits kept of a hash
 
 
 def words_of(text: Column) -> Column:
@@ -99,7 +99,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     buckets = buckets or min(512, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     base = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    base = base.withColumn("_sketch", sketch(F.col("_text")))
+    base = base.withColumn("_sketch", F.array_join(sketch(F.col("_text")), " "))  # as text: less to shuffle
     met = with_next(base, id_col, ["_text", "_sketch"], buckets)
     n = F.length("_text")
     tail = F.floor(n / 3).cast("int")
@@ -113,14 +113,16 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("next._sketch").alias("_next"),
     )
     met = met.withColumn("_edited_sketch", sketch(F.col("_edited")))
+    hashes = lambda c: F.array_remove(F.split(c, " "), "")
+    met = met.withColumns({"_own": hashes("_sketch"), "_following": hashes("_next")})
     return met.select(
         id_col,
         "n_chars",
         F.sha2(F.encode("_edited", "UTF-8"), 256).alias("edited_sha256"),
-        F.array_join("_sketch", " ").alias("fingerprint"),
+        F.col("_sketch").alias("fingerprint"),
         F.array_join("_edited_sketch", " ").alias("edited_fingerprint"),
-        likeness(F.col("_sketch"), F.col("_edited_sketch")).alias("near_edited"),
-        likeness(F.col("_sketch"), F.col("_next")).alias("near_next"),
+        likeness(F.col("_own"), F.col("_edited_sketch")).alias("near_edited"),
+        likeness(F.col("_own"), F.col("_following")).alias("near_next"),
     )
 
 
