@@ -6,6 +6,7 @@ import re
 
 from tidemart.config import DEFAULT
 from tidemart.operators.silver import TIES
+from tidemart.schemas import MERGE_SET
 
 AS_OF = f"date '{DEFAULT.as_of}'"
 END = f"date '{DEFAULT.scd2_end}'"
@@ -300,6 +301,100 @@ select row_number() over (order by date_key, product_key, store_key) as daily_sa
 from sums where avg_data_quality_score >= 70
 """
 
+TIE_ORDER = _ties
+UPDATED = [x for x in MERGE_SET if x != "order_id"]
+KEPT = ("customer_name", "ingestion_timestamp", "geo_quality_flag")
+
+STAR = """
+select f.*, d.date_value, d.year_number, d.quarter, d.month_number, p.product_id, p.product_name, p.category, p.sub_category, c.customer_segment, c.region, c.country, c.state, c.city
+from fact_sales f left join dim_date d using (date_key) left join dim_product p using (product_key) left join dim_customer c using (customer_key)
+"""
+
+
+def kpis(*by: str) -> str:
+    names = "".join(f"{x}, " for x in by)
+    group = f" group by {', '.join(by)}" if by else ""
+    net = money("net_sales_amount")
+    return f"""
+select {names}{money("profit_amount")} / nullif({net}, 0) as profit_margin, {net} / count(sales_key) as average_order_value,
+  {money("discount_amount")} / nullif({money("gross_sales_amount")}, 0) as discount_rate,
+  cast(sum(quantity_sold) as double) / count(distinct sales_key) as units_per_order, count(distinct sales_key) as total_orders
+from ({STAR}){group}
+"""
+
+
+def _rule(layer: str, rule: str, model_: str, count: str, source: str) -> str:
+    return f"select '{layer}' as layer, '{rule}' as rule_type, '{model_}' as model_name, cast({count} as bigint) as violation_count from {source}"
+
+
+_where = lambda condition: f"count(*) filter (where {condition})"
+_versions = f"effective_date > expiration_date or (is_current and expiration_date <> {END}) or (not is_current and expiration_date = {END})"
+_variance = f"""(select abs(total_net_sales - coalesce(detail, 0)) as variance from fact_sales_daily left join
+  (select date_key, product_key, store_key, {money("net_sales_amount")} as detail from fact_sales group by all) using (date_key, product_key, store_key))"""
+
+BUSINESS_RULES = " union all ".join(
+    [
+        _rule("STAGING", "INVALID_DISCOUNT_RATES", "stg_sales", _where("discount_rate < 0 or discount_rate > 1"), "stg_sales"),
+        _rule("STAGING", "AMOUNT_CALCULATION_ERROR", "stg_sales", _where("abs(gross_amount - quantity * unit_price) > 0.01 or abs(net_amount - (gross_amount - discount_amount)) > 0.01"), "stg_sales"),
+        _rule("STAGING", "INCORRECT_QUALITY_SCORE", "stg_sales", _where("data_quality_score < 70 or (data_quality_score = 100 and (order_id is null or customer_id is null or product_id is null or quantity <= 0 or unit_price <= 0 or sale_date is null))"), "stg_sales"),
+        _rule("INTERMEDIATE", "DUPLICATE_UNIFIED_RECORDS", "int_sales_unified", "count(*) - count(distinct (order_id, product_id, data_source))", "int_sales_unified"),
+        _rule("INTERMEDIATE", "INCORRECT_SIZE_CATEGORY", "int_sales_unified", _where("transaction_size_category <> case when net_amount < 50 then 'SMALL' when net_amount < 200 then 'MEDIUM' when net_amount < 500 then 'LARGE' else 'EXTRA_LARGE' end"), "int_sales_unified"),
+        *[_rule("INTERMEDIATE", "INVALID_SCD2_DATES", x, _where(_versions), x) for x in ("int_product_scd2", "int_store_scd2")],
+        _rule("MARTS", "BROKEN_REFERENTIAL_INTEGRITY", "fact_sales", "count(*)", "fact_sales f where not exists (select 1 from dim_date d where d.date_key = f.date_key)"),
+        _rule("MARTS", "UNREALISTIC_PROFIT_MARGINS", "fact_sales", _where("profit_amount / nullif(net_sales_amount, 0) > 0.95::double or profit_amount / nullif(net_sales_amount, 0) < -35"), "fact_sales"),
+        _rule("MARTS", "INCORRECT_CUSTOMER_TIERS", "dim_customer", _where("customer_value_tier <> case when total_spent >= 10000 then 'VIP' when total_spent >= 5000 then 'HIGH_VALUE' when total_spent >= 1000 then 'REGULAR' else 'OCCASIONAL' end"), "dim_customer"),
+        _rule("MARTS", "DATE_DIMENSION_LOGIC_ERROR", "dim_date", _where("is_weekend <> (day_of_week in (0, 6)) or quarter not between 1 and 4 or month_number not between 1 and 12 or day_of_week not between 0 and 6"), "dim_date"),
+        _rule("MARTS", "DAILY_AGGREGATION_ERROR", "fact_sales_daily", _where("variance > 0.01"), _variance),
+        _rule("CROSS_LAYER", "DATA_LOSS_IN_PIPELINE", "staging_to_facts", "case when a > b * 1.05 then a - b else 0 end", f"(select count(*) as a from int_sales_unified where sale_date >= {AS_OF} - 7), (select count(*) as b from fact_sales join dim_date using (date_key) where date_value >= {AS_OF} - 7)"),
+        _rule("CROSS_LAYER", "METRIC_OUT_OF_RANGE", "daily_sales_volume", "case when s < 1000 or s > 1000000 then 1 else 0 end", f"(select {money('net_sales_amount')} as s from fact_sales join dim_date using (date_key) where date_value = {AS_OF} - 1)"),
+    ]
+)
+
+
+def _issue(table_: str, issue: str, source: str) -> str:
+    return f"select '{table_}' as table_name, '{issue}' as issue_type, count(*) as issue_count from {source}"
+
+
+DIMENSIONAL = " union all ".join(
+    [_issue(d, "MISSING_SURROGATE_KEYS", f"{d} where {k} is null") for d, k in (("dim_date", "date_key"), ("dim_product", "product_key"), ("dim_store", "store_key"), ("dim_customer", "customer_key"))]
+    + [_issue(d, "MULTIPLE_CURRENT_RECORDS", f"(select {k} from {d} where is_current group by 1 having count(*) > 1)") for d, k in (("dim_product", "product_id"), ("dim_store", "store_id"))]
+    + [_issue("fact_sales", f"ORPHANED_{k.upper()}", f"fact_sales where {k} not in (select {k} from {d} where {k} is not null)") for d, k in (("dim_product", "product_key"), ("dim_store", "store_key"), ("dim_date", "date_key"))]
+    + [
+        _issue("fact_sales", "NULL_MEASURES", "fact_sales where quantity_sold is null or net_sales_amount is null or profit_amount is null"),
+        _issue("fact_sales", "INVALID_MEASURES", "fact_sales where quantity_sold <= 0 or net_sales_amount <= 0"),
+        _issue("fact_sales_daily", "AGGREGATION_MISMATCH", f"{_variance} where variance > 0.01"),
+        _issue("fact_sales_daily", "IMPOSSIBLE_AGGREGATIONS", "fact_sales_daily where unique_customers > transaction_count"),
+    ]
+)
+
+VERSIONS = " union all ".join(
+    f"""select '{kind}' as dimension_type, 'OVERLAPPING_DATES' as issue_type, a.{key_} as business_key, count(*) as issue_count from {t} a join {t} b
+      on a.{key_} = b.{key_} and a.{tie} <> b.{tie} and a.effective_date <= b.expiration_date and b.effective_date <= a.expiration_date group by a.{key_}
+    union all select '{kind}', 'DATE_GAPS', a.{key_}, 1 from {t} a left join {t} b on a.{key_} = b.{key_} and b.effective_date = a.expiration_date + 1
+      where a.expiration_date <> {END} and b.{tie} is null
+    union all select '{kind}', 'MULTIPLE_CURRENT', {key_}, count(*) from {t} where is_current group by {key_} having count(*) > 1"""
+    for kind, t, key_, tie in (("PRODUCT", "int_product_scd2", "product_id", "product_scd2_key"), ("STORE", "int_store_scd2", "store_id", "store_scd2_key"))
+)
+
+DAILY_ACCURACY = f"""
+select date_key, product_key, store_key, expected_transaction_count, expected_net_sales, expected_unique_customers, transaction_count, total_net_sales, unique_customers,
+  abs(expected_transaction_count - coalesce(transaction_count, 0)) as transaction_diff, abs(expected_net_sales - coalesce(total_net_sales, 0)) as sales_diff,
+  abs(expected_unique_customers - coalesce(unique_customers, 0)) as customer_diff
+from (select date_key, product_key, store_key, count(*) as expected_transaction_count, {money("net_sales_amount")} as expected_net_sales,
+    count(distinct customer_key) as expected_unique_customers from fact_sales where date_key >= cast(strftime({AS_OF} - 7, '%Y%m%d') as int) group by all)
+  left join fact_sales_daily using (date_key, product_key, store_key)
+where transaction_diff > 0 or sales_diff > 0.01 or customer_diff > 0
+"""
+
+_share = lambda a, b: f"cast(round(cast(100 * cast({a} as decimal(18,4)) / nullif({b}, 0) as decimal(18,6)), 2) as double)"
+COMPLETENESS = f"""
+select s.sale_date, staging_record_count, staging_order_count, coalesce(fact_record_count, 0) as fact_record_count, coalesce(fact_order_count, 0) as fact_order_count,
+  {_share("coalesce(fact_record_count, 0)", "staging_record_count")} as record_completeness_pct, {_share("coalesce(fact_order_count, 0)", "staging_order_count")} as order_completeness_pct
+from (select sale_date, count(*) as staging_record_count, count(distinct order_id) as staging_order_count from int_sales_unified where sale_date >= {AS_OF} - 7 group by 1) s
+left join (select date_value as sale_date, count(*) as fact_record_count, count(distinct order_id) as fact_order_count
+  from fact_sales join dim_date using (date_key) where date_value >= {AS_OF} - 7 group by 1) f using (sale_date)
+"""
+
 VIEWS = {
     "sales_view": SALES,
     "cleaned": CLEANED,
@@ -332,7 +427,10 @@ def over(sql: str) -> str:
         wanted |= new
         todo += [VIEWS[n] for n in new]
     ctes = ",\n".join(f"{n} as materialized ({VIEWS[n]})" for n in VIEWS if n in wanted)
-    return f"with {ctes}\n{sql}" if ctes else sql
+    if not ctes:
+        return sql
+    own = re.match(r"\s*with\s", sql)
+    return f"with {ctes},\n{sql[own.end() :]}" if own else f"with {ctes}\n{sql}"
 
 
 def model(name: str) -> str:

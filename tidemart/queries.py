@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart import oracles
 from tidemart.config import DEFAULT
-from tidemart.operators import silver as ops
+from tidemart.operators import checks as q, scores, silver as ops
+from tidemart.operators.merge import merge_rows, track_changes
+from tidemart.plans import marts, metrics as m, suites
 from tidemart.plans.registry import MODELS, Warehouse
-from tidemart.sources.adapter import sales_view
+from tidemart.sources.adapter import sales_view, table
+from tidemart.sources.generator import generate
+from tidemart.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,22 +32,254 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, silver(spark, sf_dir), DEFAULT)
 
 
-QUERIES: dict[str, Query] = {
-    "silver_clean": cleaned,
-    "silver_quarantine": lambda s, d: ops.split_faults(cleaned(s, d)).rejected,
-    "silver_rejections": lambda s, d: ops.rejection_counts(ops.split_faults(cleaned(s, d)).rejected),
-    "silver_by_source_row": lambda s, d: ops.latest_by_source_row(ops.split_faults(cleaned(s, d)).valid),
-    "silver": silver,
-    **{name: (lambda s, d, name=name: warehouse(s, d)[name]) for name in MODELS},
-}
+def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.split_faults(cleaned(spark, sf_dir)).valid
+
+
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.star(warehouse(spark, sf_dir))
+
+
+def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd lines as the target, even ones as a later load."""
+    rows = valid(spark, sf_dir)
+    odd = F.element_at(F.split("source_row_id", "-"), -1).cast("int") % 2 == 1
+    return merge_rows(ops.latest_by_order_product(rows.where(odd)), ops.latest_by_order_product(rows.where(~odd)), check=True)
+
+
+FIRST_DAY, NEXT_DAY = date(2000, 1, 1), date(2001, 1, 1)
+
+
+def part_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts as they are, then every third one a tenth dearer."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    dated = {"effective_date": F.lit(FIRST_DAY), "expiration_date": F.lit(DEFAULT.scd2_end), "is_current": F.lit(True)}
+    dearer = F.when(F.col("p_partkey") % 3 == 0, F.col("p_retailprice") * 1.1).otherwise(F.col("p_retailprice"))
+    history = part.where("p_partkey % 10 <> 7").withColumns(dated)
+    return track_changes(history, part.withColumn("p_retailprice", dearer), ("p_partkey",), ("p_name", "p_retailprice"), NEXT_DAY, DEFAULT.scd2_end)
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
 
-ORACLES: dict[str, str] = {
-    "silver_clean": oracles.over("select * from cleaned"),
-    "silver_quarantine": oracles.over("select * from judged where rejection_reason is not null"),
-    "silver_rejections": oracles.over(
-        "select rejection_reason, count(*) as row_count from judged where rejection_reason is not null group by 1"
+def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of ``event_windows`` from a stream over the same file, run to its end."""
+    name = f"windows_{abs(hash((sf_dir, datetime.now())))}"
+    schema = table(spark, sf_dir, "events").schema
+    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    found = ingest.windowed(rows, "ts", "15 minutes", late="1 hour", by=("event_type",))
+    found.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+def _order_totals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice"), table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_totalprice"
+    )
+
+
+WINDOWS = """
+    select time_bucket(interval 15 minutes, ts) as window_start, time_bucket(interval 15 minutes, ts) + interval 15 minutes as window_end, event_type, count(*) as n
+    from events group by all"""
+
+AS_OF_TIME = datetime(2024, 1, 30, 12)
+
+#: Spark, and the same as SQL over the models and tables (None: nothing in SQL says it).
+REGISTERED: dict[str, tuple[Query, str | None]] = {
+    "silver_clean": (cleaned, "select * from cleaned"),
+    "silver_quarantine": (lambda s, d: ops.split_faults(cleaned(s, d)).rejected, "select * from judged where rejection_reason is not null"),
+    "silver_rejections": (
+        lambda s, d: ops.rejection_counts(ops.split_faults(cleaned(s, d)).rejected),
+        "select rejection_reason, count(*) as row_count from judged where rejection_reason is not null group by 1",
+    ),
+    "silver_by_source_row": (lambda s, d: ops.latest_by_source_row(valid(s, d)), "select * from by_source"),
+    "silver": (silver, "select * from silver"),
+    "silver_residual_duplicates": (
+        lambda s, d: ops.residual_duplicates(valid(s, d)),
+        "select row_id, count(*) as n from judged where rejection_reason is null group by 1 having count(*) > 1",
     ),
-    "silver_by_source_row": oracles.over("select * from by_source"),
-    "silver": oracles.over("select * from silver"),
-    **{name: oracles.model(name) for name in MODELS},
+    "raw_text_dates": (
+        lambda s, d: ops.clean(sales_view(s, d).withColumn("order_date", F.date_format("order_date", "dd-MM-yyyy")).withColumn("quantity", F.col("quantity").cast("string"))).select(
+            "source_row_id", "order_id", "product_id", "order_date", "quantity"
+        ),
+        "select row_id as source_row_id, order_id, product_id, order_date, quantity from sales_view",
+    ),
+    "legacy_clean": (
+        lambda s, d: ops.legacy_clean(sales_view(s, d)).select("order_id", "product_id", "sales", "quantity", "discount", "profit"),
+        "select order_id, product_id, sales, quantity, discount, profit from sales_view",
+    ),
+    **{name: ((lambda s, d, name=name: warehouse(s, d)[name]), f"select * from {name}") for name in MODELS},
+    "silver_merge": (merged, f"""
+        select coalesce(t.order_id, s.order_id) as order_id, {", ".join(
+            f"case when t.order_id is null or s.processing_timestamp > t.processing_timestamp then s.{x} else t.{x} end as {x}" for x in oracles.UPDATED)},
+          {", ".join(f"case when t.order_id is null then s.{x} else t.{x} end as {x}" for x in oracles.KEPT)}
+        from (select * exclude (rejection_reason) from judged where rejection_reason is null and cast(split_part(source_row_id, '-', 2) as int) % 2 = 1
+              qualify row_number() over (partition by order_id, product_id order by {oracles.TIE_ORDER}) = 1) t
+        full join (select * exclude (rejection_reason) from judged where rejection_reason is null and cast(split_part(source_row_id, '-', 2) as int) % 2 = 0
+              qualify row_number() over (partition by order_id, product_id order by {oracles.TIE_ORDER}) = 1) s
+        on t.order_id = s.order_id and t.product_id = s.product_id"""),
+    "scd2_history": (part_history, """
+        with old as (select p_partkey, p_name, p_retailprice from part where p_partkey % 10 <> 7),
+        new as (select p_partkey, p_name, case when p_partkey % 3 = 0 then p_retailprice * 1.1::double else p_retailprice end as p_retailprice from part)
+        select old.*, date '2000-01-01' as effective_date, case when p_partkey % 3 = 0 then date '2000-12-31' else date '2099-12-31' end as expiration_date,
+          p_partkey % 3 <> 0 as is_current from old
+        union all select new.*, date '2001-01-01', date '2099-12-31', true from new where p_partkey % 3 = 0 or p_partkey % 10 = 7"""),
+    # reports
+    "sales_by_category": (lambda s, d: m.sales_by_category(sales(s, d)), f"""
+        select p.category, {oracles.money("net_sales_amount")} as total_sales, {oracles.money("f.profit_amount")} as total_profit, count(distinct customer_key) as unique_customers
+        from fact_sales f join dim_product p using (product_key) group by 1"""),
+    "monthly_trend": (lambda s, d: m.monthly_trend(sales(s, d)), f"""
+        with months as (select year_number, month_number, {oracles.money("net_sales_amount")} as net_sales, count(distinct order_id) as orders
+          from fact_sales join dim_date using (date_key) group by all)
+        select year_number, month_number, net_sales, orders, (net_sales - lag(net_sales, 12) over w) / nullif(lag(net_sales, 12) over w, 0) as change_on_year,
+          cast(sum(cast(net_sales as decimal(18,4))) over (order by year_number, month_number rows unbounded preceding) as double) as running_sales,
+          net_sales / cast(sum(cast(net_sales as decimal(18,4))) over () as double) as share, cast(rank() over (order by net_sales desc) as int) as sales_rank
+        from months window w as (order by year_number, month_number)"""),
+    "kpis": (lambda s, d: m.kpis(sales(s, d)), oracles.kpis()),
+    "kpis_by_segment": (lambda s, d: m.segment_summary(sales(s, d)), oracles.kpis("customer_segment")),
+    "drill_down_dates": (lambda s, d: m.drill_down(sales(s, d), "date", 3), oracles.kpis("year_number", "quarter", "month_number")),
+    "drill_down_products": (lambda s, d: m.drill_down(sales(s, d), "product", 2), oracles.kpis("category", "sub_category")),
+    "drill_down_places": (lambda s, d: m.drill_down(sales(s, d), "geography", 2), oracles.kpis("region", "country")),
+    "roll_up_places": (lambda s, d: m.roll_up(sales(s, d), "geography"), f"""
+        select region, country, {oracles.money("net_sales_amount")} as net_sales, count(*) as sales, cast(grouping(region, country) as int) as level
+        from ({oracles.STAR}) group by rollup (region, country)"""),
+    "top_products": (lambda s, d: m.top_products(sales(s, d)), f"""
+        select product_id, {oracles.money("net_sales_amount")} as net_sales, {oracles.money("profit_amount")} as profit from ({oracles.STAR})
+        group by 1 order by net_sales desc, product_id limit 10"""),
+    "bottom_products": (lambda s, d: m.top_products(sales(s, d), bottom=True), f"""
+        select product_id, {oracles.money("net_sales_amount")} as net_sales, {oracles.money("profit_amount")} as profit from ({oracles.STAR})
+        group by 1 order by net_sales, product_id limit 10"""),
+    "customer_tiers": (lambda s, d: m.tier_summary(warehouse(s, d)["dim_customer"]), f"""
+        select customer_value_tier, recency_segment, count(*) as customers, {oracles.money("total_spent")} as spent from dim_customer group by all"""),
+    "shipping_costs": (lambda s, d: m.shipping_cost(warehouse(s, d)["stg_sales"]), f"""
+        select ship_mode, count(*) as sales, {oracles.money("shipping_cost")} as shipping_cost, {oracles.money("shipping_cost")} / nullif({oracles.money("net_amount")}, 0) as share_of_net
+        from stg_sales group by 1"""),
+    "source_breakdown": (lambda s, d: m.source_breakdown(silver(s, d)), "select source_system, count(*) as records, max(processing_timestamp) as latest from silver group by 1"),
+    "segment_frequencies": (lambda s, d: m.frequencies(warehouse(s, d)["dim_customer"], "customer_segment"), "select customer_segment, count(*) as n from dim_customer group by 1"),
+    "spine_span": (lambda s, d: m.spine_span(warehouse(s, d)["dim_date"]), "select count(*) as days, min(date_value) as first_day, max(date_value) as last_day, cast(max(date_value) - min(date_value) + 1 as int) as span from dim_date"),
+    "top_duplicates": (lambda s, d: m.top_duplicates(sales_view(s, d), "row_id"), "select row_id, count(*) as n from sales_view group by 1 having count(*) > 1 order by n desc, row_id limit 10"),
+    "category_breakdown": (lambda s, d: m.category_breakdown(silver(s, d)), f"select category, count(*) as n, {oracles.money('sales')} as sales from silver group by 1 order by n desc, category limit 5"),
+    "summary": (lambda s, d: m.summary(silver(s, d)), f"""
+        select count(*) as rows, count(distinct order_id) as orders, count(distinct order_id || '-' || product_id) as order_products, min(order_date) as first_day,
+          max(order_date) as last_day, min(sales) as least, max(sales) as most, {oracles.money("sales")} / count(sales) as mean from silver"""),
+    "model_counts": (lambda s, d: m.model_counts(warehouse(s, d), "stg_sales", "dim_product", "fact_sales"), """
+        select 'stg_sales' as model, count(*) as row_count from stg_sales union all select 'dim_product', count(*) from dim_product union all select 'fact_sales', count(*) from fact_sales"""),
+    "iqr_outliers": (lambda s, d: m.iqr_outliers(table(s, d, "lineitem"), "l_extendedprice"), """
+        with q as (select quantile_cont(l_extendedprice, 0.25) as q1, quantile_cont(l_extendedprice, 0.75) as q3 from lineitem)
+        select q1, q3, count(*) as n, count(*) filter (where l_extendedprice < q1 - 1.5::double * (q3 - q1) or l_extendedprice > q3 + 1.5::double * (q3 - q1)) as outliers,
+          count(*) filter (where l_extendedprice < q1 - 1.5::double * (q3 - q1) or l_extendedprice > q3 + 1.5::double * (q3 - q1)) / count(*) as outlier_rate
+        from lineitem, q group by q1, q3"""),
+    "recent_facts": (lambda s, d: marts.recent(warehouse(s, d)["fact_sales"], "date_key"), """
+        select * from fact_sales where date_key >= cast(strftime(date '2001-11-05' - 30, '%Y%m%d') as int)"""),
+    # streams
+    "event_windows": (lambda s, d: ingest.windowed(events(s, d), "ts", "15 minutes", by=("event_type",)), WINDOWS),
+    "event_windows_streamed": (streamed_windows, WINDOWS),
+    "event_sliding_windows": (lambda s, d: ingest.windowed(events(s, d), "ts", "1 hour", "30 minutes", value="value"), """
+        select w as window_start, w + interval 1 hour as window_end, count(*) as n, cast(sum(cast(value as decimal(18,4))) as double) as total
+        from (select value, unnest([time_bucket(interval 30 minutes, ts), time_bucket(interval 30 minutes, ts) - interval 30 minutes]) as w from events) group by 1"""),
+    "event_sessions": (lambda s, d: ingest.sessions(events(s, d), "ts", "user_id"), """
+        with steps as (select user_id, ts, case when ts < lag(ts) over (partition by user_id order by ts) + interval 30 minutes then 0 else 1 end as new from events),
+        numbered as (select *, sum(new) over (partition by user_id order by ts, new desc rows unbounded preceding) as k from steps)
+        select user_id, min(ts) as session_start, max(ts) + interval 30 minutes as session_end, count(*) as n from numbered group by user_id, k"""),
+    "event_payloads": (lambda s, d: scores.event_score(table(s, d, "events"), "props").select("event", "score", "is_valid"), """
+        select props as event, 20.0::double * (json_exists(props, '$.order_id')::int + json_exists(props, '$.customer_id')::int + json_exists(props, '$.product_id')::int
+          + json_exists(props, '$.sales')::int + json_exists(props, '$.quantity')::int) as score, score >= 90 as is_valid from events"""),
+    "generated_events": (lambda s, d: generate(s, 1000, DEFAULT.as_of), None),
+    "file_score": (lambda s, d: scores.file_score(sales_view(s, d).drop("processing_timestamp")), None),
+    "raw_validation": (lambda s, d: scores.validate_raw(sales_view(s, d)), None),
+    "etl_validation": (lambda s, d: scores.validate_etl(sales_view(s, d), silver(s, d), 1.0), None),
+    # checks
+    "check_date_range": (lambda s, d: q.valid_date_range(_orders(s, d), "o_orderdate", date(1996, 1, 1), date(2000, 12, 31)).select("o_orderkey", "o_orderdate"), """
+        select o_orderkey, cast(o_orderdate as date) as o_orderdate from orders where not cast(o_orderdate as date) between date '1996-01-01' and date '2000-12-31'"""),
+    "check_order_id_format": (lambda s, d: q.valid_order_id_format(sales_view(s, d).select("row_id", "order_id"), "order_id"), """
+        select row_id, order_id from sales_view where order_id is null or length(order_id) < 5 or not regexp_full_match(order_id, '[A-Z]{2}-[0-9]{4,}')"""),
+    "check_sales_amount": (lambda s, d: q.reasonable_sales_amount(sales_view(s, d).select("row_id", "sales"), "sales", 0, 100_000), "select row_id, sales from sales_view where not (sales >= 0 and sales <= 100000)"),
+    "check_profit_margin": (lambda s, d: q.valid_profit_margin(sales_view(s, d).select("row_id", "sales", "profit"), "sales", "profit", -0.05, 0.14), """
+        select row_id, sales, profit from sales_view where sales > 0 and (profit / sales < -0.05::double or profit / sales > 0.14::double)"""),
+    "check_freshness": (lambda s, d: q.data_freshness(events(s, d).select("event_id", "ts"), "ts", AS_OF_TIME), """
+        select event_id, ts from events where ts < timestamp '2024-01-29 12:00:00' order by ts desc limit 1"""),
+    "check_unique_key": (lambda s, d: q.unique(table(s, d, "lineitem"), "l_orderkey", "l_linenumber"), """
+        select l_orderkey, l_linenumber, count(*) as occurrences from lineitem group by 1, 2 having count(*) > 1"""),
+    "check_unique_key_where": (lambda s, d: q.unique(table(s, d, "lineitem"), "l_orderkey", "l_partkey", where="l_returnflag = 'R'"), """
+        select l_orderkey, l_partkey, count(*) as occurrences from lineitem where l_returnflag = 'R' group by 1, 2 having count(*) > 1"""),
+    "check_null_rate": (lambda s, d: q.null_rate(sales_view(s, d), "state"), """
+        select count(*) as total_rows, count(*) filter (where state is null) as null_rows, count(*) filter (where state is null) / count(*) as null_rate from sales_view"""),
+    "check_distribution": (lambda s, d: q.data_distribution(table(s, d, "orders"), "o_custkey", 0.5, 1.0), """
+        select count(o_custkey) as total_count, count(distinct o_custkey) as distinct_count, count(distinct o_custkey) / count(o_custkey) as uniqueness_ratio from orders
+        having uniqueness_ratio < 0.5"""),
+    "check_cardinality": (lambda s, d: q.reasonable_cardinality(table(s, d, "part"), "p_brand", low=1000), """
+        select count(*) as total_count, count(distinct p_brand) as distinct_count, 100.0::double * count(distinct p_brand) / count(*) as distinct_pct from part
+        having count(distinct p_brand) < 1000"""),
+    "check_references": (lambda s, d: q.referential_integrity(table(s, d, "orders"), table(s, d, "customer").where("c_custkey % 7 <> 0"), "o_custkey", "c_custkey").select("o_orderkey", "o_custkey"), """
+        select o_orderkey, o_custkey from orders where o_custkey not in (select c_custkey from customer where c_custkey % 7 <> 0)"""),
+    "check_orphans": (lambda s, d: q.orphans(table(s, d, "orders"), table(s, d, "customer").where("c_custkey % 7 <> 0"), "o_custkey", "c_custkey"), """
+        select o_custkey, count(*) as orphaned_records from orders where o_custkey not in (select c_custkey from customer where c_custkey % 7 <> 0) group by 1"""),
+    "check_row_count": (lambda s, d: q.row_count_stability(table(s, d, "nation"), 100), "select count(*) as row_count from nation having count(*) < 100"),
+    "check_sequential_dates": (lambda s, d: q.sequential_dates(_orders(s, d), "o_orderdate", "o_custkey", 300), """
+        select * from (select o_custkey, o_orderdate, lag(o_orderdate) over (partition by o_custkey order by o_orderdate) as previous_date,
+          cast(o_orderdate - lag(o_orderdate) over (partition by o_custkey order by o_orderdate) as int) as day_gap
+          from (select distinct o_custkey, cast(o_orderdate as date) as o_orderdate from orders)) where day_gap > 300"""),
+    "check_disordered_dates": (lambda s, d: q.disordered_dates(_orders(s, d).select("o_custkey", "o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey", "o_custkey"), """
+        select * from (select o_custkey, o_orderkey, cast(o_orderdate as date) as o_orderdate,
+          lag(cast(o_orderdate as date)) over (partition by o_custkey order by o_orderkey) as previous_date from orders) where o_orderdate < previous_date"""),
+    "check_business_rule": (lambda s, d: q.business_rule_compliance(sales_view(s, d).select("row_id", "ship_date", "order_date"), "ship_date >= order_date"), """
+        select row_id, ship_date, order_date from sales_view where not ship_date >= order_date"""),
+    "check_cross_model": (lambda s, d: q.cross_model_consistency(
+        table(s, d, "part"), table(s, d, "part").withColumn("p_size", F.when(F.col("p_partkey") % 5 == 0, 0).otherwise(F.col("p_size"))), ["p_partkey"], ["p_name", "p_size"]), """
+        select p_partkey, p_name as p_name_a, p_size as p_size_a, p_name as p_name_b, 0 as p_size_b from part where p_partkey % 5 = 0 and p_size <> 0"""),
+    "check_acceptable_range": (lambda s, d: q.acceptable_range(table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), "l_quantity", 5, 45), """
+        select l_orderkey, l_linenumber, l_quantity from lineitem where l_quantity < 5 or l_quantity > 45"""),
+    "check_string_length": (lambda s, d: q.string_length(table(s, d, "part").select("p_partkey", "p_name"), "p_name", 5, 12), "select p_partkey, p_name from part where length(p_name) < 5 or length(p_name) > 12"),
+    "check_email": (lambda s, d: q.valid_email_format(table(s, d, "customer").select("c_custkey", F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, "@example.com").otherwise("")).alias("mail")), "mail"), """
+        select c_custkey, mail from (select c_custkey, c_name || case when c_custkey % 3 = 0 then '@example.com' else '' end as mail from customer)
+        where not regexp_full_match(mail, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')"""),
+    "check_ordered_ranges": (lambda s, d: q.ordered_ranges(sales_view(s, d).select("row_id", "order_date", "ship_date"), "order_date", "ship_date"), "select row_id, order_date, ship_date from sales_view where order_date > ship_date"),
+    "check_aggregation": (lambda s, d: q.consistent_aggregation(*_order_totals(s, d), ["l_orderkey"], "l_extendedprice", "o_totalprice", tolerance=100_000), """
+        select coalesce(l_orderkey, o_orderkey) as l_orderkey, calculated, o_totalprice as stored
+        from (select l_orderkey, cast(sum(cast(l_extendedprice as decimal(18,4))) as double) as calculated from lineitem group by 1) full join orders on l_orderkey = o_orderkey
+        where abs(coalesce(calculated, 0) - coalesce(o_totalprice, 0)) > 100000"""),
+    "check_not_null": (lambda s, d: q.not_null(sales_view(s, d).select("row_id", "state"), "state"), "select row_id, state from sales_view where state is null"),
+    "check_accepted_values": (lambda s, d: q.accepted_values(table(s, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", ["F", "O"]), """
+        select o_orderkey, o_orderstatus from orders where o_orderstatus not in ('F', 'O')"""),
+    "check_business_day_freshness": (lambda s, d: q.business_day_freshness(table(s, d, "orders"), "o_orderdate", DEFAULT.as_of), """
+        select cast(max(o_orderdate) as date) as last_date from orders having max(o_orderdate) < date '2001-11-04'"""),
+    "check_scd2": (lambda s, d: q.scd2_integrity(part_history(s, d).withColumn("effective_date", F.when(F.col("p_partkey") % 9 == 0, F.lit(FIRST_DAY)).otherwise(F.col("effective_date"))),
+        "p_partkey", "effective_date", "expiration_date", "is_current", "p_retailprice"), """
+        select cast(p_partkey as varchar) as business_key, 'OVERLAPPING_PERIODS' as issue_type, 2::bigint as issue_count from part where p_partkey % 9 = 0 and p_partkey % 10 <> 7"""),
+    "check_model_performance": (lambda s, d: q.model_performance(table(s, d, "lineitem"), 100), "select count(*) as row_count, 'TOO_MANY_ROWS' as issue from lineitem"),
+    "check_join_efficiency": (lambda s, d: q.join_efficiency(table(s, d, "lineitem"), 100), "select count(*) as row_count from lineitem"),
+    "check_clustering": (lambda s, d: q.clustering_effectiveness(table(s, d, "orders"), "o_orderkey", rows=1000), """
+        select count(*) as total_rows, count(distinct o_orderkey) as distinct_values, count(distinct o_orderkey) / count(*) as cardinality_ratio from orders having count(*) > 1000"""),
+    "check_dependencies": (lambda s, d: q.model_dependencies(s, MODELS), "select '' as model, '' as missing where false"),
+    "check_incremental": (lambda s, d: q.incremental_efficiency(_orders(s, d), "o_orderdate", date(2001, 8, 1), 30), """
+        select count(*) as row_count, min(cast(o_orderdate as date)) as first_date, max(cast(o_orderdate as date)) as last_date, count(distinct cast(o_orderdate as date)) as distinct_dates
+        from orders where cast(o_orderdate as date) >= date '2001-07-02'"""),
+    "check_model_freshness": (lambda s, d: q.model_freshness(events(s, d), "ts", AS_OF_TIME), """
+        select max(ts) as last_update, case when max(ts) < timestamp '2024-01-29 12:00:00' then 'STALE' else 'FRESH' end as freshness from events"""),
+    "check_source_freshness": (lambda s, d: q.source_freshness(events(s, d), "ts", AS_OF_TIME + timedelta(days=2)), """
+        select max(ts) as max_loaded_at, case when max(ts) < timestamp '2024-02-01 06:00:00' then 'error' when max(ts) < timestamp '2024-02-01 10:00:00' then 'warn' else 'pass' end as status from events"""),
+    "check_resource_usage": (lambda s, d: q.resource_usage(table(s, d, "lineitem")), "select count(*) as row_count, count(*) / 1e6::double as estimated_units from lineitem"),
+    "check_suite": (lambda s, d: q.suite({
+        "nation_key_unique": (q.unique(table(s, d, "nation"), "n_nationkey"), "error"),
+        "line_key_unique": (q.unique(table(s, d, "lineitem"), "l_orderkey", "l_linenumber"), "warn"),
+        "order_customer_exists": (q.relationships(table(s, d, "orders"), table(s, d, "customer"), "o_custkey", "c_custkey"), "error")}), """
+        select *, violation_count = 0 as passed from (select 'nation_key_unique' as check_name, 'error' as severity, 0::bigint as violation_count
+        union all select 'line_key_unique', 'warn', count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
+        union all select 'order_customer_exists', 'error', count(*) from orders where o_custkey not in (select c_custkey from customer))"""),
+    # suites
+    "business_rules": (lambda s, d: suites.business_rules(warehouse(s, d)), oracles.BUSINESS_RULES),
+    "broken_rules": (lambda s, d: suites.broken(suites.business_rules(warehouse(s, d))), f"select * from ({oracles.BUSINESS_RULES}) where violation_count > 0"),
+    "dimensional_integrity": (lambda s, d: suites.dimensional_integrity(warehouse(s, d)), oracles.DIMENSIONAL),
+    "version_integrity": (lambda s, d: suites.version_integrity(warehouse(s, d)), oracles.VERSIONS),
+    "daily_accuracy": (lambda s, d: suites.daily_accuracy(warehouse(s, d)), oracles.DAILY_ACCURACY),
+    "completeness": (lambda s, d: suites.completeness(warehouse(s, d)), oracles.COMPLETENESS),
+    "incomplete_days": (lambda s, d: suites.incomplete(warehouse(s, d)), f"select * from ({oracles.COMPLETENESS}) where record_completeness_pct < 85 or order_completeness_pct < 85"),
 }
+
+QUERIES: dict[str, Query] = {name: run for name, (run, _) in REGISTERED.items()}
+ORACLES: dict[str, str] = {name: oracles.over(sql) for name, (_, sql) in REGISTERED.items() if sql}
