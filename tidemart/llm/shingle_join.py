@@ -45,7 +45,7 @@ class Shingles:
     Fewer words make one shingle, none an empty set. Word hashes are remembered, up to a bound.
     """
 
-    def __init__(self, remembered: int = 400_000):
+    def __init__(self, remembered: int = 100_000):
         self.words: dict[str, int] = {}
         self.remembered = remembered
 
