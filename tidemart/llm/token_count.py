@@ -27,7 +27,7 @@ class PieceCounter:
     never depends on it.
     """
 
-    def __init__(self, model_path: str, cache_size: int = 400_000):
+    def __init__(self, model_path: str, cache_size: int = 200_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
