@@ -114,19 +114,20 @@ def scheduled(
     id_col: str = "doc_id",
     source_col: str = "source",
 ) -> DataFrame:
-    """``df`` with a struct ``_place`` (block, release, deadline, slot, position) on each row.
+    """Each row as a struct ``_row``, with a struct ``_place`` (block, release, deadline, slot, position).
 
     ``weights``: target weights by source; sources without one get ``other``. ``block`` numbers a source's blocks of
     ``block_rows`` rows in order of a hash of the id (the last may be shorter); ``release`` and ``deadline`` bound the
     slot; rows in order of (slot, position) are the mixture, ``position`` being the row's place in its block. No row is
     lost or repeated. A null source is a source of its own; null ids and repeated rows have places of their own; an
-    empty table gives an empty result; other columns stay. Weights must be positive.
+    empty table gives an empty result; other columns stay, whatever their names. Weights must be positive.
     """
     weights = weights or {}
     if other <= 0 or any(w <= 0 for w in weights.values()):
         raise ValueError("weights are positive")
     key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit(""))
-    based = df.withColumns({"_key": key, "_hash": F.xxhash64(F.col(id_col).cast("string"))})
+    hashed = F.xxhash64(F.col(id_col).cast("string"))
+    based = df.select(F.struct("*").alias("_row"), key.alias("_key"), hashed.alias("_hash"))
     placed = numbered(based, "_key", ["_hash"])
     counts = placed.groupBy("_key").count().limit(MOST_SOURCES + 1).collect()
     if len(counts) > MOST_SOURCES:
@@ -150,17 +151,17 @@ def scheduled(
         (base + F.col("_slot")).cast("long").alias("slot"),
         F.pmod(F.col("_n"), F.lit(block_rows)).cast("int").alias("position"),
     )
-    return now.join(turns, ["_key", "_number", "_turn"]).select(*[F.col(f"`{c}`") for c in df.columns], place.alias("_place"))
+    return now.join(turns, ["_key", "_number", "_turn"]).select("_row", place.alias("_place"))
 
 
 def schedule(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """(id, source, block, release, deadline, slot, position) of each row; see ``scheduled``."""
     out = scheduled(df.select(id_col, source_col), id_col=id_col, source_col=source_col, **options)
-    return out.select(id_col, source_col, "_place.*")
+    return out.select(f"_row.{id_col}", f"_row.{source_col}", "_place.*")
 
 
 def mixed_rows(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` in the order of the mixture: partitions and the rows within them follow (slot, position)."""
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["_place.slot", "_place.position"]
-    return scheduled(df, **options).repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop("_place")
+    return scheduled(df, **options).repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("_row.*")

@@ -294,9 +294,10 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """The rows of ``df``, one of each class of similar texts: that with the least id. All columns are kept."""
     keepers = similar_rows(df, id_col=id_col, text_col=text_col, **options).select("keeper.*").distinct()
     keepers = written(keepers.toDF("_id", "_md5"), "keepers")
-    own = df.withColumn("_text_md5", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    kept = own.join(keepers, own[id_col].eqNullSafe(keepers["_id"]) & (own["_text_md5"] == keepers["_md5"]), "left_semi")
-    return kept.dropDuplicates([id_col, "_text_md5"]).drop("_text_md5")
+    md5 = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    own = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), md5.alias("md5"))
+    kept = own.join(keepers, own["id"].eqNullSafe(keepers["_id"]) & (own["md5"] == keepers["_md5"]), "left_semi")
+    return kept.dropDuplicates(["id", "md5"]).select("row.*")
 
 
 #: Exact, over all pairs that share a shingle.

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemart.llm.common import field, held_out, score_of, text_of, written
 
 # Letters of other scripts that look like Latin ones, and what digits and signs stand for.
-HOMOGLYPHS = dict(zip("аеорсхуіјѕһԁӏԛԝαεικνορτυχ", "aeopcxyijshdlqwaeikvoptux"))
+HOMOGLYPHS = dict(zip("аеорсхуіјѕһԁӏԛԝмткнвαεικνορτυχ", "aeopcxyijshdlqwmtkhbaeikvoptux", strict=True))
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
 #: Phrases in which a lexicon word is meant harmlessly.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "garbage collection", "garbage collector", "dump truck")
@@ -64,8 +64,9 @@ class Lexicon:
     def hits(self, text: str | None) -> tuple[float, int]:
         """(sum of weights, words): of the entries that start a word the longest counts, unless a phrase excuses it."""
         plain = fold(text)
-        if not self.weights:
-            return 0.0, plain.count(" ") - 1
+        words = plain.count(" ") - 1 if plain.strip() else 0
+        if not self.weights or not words:
+            return 0.0, words
         best: dict[int, float] = {}
         excused: list[tuple[int, int]] = []
         for end, (size, weight) in self.automaton().iter(plain):
@@ -77,7 +78,7 @@ class Lexicon:
         for low, high in excused:
             for start in [s for s in best if low <= s < high]:
                 del best[start]
-        return sum(best.values()), max(0, plain.count(" ") - 1)
+        return sum(best.values()), words
 
     def features(self, text: str | None) -> tuple[float, float]:
         total, words = self.hits(text)
