@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemart.sources.scratch import stored
+
 
 def dense_keys(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     """Numbers in one window: for tables that fit a task, such as dimensions."""
@@ -13,20 +13,15 @@ def dense_keys(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     return df.select(number.alias(name), "*")
 
 
-def ranged_keys(df: DataFrame, name: str, order: list[str], scratch: str | None = None) -> DataFrame:
+def ranged_keys(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     """The same numbers without a single-task window: range partitions, a number within each, and their offsets.
 
     The order must be total for the same rows to get the same numbers. What the offsets are counted from is written
-    once (under ``scratch``, else ``spark.checkpoint.dir``, else the warehouse), so that a recomputed task cannot
-    deal rows differently.
+    once to the shared folder, so that a recomputed task cannot deal rows differently.
     """
-    spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{path.rstrip('/')}/keys-{uuid.uuid4().hex}"
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    dealt.write.parquet(path)
-    dealt = spark.read.schema(dealt.schema).parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    dealt = stored(dealt, "keys").withColumn("_part", F.shiftright("_at", 33))
     counts = dealt.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("first"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shifts = counts.select("_part", (before - F.col("first") + 1).alias("_shift"))  # one row a partition

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.config import DEFAULT, Settings
 from tidemart.plans import intermediate as mid, marts, staging
+from tidemart.sources.scratch import stored
 
 #: name: (what it reads, how it is made from (spark, settings, *what it reads))
 MODELS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
@@ -46,16 +47,24 @@ def build_order(models=MODELS) -> list[str]:
 
 
 class Warehouse:
-    """The models over one cleaned table; each is planned once, and the shared staging table can be kept in memory."""
+    """The models over one cleaned table, each planned once.
 
-    def __init__(self, spark: SparkSession, silver: DataFrame, settings: Settings = DEFAULT, keep: tuple[str, ...] = ()):
-        self.spark, self.settings, self.keep = spark, settings, keep
+    ``keep``: models to hold in memory; ``store``: models to write to the shared folder when they are first read, for
+    those that several others are made from.
+    """
+
+    def __init__(
+        self, spark: SparkSession, silver: DataFrame, settings: Settings = DEFAULT, keep: tuple[str, ...] = (), store: tuple[str, ...] = ()
+    ):
+        self.spark, self.settings, self.keep, self.store = spark, settings, keep, store
         self.made: dict[str, DataFrame] = {"silver": silver}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.made:
             reads, make = MODELS[name]
             df = make(self.spark, self.settings, *[self[r] for r in reads])
+            if name in self.store:
+                df = stored(df, name)
             self.made[name] = df.persist() if name in self.keep else df
         return self.made[name]
 
