@@ -34,14 +34,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table that no later plan reads."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def drop_written(df: DataFrame) -> None:
+    """Delete the files of a written table that no later plan reads."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def field(df: DataFrame, column: str, name: str | None = None) -> T.StructField:
@@ -59,6 +61,15 @@ def held_out(doc_id, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+ARROW_BYTES = 8 << 20  #: of a batch that goes to Python, besides its last row
+
+
+def arrow_input(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns, for a Python function: the session's batches are bounded in bytes, so long texts do not pile up."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df.select(*columns) if columns else df
+
+
 def score_of(score, column: str):
     """``score(text)`` as a column, in Arrow batches."""
 

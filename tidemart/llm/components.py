@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.common import written
+from tidemart.llm.common import drop_written, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -31,14 +31,15 @@ def connected_components(edges: DataFrame, a: str, b: str, rounds: int = 60) ->
 
     Edges with a null end and loops join nothing; repeated edges count once; no edges give an empty result. A hub's
     minimum is pre-aggregated on the map side and its edges meet it in a join, which Spark can split; each round is
-    written to the shared folder. The rounds grow with the logarithm of the size of a component.
+    written to the shared folder and the one before deleted. The rounds grow with the logarithm of the size of a component.
     """
     ends = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null and x <> y")
     now = written(ends.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "edges")
     before = _state(now)
     if before[0]:
         for _ in range(rounds):
-            now = written(_small_star(_large_star(now)), "edges")
+            last, now = now, written(_small_star(_large_star(now)), "edges")
+            drop_written(last)
             after = _state(now)
             if after == before:
                 break

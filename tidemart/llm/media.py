@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.common import field
+from tidemart.llm.common import arrow_input, field
 
 RATE, UNIT = 8000, 64
 FRAME, HOP = 256, 128
@@ -112,7 +112,7 @@ def to_wav(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                     names=[id_col, "n_bytes", "media"],
                 )
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return arrow_input(df, id_col, text_col).mapInArrow(run, schema)
 
 
 def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -166,7 +166,7 @@ def wav_features(df: DataFrame, id_col: str = "doc_id", media_col: str = "media"
                     [part.column(0), part.column(1), *columns], names=[id_col, "n_bytes", *kinds]
                 )
 
-    return df.select(id_col, "n_bytes", media_col).mapInArrow(run, schema)
+    return arrow_input(df, id_col, "n_bytes", media_col).mapInArrow(run, schema)
 
 
 def feature_text():

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.common import field, written
+from tidemart.llm.common import arrow_input, field, written
 
 #: Characters whose classes (letter, digit, space) no Unicode version disputes; other texts take the slower encoder.
 PLAIN = re.compile(r"[\t\n\r -~¡-ſ‐-‧€]*").fullmatch
@@ -87,7 +87,7 @@ def tokenize_pieces(
                 names=[id_col, "piece", "start", "length", "ids_crc32"],
             )
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return arrow_input(df, id_col, text_col).mapInArrow(run, schema)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.common import field, held_out, score_of
+from tidemart.llm.common import arrow_input, field, held_out, score_of
 from tidemart.llm.toxicity import training_rows
 
 WIDTH, STEP = 512, 448  #: bytes of a chunk, and from one chunk's start to the next; the overlap exceeds a filter
@@ -182,10 +182,10 @@ def scored(df: DataFrame, network: Network, folds: int = 3, fold: int = 1, id_co
             scores = [network.score(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=schema.names)
 
-    out = df.select(id_col, text_col).mapInArrow(run, schema)
+    out = arrow_input(df, id_col, text_col).mapInArrow(run, schema)
     return out.select(id_col, held_out(id_col, folds, fold).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def worthy(df: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
     """The rows whose texts score one half or more; all columns are kept."""
-    return df.where(score_of(network.score, text_col) >= 0.5)
+    return arrow_input(df).where(score_of(network.score, text_col) >= 0.5)

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.common import field, written
+from tidemart.llm.common import arrow_input, field, written
 from tidemart.llm.components import connected_components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -127,7 +127,7 @@ def signed_rows(df: DataFrame, id_col: str, text_col: str, bands: int, rows: int
                 names=schema.names,
             )
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return arrow_input(df, id_col, text_col).mapInArrow(run, schema)
 
 
 def block_links(sets: list[np.ndarray], cell: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -177,7 +177,7 @@ def _verify_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
             yield batch.select(range(4)).filter(pa.array(kept, pa.bool_()))
 
     schema = "a binary, b binary, copies_a long, copies_b long"
-    return pairs.select("a", "b", "copies_a", "copies_b", "text_a", "text_b").mapInArrow(run, schema)
+    return arrow_input(pairs, "a", "b", "copies_a", "copies_b", "text_a", "text_b").mapInArrow(run, schema)
 
 
 def _verify_blocks(members: DataFrame, threshold: float) -> DataFrame:

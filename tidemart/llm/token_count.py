@@ -15,7 +15,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from tidemart.llm.common import field
+from tidemart.llm.common import arrow_input, field
 
 SPACE = "▁"
 
@@ -139,4 +139,4 @@ def count_tokens(
                 names=[id_col, "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return arrow_input(df, id_col, text_col).mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.common import field, held_out, score_of, text_of, written
+from tidemart.llm.common import arrow_input, field, held_out, score_of, text_of, written
 
 # Letters of other scripts that look like Latin ones, and what digits and signs stand for.
 HOMOGLYPHS = dict(zip("аеорсхуіјѕһԁӏԛԝмткнвαεικνορτυχ", "aeopcxyijshdlqwmtkhbaeikvoptux", strict=True))
@@ -196,10 +196,10 @@ def scored(df: DataFrame, lexicon: Lexicon, folds: int = 5, fold_: int = 0, id_c
             scores = [lexicon.score(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=schema.names)
 
-    out = df.select(id_col, text_col).mapInArrow(run, schema)
+    out = arrow_input(df, id_col, text_col).mapInArrow(run, schema)
     return out.select(id_col, held_out(id_col, folds, fold_).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def harmless(df: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
     """The rows whose texts score under one half; all columns are kept, and clashing names are no matter."""
-    return df.where(score_of(lexicon.score, text_col) < 0.5)
+    return arrow_input(df).where(score_of(lexicon.score, text_col) < 0.5)

@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.common import field, scratch_path, written
+from tidemart.llm.common import arrow_input, field, scratch_path, written
 
 EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
 YEARS = 10 * 365 * 86_400  #: capture dates made from ids stay within these seconds after EPOCH
@@ -196,7 +196,7 @@ def write_archives(
             out.close()
             yield pa.RecordBatch.from_pydict({"archive": [name], "records": [n], "bytes": [size]})
 
-    return written(told.mapInArrow(run, "archive string, records long, bytes long"), "manifest")
+    return written(arrow_input(told).mapInArrow(run, "archive string, records long, bytes long"), "manifest")
 
 
 CAPTURE = [
