@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
 
     root = tmp_path_factory.mktemp("spark")
     s = session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="3g",
+        "tests", f"local[{os.environ.get('TEST_CPUS', '4')}]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="3g",
         spark__ui__showConsoleProgress="false", spark__checkpoint__dir=f"file://{root}/shared", spark__sql__warehouse__dir=f"{root}/warehouse",
     )
     s.sparkContext.setLogLevel("ERROR")
