@@ -61,8 +61,8 @@ def test_ids_are_the_tokenizers(ids, spark, sf_dir):
 
 
 @settings(max_examples=150, deadline=None)
-@given(text=st.text(alphabet=st.characters(max_codepoint=0x24F, exclude_categories=["Cs"]), max_size=50))
-def test_ids_of_any_latin_text(ids, text):
+@given(text=st.text(alphabet=st.characters(max_codepoint=0x24F, exclude_categories=["Cs"]) | st.sampled_from("Ωλ\u0378Жяё\u0483あンヴ\u3099ー漢字\u4e00\u9fa5가힣 1'"), max_size=50))
+def test_ids_of_any_text(ids, text):
     assert ids(text) == ids.exact.encode(text, add_special_tokens=False).ids
 
 

@@ -128,11 +128,11 @@ def scheduled(
     key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit(""))
     hashed = F.xxhash64(F.col(id_col).cast("string"))
     based = df.select(F.struct("*").alias("_row"), key.alias("_key"), hashed.alias("_hash"))
-    placed = numbered(based, "_key", ["_hash"])
-    counts = placed.groupBy("_key").count().limit(MOST_SOURCES + 1).collect()
+    counts = based.groupBy("_key").count().limit(MOST_SOURCES + 1).collect()
     if len(counts) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     blocks = {r["_key"]: -(-r["count"] // block_rows) for r in counts}
+    placed = numbered(based, "_key", ["_hash"])
     plan = phases(blocks, {k: weights.get(k[1:], other) if k else other for k in blocks}, parts)
     turns = [(k, n, i, place) for n, p in enumerate(plan) for k in p.places for i, place in enumerate(p.places[k])]
     by_key = [(k, [(n, p.first[k], p.start, p.parts[k], p.slots) for n, p in enumerate(plan) if k in p.first]) for k in blocks]

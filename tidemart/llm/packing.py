@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemart.llm.common import arrow_input, field, written
 
-#: Characters whose classes (letter, digit, space) no Unicode version disputes; other texts take the slower encoder.
-PLAIN = re.compile(r"[\t\n\r -~¡-ſ‐-‧€]*").fullmatch
+#: Characters whose classes (letter, digit, space) no Unicode version disputes: Latin, Greek, Cyrillic, kana, Han and
+#: Hangul; other texts take the slower encoder.
+PLAIN = re.compile("[\t\n\r -~¡-ſ‐-‧€Ͱ-ӿ\u3041-\u30ff\u4e00-\u9fa5\uac00-\ud7a3]*").fullmatch
 
 
 class Ids:
