@@ -2,25 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables, through Spark's reader (the path may be in any store)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset (local runs)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tidemart-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+from tidemart.sources.adapter import table
+from tidemart.sources.scratch import shared_dir
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -61,6 +49,8 @@ def held_out(doc_id, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+__all__ = ["arrow_input", "drop_written", "field", "held_out", "score_of", "scratch_path", "shared_dir", "table", "text_of", "written"]
+
 ARROW_BYTES = 8 << 20  #: of a batch that goes to Python, besides its last row
 
 
