@@ -13,15 +13,20 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Connect each node's larger neighbours to the least node of its neighbourhood."""
+    """Connect each node's larger neighbours to the least node of its neighbourhood.
+
+    The minima are written before the edges join them: both sides of the join are then plain shuffles, of which Spark
+    may split a hub's.
+    """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Connect each node and its smaller neighbours to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    edges = written(edges, "edges")
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     linked = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 

@@ -275,7 +275,7 @@ def similar_rows(
         classes.join(nodes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("keeper"))
     )
     classes = classes.join(standing, "component").select("node", "keeper")
-    told = (
+    told = written(
         nodes.select("node", "first", "copies")
         .join(classes, "node", "left")
         .join(links, "node", "left")
@@ -283,8 +283,9 @@ def similar_rows(
             "node",
             F.coalesce("keeper", "first").alias("keeper"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
-        )
-    )
+        ),
+        "told",
+    )  # written, so that Spark may split a node with many copies in the join that follows
     return signed.select("id", "text_md5", "node").join(told, "node").select(
         F.col("id").alias(id_col), "text_md5", F.col("keeper.id").alias("class_id"), "links", "keeper"
     )

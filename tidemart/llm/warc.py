@@ -173,6 +173,7 @@ def write_archives(
         .where("n > 1")
         .drop("n")
     )
+    shared = written(shared, "payloads")  # so that Spark may split a payload with many pages in the join
     told = base.join(shared, "sha1", "left").select(
         "id", "url", "payload", F.when(~F.col("id").eqNullSafe(F.col("latest")), F.col("latest")).alias("refers_to")
     )
