@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemart.functions.columns import col
-
 # The patterns of an order id and of an e-mail address.
 ORDER_ID = r"[A-Z]{2}-[0-9]{4,}"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -320,7 +318,3 @@ def suite(checks: dict[str, tuple[DataFrame, str]]) -> DataFrame:
         )
         out = one if out is None else out.unionByName(one)
     return out
-
-
-Check = Callable[..., DataFrame]
-__all__ = ["fused", "suite", "col"]

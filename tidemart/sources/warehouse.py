@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.functions.columns import upper_names
-from tidemart.plans.registry import CLUSTERED, MODELS, Warehouse, build_order
+from tidemart.plans.registry import CLUSTERED, Warehouse, build_order
 
 VIEWS = ("stg_sales", "stg_customers", "stg_products", "int_sales_unified")
 ROWS_PER_FILE = 5000
@@ -72,6 +72,3 @@ def incremental(df: DataFrame, stored: DataFrame, by: str) -> DataFrame:
     """Rows beyond the stored table's high-water mark; all of them while it is empty."""
     mark = stored.agg(F.max(by).alias("_mark"))  # one row
     return df.join(F.broadcast(mark)).where(F.col("_mark").isNull() | (F.col(by) > F.col("_mark"))).drop("_mark")
-
-
-__all__ = ["MODELS", "append", "append_jdbc", "export_columns", "external_table", "incremental", "schema_name", "store"]
