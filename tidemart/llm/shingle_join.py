@@ -271,8 +271,8 @@ def similar_rows(
         .groupBy("node")
         .agg(F.sum("links").alias("links"))
     )
-    standing = (
-        classes.join(nodes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("keeper"))
+    standing = written(
+        classes.join(nodes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("keeper")), "standing"
     )
     classes = classes.join(standing, "component").select("node", "keeper")
     told = written(
