@@ -73,6 +73,14 @@ def test_hot_groups_are_verified_in_blocks(spark, monkeypatch):
     assert join(spark, rows) == brute(rows)
 
 
+def test_hot_groups_with_empty_cells(spark, monkeypatch):
+    monkeypatch.setattr(sj, "SMALL", 2)
+    monkeypatch.setattr(sj, "CELL_SHINGLES", 50)  # about two cells for each node
+    base = words(9, 120)
+    rows = [(k, " ".join(edited(base, {k}))) for k in range(20)]
+    assert join(spark, rows) == brute(rows)
+
+
 def test_empty_table(spark):
     assert join(spark, []) == []
 

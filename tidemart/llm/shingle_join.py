@@ -130,11 +130,10 @@ def signed_rows(df: DataFrame, id_col: str, text_col: str, bands: int, rows: int
     return arrow_input(df, id_col, text_col).mapInArrow(run, schema)
 
 
-def block_links(sets: list[np.ndarray], cell: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of linked sets, between the two cells given, or within the one."""
-    cells = np.unique(cell)
-    left = np.flatnonzero(cell == cells[0])
-    right = np.flatnonzero(cell == cells[-1])
+def block_links(sets: list[np.ndarray], cell: np.ndarray, low: int, high: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of linked sets, between the cells ``low`` and ``high``, or within the one if they are equal."""
+    left = np.flatnonzero(cell == low)
+    right = np.flatnonzero(cell == high)
     sizes = np.array([len(s) for s in sets], np.float32)
     owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
     names, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -144,16 +143,16 @@ def block_links(sets: list[np.ndarray], cell: np.ndarray, threshold: float) -> I
     owner, column = owner[order], column[order]
     common = np.zeros((len(left), len(right)), np.float32)
     width = 4096
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        a, b = np.searchsorted(column, (low, low + width))
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (first, first + width))
         dense = np.zeros((len(sets), width), np.float32)
-        dense[owner[a:b], column[a:b] - low] = 1
+        dense[owner[a:b], column[a:b] - first] = 1
         common += dense[left] @ dense[right].T
     union = sizes[left][:, None] + sizes[right][None, :] - common
     linked = (common.astype(np.float64) >= threshold * union.astype(np.float64) - 1e-9) & (union > 0)
     i, j = np.nonzero(linked)
     i, j = left[i], right[j]
-    apart = i < j if len(cells) == 1 else slice(None)
+    apart = i < j if low == high else slice(None)
     return i[apart], j[apart]
 
 
@@ -183,10 +182,13 @@ def _verify_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
 def _verify_blocks(members: DataFrame, threshold: float) -> DataFrame:
     """Per node of a pair of cells: its links there (copies counted) and the root of its linked nodes."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high = map(int, key[1:])
+        if low < high and pdf["cell"].nunique() < 2:  # no node is in the other cell
+            return pd.DataFrame({"node": [], "root": [], "links": []})
         pdf = pdf.drop_duplicates("node").sort_values("node", ignore_index=True)
         shingles = Shingles()
-        i, j = block_links([shingles(t) for t in pdf["text"]], pdf["cell"].to_numpy(), threshold)
+        i, j = block_links([shingles(t) for t in pdf["text"]], pdf["cell"].to_numpy(), low, high, threshold)
         copies, root = pdf["copies"].to_numpy(), np.arange(len(pdf))
         links = np.bincount(i, copies[j], len(pdf)) + np.bincount(j, copies[i], len(pdf))
         while len(i):
