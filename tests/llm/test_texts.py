@@ -60,6 +60,12 @@ def test_ids_are_the_tokenizers(ids, spark, sf_dir):
     assert [ids(t) for t in texts] == [ids.exact.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", " \r\n\t"])
+def test_ids_of_long_whitespace(ids, blank):
+    text = "a b" + blank * (1_200_000 // len(blank)) + "c d"
+    assert ids(text) == ids.exact.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=150, deadline=None)
 @given(text=st.text(alphabet=st.characters(max_codepoint=0x24F, exclude_categories=["Cs"]) | st.sampled_from("Ωλ\u0378Жяё\u0483あンヴ\u3099ー漢字\u4e00\u9fa5가힣 1'"), max_size=50))
 def test_ids_of_any_text(ids, text):

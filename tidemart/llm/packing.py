@@ -18,12 +18,14 @@ from tidemart.llm.common import arrow_input, field, written
 #: Hangul; other texts take the slower encoder.
 PLAIN = re.compile("[\t\n\r -~¡-ſ‐-‧€Ͱ-ӿ\u3041-\u30ff\u4e00-\u9fa5\uac00-\ud7a3]*").fullmatch
 
+LONGEST_BLANK = 100_000  #: characters of a whitespace run that the fast encoder gets; it panics on over a million
+
 
 class Ids:
     """Token ids of ``byte_bpe_50k.json``, special strings read as that tokenizer reads them by default.
 
     The same vocabulary as ranks is several times faster and gives the same ids for ordinary text; texts with a special
-    string or with characters outside PLAIN go through the tokenizer itself.
+    string, with characters outside PLAIN or with a very long run of whitespace go through the tokenizer itself.
     """
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
@@ -37,11 +39,16 @@ class Ids:
         self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
 
     def __call__(self, text: str) -> list[int]:
-        if PLAIN(text) and not any(s in text for s in self.special):
+        if PLAIN(text) and not any(s in text for s in self.special) and not long_blank(text):
             return self.fast.encode_ordinary(text)
         return self.exact.encode(text, add_special_tokens=False).ids
 
 
+def long_blank(text: str) -> bool:
+    """Whether a run of whitespace is longer than LONGEST_BLANK."""
+    return len(text) > LONGEST_BLANK and any(m.end() - m.start() > LONGEST_BLANK for m in re.finditer(r"\s+", text))
+
+
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: whole if it fits, else full pieces after a first one that may be shorter."""
     if length <= capacity:
