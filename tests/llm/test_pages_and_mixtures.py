@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from conftest import same_as_sql
@@ -137,6 +138,37 @@ def test_lag_stays_under_one_block(parts):
     assert had == Counter(parts)
 
 
+def test_weights_are_exact(spark):
+    rows = [(i, f"src{k}") for k in range(20) for i in range(240 if k == 0 else 120)]
+    out = mixing.schedule(spark.createDataFrame(rows, "doc_id long, source string"), weights=queries.WEIGHTS, block_rows=1).collect()
+    had = Counter()
+    for t, r in enumerate(sorted(out, key=lambda r: r.slot), 1):
+        had[r.source] += 1
+        if t <= 21 * 119:  # in the last period sources run out
+            assert all(abs(21 * had[f"src{k}"] - (2 if k == 0 else 1) * t) < 21 for k in range(20))
+        assert r.slot == t - 1 and r.release <= r.slot < r.deadline
+    assert had == Counter(s for _, s in rows)
+
+
+def test_weights_without_a_short_period():
+    weights = {"a": Fraction(1), "b": Fraction("0.0004"), "c": Fraction("0.123456789")}
+    left = {"a": 9000, "b": 9000, "c": 9000}
+    order, had = mixing.period(mixing.in_parts({s: float(w) for s, w in weights.items()}), left), Counter()
+    for t, s in enumerate(order, 1):
+        had[s] += 1
+        assert all(abs(had[x] - w / sum(weights.values()) * t) < 1 for x, w in weights.items())
+    assert had["a"] == 9000 and had["b"] in (3, 4)
+    plan = mixing.phases(left, {s: float(w) for s, w in weights.items()})
+    seen = []
+    for p, after in zip(plan, [*plan[1:], None], strict=True):
+        for s in p.first:
+            w, slots = p.spans(s)
+            for i in range(p.first[s], after.first.get(s, left[s]) if after else left[s]):
+                turns, turn = divmod(i - p.first[s], w)
+                seen.append(p.start + turns * slots + p.places[s][turn])
+    assert sorted(seen) == list(range(27_000))
+
+
 def test_mixed_rows_keep_all(spark):
     df = spark.createDataFrame([(i, f"s{i % 3}", f"t{i}") for i in range(200)] + [(5, "s2", "t5")], "doc_id long, source string, text string")
     out = mixing.mixed_rows(df, block_rows=8)

@@ -4,52 +4,58 @@ Rows of a source are numbered and cut into blocks. Block ``i`` (from 0) of a sou
 slot ``floor(i / w)`` and due by slot ``ceil((i + 1) / w)``; of the released blocks the one with the earliest deadline
 takes each slot, so after any number ``t`` of slots a source has had between ``w t - 1`` and ``w t + 1`` blocks.
 
-With weights in whole parts of a period the schedule repeats after a period, so the driver works out one period and
-every block's slot follows from its number. When a source runs out, the others go on under their weights, scaled up
+Weights are taken exactly, as whole parts of their common period, after which the schedule repeats; so the driver works
+out one period (or less, if a source runs out within it) and every block's slot follows from its number. When a source runs out, the others go on under their weights, scaled up
 to fill the slots: a new phase with a period of its own. There are at most as many phases as sources.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemart.llm.common import written
 
 PARTS = 1000  #: a period has this many slots at least
-MOST_SOURCES = 500  #: sources the driver schedules (a plan of up to 1.5 million slots); more are an error, not a cut
+MOST_SOURCES = 500  #: sources the driver schedules; more are an error, not a cut
 
 
 def in_parts(weights: dict[str, float], parts: int = PARTS) -> dict[str, int]:
-    """The weights as whole parts of a period, one at least, by largest remainder."""
-    parts = max(parts, 10 * len(weights))
-    total = sum(weights.values())
-    share = {s: w / total * parts for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in share.items()}
-    short = parts - sum(out.values())
-    for s in sorted(share, key=lambda s: (int(share[s]) - share[s], s))[: max(0, short)]:
-        out[s] += 1
-    return out
+    """The weights as whole parts of a period, exactly as their decimals say; the period has ``parts`` slots or more."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    unit = math.lcm(*(x.denominator for x in exact.values()))
+    whole = {s: int(x * unit) for s, x in exact.items()}
+    common = math.gcd(*whole.values())
+    times = -(-parts * common // sum(whole.values()))
+    return {s: n // common * times for s, n in whole.items()}
+
 
+def period(parts: dict[str, int], left: dict[str, int] | None = None) -> list[str]:
+    """The source of each slot of a period, earliest deadline first; equal deadlines go by name.
 
-def period(parts: dict[str, int]) -> list[str]:
-    """The source of each slot of a period, earliest deadline first; equal deadlines go by name."""
+    With ``left``, the blocks that the sources have, only up to the slot in which one gives its last.
+    """
     slots = sum(parts.values())
-    released: list[list[tuple[int, str, int]]] = [[] for _ in range(slots)]
-    for s, w in parts.items():
-        for i in range(w):
-            released[i * slots // w].append((-(-(i + 1) * slots // w), s, i))
+    waiting = [(0, 0, s) for s in sorted(parts)]  #: (release, number, source) of each source's next block
     ready: list[tuple[int, str, int]] = []
     order = []
     for t in range(slots):
-        for block in released[t]:
-            heapq.heappush(ready, block)
-        due, s, _ = heapq.heappop(ready)
+        while waiting and waiting[0][0] <= t:
+            _, i, s = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(i + 1) * slots // parts[s]), s, i))
+        due, s, i = heapq.heappop(ready)
         if due <= t:
             raise AssertionError("a block missed its deadline")
         order.append(s)
+        if left and i + 1 == left[s]:
+            break
+        if i + 1 < parts[s]:
+            heapq.heappush(waiting, ((i + 1) * slots // parts[s], i + 1, s))
     return order
 
 
@@ -58,22 +64,34 @@ class Phase:
     start: int  #: first slot
     first: dict[str, int]  #: each source's first block
     parts: dict[str, int]
-    places: dict[str, list[int]]  #: each source's slots within a period
+    places: dict[str, list[int]]  #: each source's slots within a period, as far as the phase goes
     slots: int  #: of a period
 
+    def turns(self) -> Iterator[tuple[str, int, int, int, int]]:
+        """(source, number, slot, release, deadline) of each block of a period."""
+        for s, slots in self.places.items():
+            for i, slot in enumerate(slots):
+                yield s, i, slot, i * self.slots // self.parts[s], min(-(-(i + 1) * self.slots // self.parts[s]), 1 << 60)
+
+    def spans(self, s: str) -> tuple[int, int]:
+        """(blocks, slots) after which the source's turns repeat; a phase within one period has no more than its turns."""
+        whole = len(self.places[s]) == self.parts[s]
+        return (self.parts[s], self.slots) if whole else (max(1, len(self.places[s])), 0)
+
 
 def phases(blocks: dict[str, int], weights: dict[str, float], parts: int = PARTS) -> list[Phase]:
     """The phases in which all ``blocks`` are scheduled, each block once."""
     left, done, start, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
     while left:
         share = in_parts({s: weights[s] for s in left}, parts)
-        order = period(share)
+        order = period(share, left)
         places: dict[str, list[int]] = {s: [] for s in share}
         for t, s in enumerate(order):
             places[s].append(t)
-        slots = len(order)
-        last = {s: (n - 1) // share[s] * slots + places[s][(n - 1) % share[s]] for s, n in left.items()}
-        ended = min(last.values()) + 1
+        slots = sum(share.values())
+        ended = len(order)
+        if ended == slots:
+            ended = min((n - 1) // share[s] * slots + places[s][(n - 1) % share[s]] for s, n in left.items()) + 1
         out.append(Phase(start, {s: done[s] for s in left}, share, places, slots))
         whole, rest = divmod(ended, slots)
         for s in list(left):
@@ -134,10 +152,10 @@ def scheduled(
     blocks = {r["_key"]: -(-r["count"] // block_rows) for r in counts}
     placed = numbered(based, "_key", ["_hash"])
     plan = phases(blocks, {k: weights.get(k[1:], other) if k else other for k in blocks}, parts)
-    turns = [(k, n, i, place) for n, p in enumerate(plan) for k in p.places for i, place in enumerate(p.places[k])]
-    by_key = [(k, [(n, p.first[k], p.start, p.parts[k], p.slots) for n, p in enumerate(plan) if k in p.first]) for k in blocks]
+    turns = [(n, *turn) for n, p in enumerate(plan) for turn in p.turns()]
+    by_key = [(k, [(n, p.first[k], p.start, *p.spans(k)) for n, p in enumerate(plan) if k in p.first]) for k in blocks]
     spark = df.sparkSession
-    turns = spark.createDataFrame(turns, "_key string, _number long, _turn long, _slot long")
+    turns = spark.createDataFrame(turns, "_number long, _key string, _turn long, _slot long, _release long, _deadline long")
     spans = spark.createDataFrame(by_key, "_key string, _phases array<struct<number: long, first: long, start: long, w: long, slots: long>>")
     now = placed.withColumn("_block", F.floor(F.col("_n") / block_rows)).join(F.broadcast(spans), "_key")
     now = now.withColumn("_phase", F.element_at(F.filter("_phases", lambda p: p["first"] <= F.col("_block")), -1)).drop("_phases")
@@ -146,8 +164,8 @@ def scheduled(
     base = F.col("_phase.start") + F.floor(since / F.col("_phase.w")) * F.col("_phase.slots")
     place = F.struct(
         F.col("_block").cast("long").alias("block"),
-        (base + F.floor(F.col("_turn") * F.col("_phase.slots") / F.col("_phase.w"))).cast("long").alias("release"),
-        (base + F.ceil((F.col("_turn") + 1) * F.col("_phase.slots") / F.col("_phase.w"))).cast("long").alias("deadline"),
+        (base + F.col("_release")).cast("long").alias("release"),
+        (base + F.col("_deadline")).cast("long").alias("deadline"),
         (base + F.col("_slot")).cast("long").alias("slot"),
         F.pmod(F.col("_n"), F.lit(block_rows)).cast("int").alias("position"),
     )
