@@ -29,8 +29,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of 2048 tokens."""
-    return packing.pack(docs, queries.byte_bpe())
+    """The pieces of all documents with their places in sequences of 2048 tokens, which follow the mixture."""
+    return packing.pack(docs, queries.byte_bpe(), in_order=True)
 
 
 STAGES = [

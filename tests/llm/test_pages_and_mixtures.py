@@ -169,6 +169,27 @@ def test_weights_without_a_short_period():
     assert sorted(seen) == list(range(27_000))
 
 
+def test_packing_follows_the_mixture(spark, monkeypatch, sf_dir):
+    import corpus_pipeline
+    from tidemart.llm import packing
+
+    docs = spark.createDataFrame([(i, f"src{i % 3}", "one two three " * (1 + i % 7) * 40) for i in range(1200)], "doc_id long, source string, text string")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("documents", lambda *_: docs), *corpus_pipeline.STAGES[3:]])
+    found = []
+    for weights in ({"src0": 2.0}, {"src0": 9.0}):
+        monkeypatch.setattr(queries, "WEIGHTS", weights)
+        out = corpus_pipeline.run(spark, sf_dir).collect()
+        assert sorted(r.doc_id for r in out) == list(range(1200))
+        found.append({r.doc_id: (r.sequence_id, r.offset) for r in out})
+        first = sorted({r.sequence_id for r in out})[: len({r.sequence_id for r in out}) // 4]
+        share = sum(r.length for r in out if r.sequence_id <= first[-1] and r.doc_id % 3 == 0) / sum(r.length for r in out if r.sequence_id <= first[-1])
+        assert abs(share - weights["src0"] / (weights["src0"] + 2)) < 0.12
+    assert found[0] != found[1]
+    order = {r.doc_id: k for k, r in enumerate(mixing.mixed_rows(docs, weights=weights).collect())}
+    rows = packing.pack(mixing.mixed_rows(docs, weights=weights), queries.byte_bpe(), shard_items=300, in_order=True).collect()
+    assert all(order[r.doc_id] // 300 == r.sequence_id >> 40 for r in rows) and len(rows) == 1200
+
+
 def test_mixed_rows_keep_all(spark):
     df = spark.createDataFrame([(i, f"s{i % 3}", f"t{i}") for i in range(200)] + [(5, "s2", "t5")], "doc_id long, source string, text string")
     out = mixing.mixed_rows(df, block_rows=8)

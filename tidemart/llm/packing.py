@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemart.llm.common import arrow_input, field, written
+from tidemart.llm.mixing import numbered
 
 #: Characters whose classes (letter, digit, space) no Unicode version disputes: Latin, Greek, Cyrillic, kana, Han and
 #: Hangul; other texts take the slower encoder.
@@ -59,9 +60,9 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def tokenize_pieces(
-    df: DataFrame, tokenizer: tuple[str, str, str], capacity: int, end_id: int, id_col: str, text_col: str
+    df: DataFrame, tokenizer: tuple[str, str, str], capacity: int, end_id: int, id_col: str, text_col: str, carried: tuple[str, ...] = ()
 ) -> DataFrame:
-    """(id, piece, start, length, ids_crc32) for each piece of each document with its end id."""
+    """(id, piece, start, length, ids_crc32) and the carried columns for each piece of each document with its end id."""
     schema = T.StructType(
         [
             field(df, id_col),
@@ -69,6 +70,7 @@ def tokenize_pieces(
             T.StructField("start", T.LongType(), False),
             T.StructField("length", T.LongType(), False),
             T.StructField("ids_crc32", T.LongType(), False),
+            *[field(df, c) for c in carried],
         ]
     )
 
@@ -91,11 +93,25 @@ def tokenize_pieces(
                     pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()),
                     pa.array(crc, pa.int64()),
+                    *[batch.column(2 + k).take(pa.array(at, pa.int64())) for k in range(len(carried))],
                 ],
-                names=[id_col, "piece", "start", "length", "ids_crc32"],
+                names=[id_col, "piece", "start", "length", "ids_crc32", *carried],
             )
 
-    return arrow_input(df, id_col, text_col).mapInArrow(run, schema)
+    return arrow_input(df, id_col, text_col, *carried).mapInArrow(run, schema)
+
+
+def standing(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The id and text of each row, and its place (``_file``, ``_at``) in the order in which the rows stand.
+
+    Spark reads files in any order, so where ``df`` is a read of files the place is that of the row in its file.
+    """
+    if df._jdf.queryExecution().analyzed().nodeName().startswith("LogicalRelation"):
+        name = F.col("_metadata.file_name")  # part-99999 is before part-100000
+        file, at = F.concat(F.lpad(F.length(name).cast("string"), 4, "0"), name), F.col("_metadata.row_index")
+    else:
+        file, at = F.lit(""), F.monotonically_increasing_id()
+    return df.select(id_col, text_col, file.alias("_file"), at.alias("_at"))
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,26 +159,42 @@ def pack(
     shard_items: int = 65_536,
     id_col: str = "doc_id",
     text_col: str = "text",
+    in_order: bool = False,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens: one row per piece with its place.
 
     Tokens are made once and only the pieces' sizes travel: they are dealt by hash into shards of about
     ``shard_items`` pieces, and each shard is packed on its own, so a task's memory is bounded whatever the input. A
-    shard leaves a few bins part-empty, out of tens of thousands. Null texts are empty and hold the end id alone;
+    shard leaves a few bins part-empty, out of tens of thousands. With ``in_order`` the shards are consecutive ranges
+    of the rows as they stand, pieces of equal length keep that order, and a shard's sequences are numbered by the
+    place of the piece that opened them, its longest; so sequences follow the order of the rows. Null texts are empty and hold the end id alone;
     repeated rows are packed as separate documents; null ids are allowed; an empty table gives an empty result.
     """
-    pieces = written(tokenize_pieces(df, tokenizer, capacity, end_id, id_col, text_col), "pieces")
-    shards = max(1, -(-pieces.count() // shard_items))
+    carried = ("_file", "_at") if in_order else ()
+    rows = standing(df, id_col, text_col) if in_order else df
+    pieces = written(tokenize_pieces(rows, tokenizer, capacity, end_id, id_col, text_col, carried), "pieces")
+    count = pieces.count()
+    shards = max(1, -(-count // shard_items))
     schema = T.StructType(
-        [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+        [*pieces.drop(*carried).schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([id_col, "start", "length", "ids_crc32"], kind="stable").reset_index(drop=True)
+        by = ["_n"] if in_order else [id_col, "start", "length", "ids_crc32"]
+        pdf = pdf.sort_values(by, kind="stable").reset_index(drop=True)
         bins, offsets = sum_of_squares(pdf["length"].to_numpy(), capacity)
-        out = pdf.drop(columns="_shard")
+        if in_order:
+            opened = bins[offsets == 0]  # in order of the openers' places
+            turn = np.empty_like(opened)
+            turn[opened] = np.arange(len(opened))
+            bins = turn[bins]
+        out = pdf[schema.names[:-2]].copy()
         out["sequence_id"], out["offset"] = bins + (int(key[0]) << 40), offsets
         return out
 
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(F.col(id_col).cast("string"), "start", "ids_crc32"), F.lit(shards)))
+    if in_order:
+        placed = numbered(pieces.withColumnRenamed("_at", "_place").withColumn("_all", F.lit(0)), "_all", ["_file", "_place", "piece"])
+        dealt = placed.drop("_all", "_file", "_place").withColumn("_shard", F.expr(f"_n * {shards} div {max(1, count)}"))
+    else:
+        dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(F.col(id_col).cast("string"), "start", "ids_crc32"), F.lit(shards)))
     return dealt.groupBy("_shard").applyInPandas(run, schema)
