@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import math
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -87,18 +88,16 @@ def test_url_verdicts(spark):
     assert url_filter.judge(pages(spark).limit(0)).count() == 0
 
 
-def slow_schedule(blocks, weights, parts):
-    """Slot by slot: of the released blocks the one due first; when a source runs out, weights are dealt anew."""
-    left, out = {s: n for s, n in blocks.items() if n}, []
-    done = Counter()
+def slow_schedule(blocks, weights):
+    """(source, block, release, deadline, slot), slot by slot from the weights: of the released blocks the one due first."""
+    left, done, out = {s: n for s, n in blocks.items() if n}, Counter(), []
     while left:
-        share = mixing.in_parts({s: weights[s] for s in left}, parts)
-        slots, had, t, first = sum(share.values()), Counter(), 0, dict(done)
-        start = len(out)
+        total, had, start, t = sum(weights[s] for s in left), Counter(), len(out), 0
         while all(had[s] < n for s, n in left.items()):
-            ready = [(-(-(had[s] + 1) * slots // w), s) for s, w in share.items() if had[s] * slots // w <= t]
-            _, s = min(ready)
-            out.append((start + t, s, first.get(s, 0) + had[s]))
+            share = {s: weights[s] / total for s in left}
+            ready = [(math.ceil((had[s] + 1) / share[s]), -weights[s], s) for s in left if math.floor(had[s] / share[s]) <= t]
+            due, _, s = min(ready)
+            out.append((s, done[s] + had[s], start + math.floor(had[s] / share[s]), start + due, start + t))
             had[s] += 1
             t += 1
         for s in list(left):
@@ -114,12 +113,12 @@ def test_mixture_like_brute_force(spark):
     rows = [(i, s, "x") for s, n in sizes.items() for i in range(n)] + [(None, "a", "x")]
     df = spark.createDataFrame(rows, "doc_id long, source string, slot string")
     weights = {"a": 3.0, "b": 1.5}
-    out = mixing.schedule(df, weights=weights, block_rows=4, parts=20).collect()
+    out = mixing.schedule(df, weights=weights, block_rows=4, task_slots=7).collect()
     assert Counter((r.doc_id, r.source) for r in out) == Counter((d, s) for d, s, _ in rows)
     counts = Counter(r[1] for r in rows)
     key = lambda s: "" if s is None else "s" + s
-    want = slow_schedule({key(s): -(-n // 4) for s, n in counts.items()}, {key(s): weights.get(s, 1.0) for s in counts}, 20)
-    assert sorted({(r.slot, key(r.source), r.block) for r in out}) == want
+    want = slow_schedule({key(s): -(-n // 4) for s, n in counts.items()}, {key(s): Fraction(weights.get(s, 1.0)) for s in counts})
+    assert sorted({(r.slot, key(r.source), r.block) for r in out}) == sorted((t, s, b) for s, b, _, _, t in want)
     assert all(r.release <= r.slot < r.deadline for r in out)
     assert len({(r.slot, r.position) for r in out}) == len(out)
     assert mixing.schedule(df.limit(0)).count() == 0
@@ -127,46 +126,37 @@ def test_mixture_like_brute_force(spark):
         mixing.schedule(df, weights={"a": 0.0})
 
 
-@settings(max_examples=60, deadline=None)
-@given(parts=st.dictionaries(st.sampled_from("abcdefgh"), st.integers(1, 30), min_size=1))
-def test_lag_stays_under_one_block(parts):
-    order, total = mixing.period(parts), sum(parts.values())
-    had = Counter()
-    for t, s in enumerate(order, 1):
-        had[s] += 1
-        assert all(abs(had[x] - w * t / total) < 1 for x, w in parts.items())
-    assert had == Counter(parts)
-
-
-def test_weights_are_exact(spark):
-    rows = [(i, f"src{k}") for k in range(20) for i in range(240 if k == 0 else 120)]
-    out = mixing.schedule(spark.createDataFrame(rows, "doc_id long, source string"), weights=queries.WEIGHTS, block_rows=1).collect()
-    had = Counter()
-    for t, r in enumerate(sorted(out, key=lambda r: r.slot), 1):
-        had[r.source] += 1
-        if t <= 21 * 119:  # in the last period sources run out
-            assert all(abs(21 * had[f"src{k}"] - (2 if k == 0 else 1) * t) < 21 for k in range(20))
-        assert r.slot == t - 1 and r.release <= r.slot < r.deadline
-    assert had == Counter(s for _, s in rows)
-
-
-def test_weights_without_a_short_period():
-    weights = {"a": Fraction(1), "b": Fraction("0.0004"), "c": Fraction("0.123456789")}
-    left = {"a": 9000, "b": 9000, "c": 9000}
-    order, had = mixing.period(mixing.in_parts({s: float(w) for s, w in weights.items()}), left), Counter()
-    for t, s in enumerate(order, 1):
-        had[s] += 1
-        assert all(abs(had[x] - w / sum(weights.values()) * t) < 1 for x, w in weights.items())
-    assert had["a"] == 9000 and had["b"] in (3, 4)
-    plan = mixing.phases(left, {s: float(w) for s, w in weights.items()})
-    seen = []
-    for p, after in zip(plan, [*plan[1:], None], strict=True):
-        for s in p.first:
-            w, slots = p.spans(s)
-            for i in range(p.first[s], after.first.get(s, left[s]) if after else left[s]):
-                turns, turn = divmod(i - p.first[s], w)
-                seen.append(p.start + turns * slots + p.places[s][turn])
-    assert sorted(seen) == list(range(27_000))
+WEIGHT = st.builds(Fraction, st.integers(1, 40), st.integers(1, 30))
+
+
+@settings(max_examples=150, deadline=None)
+@given(sources=st.lists(st.tuples(WEIGHT, st.integers(0, 40)), max_size=7), alike=st.booleans(), each=st.integers(1, 25))
+def test_any_range_of_slots_by_itself(sources, alike, each):
+    weights = {f"s{i}": sources[i // 2 * 2 if alike else i][0] for i in range(len(sources))}
+    blocks = {f"s{i}": n for i, (_, n) in enumerate(sources)}
+    plan = mixing.Plan.of(blocks, weights)
+    got = [row for low in range(0, plan.slots, each) for row in plan.rows(low, min(plan.slots, low + each))]
+    assert got == slow_schedule(blocks, weights)
+
+
+@pytest.mark.parametrize("weights", [{"a": "2", **{f"b{k:02}": "1" for k in range(19)}}, {"a": "1", "b": "0.000001"}, {"a": "1/7", "b": "6/7"}, {"a": "1", "b": "0.0004", "c": "0.123456789"}])
+def test_lag_stays_under_one_block(weights):
+    weights = {s: Fraction(w) for s, w in weights.items()}
+    total, slots = sum(weights.values()), 100_000
+    plan, had = mixing.Plan.of({s: 2 * slots for s in weights}, weights), Counter()
+    assert plan.phases[0].slots >= slots
+    for low in range(0, slots, 30_000):
+        for s, block, _, _, t in plan.rows(low, min(slots, low + 30_000)):
+            assert block == had[s]
+            had[s] += 1
+            if t % 11 == 0 or t > slots - 100:
+                assert all(abs(had[x] - w * (t + 1) / total) < 1 for x, w in weights.items())
+
+
+def test_many_sources(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("site"), F.col("id") % 1100).alias("source"))
+    out = mixing.schedule(df, weights={"site7": 0.3, "site8": Fraction(1, 3)}, block_rows=1).collect()
+    assert len(out) == 3000 and sorted(r.slot for r in out) == list(range(3000))
 
 
 def test_packing_follows_the_mixture(spark, monkeypatch, sf_dir):

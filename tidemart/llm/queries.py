@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import shingle_join, sketch, url_filter, warc
+from tidemart.llm import mixing, shingle_join, sketch, url_filter, warc
 from tidemart.llm.common import table
 
 
@@ -75,7 +75,7 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Target weights of the mixture: the large source twice the share of each other.
-WEIGHTS = {"src0": 2.0}
+WEIGHTS = {"src0": 2}
 
 
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,4 +104,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {"op1_shingle_join": shingle_join.SQL, "op3_warc_index": warc.SQL, "op4_url_filter": url_filter.sql(), "op7_scaled_sketch": sketch.SQL}
+ORACLES: dict[str, str] = {
+    "op1_shingle_join": shingle_join.SQL,
+    "op3_warc_index": warc.SQL,
+    "op4_url_filter": url_filter.sql(),
+    "op7_scaled_sketch": sketch.SQL,
+    "op9_mixture": mixing.sql(WEIGHTS),
+}
