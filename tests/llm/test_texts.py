@@ -184,14 +184,21 @@ def test_blocks_of_frames_do_not_show(monkeypatch):
 
 def brute_sketch(text):
     w = [x for x in __import__("re").split("[ \t\n\r\f]+", text) if x]
-    if not w:
-        return []
-    h = {hashlib.md5(" ".join(w[i : i + 5]).encode()).hexdigest()[:12] for i in range(max(1, len(w) - 4))}
-    return sorted(x for x in h if x < "2") or [min(h)]
+    h = {hashlib.md5(" ".join(w[i : i + 5]).encode()).hexdigest()[:12] for i in range(max(1, len(w) - 4))} if w else set()
+    return min(h, default=None), sorted(x for x in h if int(x, 16) < 16**12 / 8)
+
+
+def shown(sketch_):
+    return (sketch_[0] or "") + "|" + " ".join(sketch_[1])
+
+
+def like(x, y):
+    a, b = set(x[1]), set(y[1])
+    return len(a & b) / len(a | b) if a | b else float(x[0] == y[0])
 
 
 def test_sketches_like_brute_force(spark):
-    texts = {9: "a b c d e f g", 8: None, 7: "", 5: "z", 4: " ".join(f"w{i}" for i in range(400)), 2: "a b c d e f g", 1: "é" * 10, None: "null id"}
+    texts = {9: "a b c d e f g", 8: None, 7: "", 5: "z", 4: " ".join(f"w{i}" for i in range(400)), 2: "a b c d e f g", 1: "é" * 10, 0: "word " * 200_000, None: "null id"}
     rows = spark.createDataFrame([(k, v, "x") for k, v in texts.items()], "doc_id long, text string, next string")
     for buckets in (1, 3, 8):
         out = {r.doc_id: r for r in sketch.fingerprints(rows, buckets=buckets).collect()}
@@ -201,22 +208,52 @@ def test_sketches_like_brute_force(spark):
             n = len(own)
             changed = own[: n - n // 3] + nxt[: n // 3]
             a, b, c = brute_sketch(own), brute_sketch(changed), brute_sketch(nxt)
-            like = lambda x, y: 1.0 if not x and not y else len(set(x) & set(y)) / len(set(x) | set(y))
             r = out[k]
             assert (r.n_chars, r.edited_sha256) == (n, hashlib.sha256(changed.encode()).hexdigest())
-            assert (r.fingerprint, r.edited_fingerprint) == (" ".join(a), " ".join(b))
+            assert (r.fingerprint, r.edited_fingerprint, r.kept_hashes) == (shown(a), shown(b), len(a[1]))
             assert (r.near_edited, r.near_next) == (like(a, b), like(a, c))
+            both = {*a[1], *c[1]}
+            assert r.edited_in_both == (1.0 if b[0] is None else sum(x in both for x in b[1]) / len(b[1]) if b[1] else None)
     assert sketch.fingerprints(rows.limit(0)).count() == 0
     assert sketch.fingerprints(rows.limit(1)).count() == 1
     twice = sketch.fingerprints(rows.union(rows), buckets=3)
     assert twice.count() == 2 * len(texts)
 
 
-def test_containment_of_unequal_texts(spark):
+def test_neighbours_of_hot_ids(spark):
+    rows = [(None, f"null {i}") for i in range(60)] + [(7, f"seven {i}") for i in range(80)] + [(i, f"t{i}") for i in range(100, 140)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for buckets in (1, 5, 24):
+        out = sketch.with_next(df, "doc_id", ["text"], buckets).collect()
+        following = {r.text: r["next"]["text"] for r in out}
+        assert len(out) == len(rows) and len(following) == len(rows)
+        at, order = "t139", []
+        for _ in rows:  # one circle through all rows, ids descending
+            order.append(at)
+            at = following[at]
+        ids = {t: i for i, t in rows}
+        seen = [ids[t] for t in order]
+        assert at == "t139" and len(set(order)) == len(rows)
+        assert seen == sorted((i for i in seen if i is not None), reverse=True) + [None] * 60
+
+
+def test_containment_and_union_of_unequal_texts(spark):
     long = [f"w{i}" for i in range(3000)]
-    df = spark.createDataFrame([(" ".join(long), " ".join(long[:1000]))], "a string, b string")
-    got = df.select(sketch.containment(sketch.sketch(F.col("b")), sketch.sketch(F.col("a")))).first()[0]
-    assert got == 1.0
+    texts = {"long": long, "part": long[:1000], "short": long[10:16], "other": [f"x{i}" for i in range(900)], "none": []}
+    df = spark.createDataFrame([tuple(" ".join(t) for t in texts.values())], ", ".join(f"{n} string" for n in texts))
+    s = {n: sketch.sketch(F.col(n)) for n in texts}
+    got = df.select(
+        sketch.containment(s["part"], s["long"]).alias("part"),
+        sketch.containment(s["none"], s["long"]).alias("none"),
+        sketch.containment(s["short"], s["long"]).alias("short"),
+        sketch.containment(s["long"], s["part"]).alias("back"),
+        sketch.containment(s["other"], s["long"]).alias("other"),
+        sketch.united(s["part"], s["other"]).alias("union"),
+    ).first()
+    assert got.part == got.none == 1.0 and got.other == 0.0 and abs(got.back - 1 / 3) < 0.06
+    assert got.short == (1.0 if brute_sketch(" ".join(texts["short"]))[1] else None)
+    hashes = [brute_sketch(" ".join(texts[n])) for n in ("part", "other")]
+    assert (got.union.least, got.union.kept) == (min(h[0] for h in hashes), sorted({*hashes[0][1], *hashes[1][1]}))
 
 
 def test_folding():

@@ -1,16 +1,26 @@
 """Threshold-scaled sketches of word shingles, with DataFrame functions only.
 
-A sketch keeps every shingle hash in a fixed fraction of the hash range, so it grows with its document, sketches of
-parts can be united, and containment between documents of very unequal length can be estimated.
+A sketch keeps every shingle hash below a fixed fraction of the hash range, whatever the text, so it grows with its
+document, the union of the sketches of parts is the sketch of the whole's shingles, and containment between documents of
+very unequal length can be estimated. Beside it stands the least hash of all shingles, which unites by minimum: texts so
+short that no hash falls below the fraction are told apart by it.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WORDS = 5
-BELOW = "2"  #: hashes are hex digests; those that sort below this are kept: 2/16 of all
+FRACTION = 1 / 8  #: of all hashes that are kept
 DIGITS = 12  #: hex digits kept of a hash
+BUCKET_BYTES = 64 << 20  #: of input files, about, whose rows meet in a task
+
+
+def below(fraction: float) -> str:
+    """The hex digest that hashes kept sort below."""
+    return f"{math.ceil(fraction * 16**DIGITS):0{DIGITS}x}" if fraction < 1 else "g"
 
 
 def words_of(text: Column) -> Column:
@@ -22,121 +32,173 @@ def once(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def sketch(text: Column) -> Column:
-    """Sorted distinct retained hashes of the text's shingles of five words, as an array of strings.
+def sketch(text: Column, fraction: float = FRACTION) -> Column:
+    """Struct of ``least``, the smallest hash of the text's shingles of five words, and ``kept``, those below the fraction.
 
-    A text of fewer words is one shingle, one without words has an empty sketch. A sketch that would be empty although
-    there are shingles holds the smallest hash instead, so that short texts stay comparable.
+    ``kept`` is a sorted array of distinct strings. A text of fewer words is one shingle; one without words (null texts
+    are read as empty) has no hashes: ``least`` is null, ``kept`` empty.
     """
     hashed = lambda w: F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(w) - (WORDS - 1), F.lit(1))),
         lambda i: F.substring(F.md5(F.array_join(F.slice(w, i, WORDS), " ")), 1, DIGITS),
     )
-    low = lambda h: F.filter(h, lambda x: x < BELOW)
-    either = lambda h: once(low(h), lambda k: F.when(F.size(k) > 0, k).otherwise(F.array(F.array_min(h))))
-    none = F.array().cast("array<string>")
-    kept = lambda w: F.when(F.size(w) > 0, once(hashed(w), either)).otherwise(none)
-    return F.array_sort(F.array_distinct(once(words_of(text), kept)))
+    low = lambda h: F.array_sort(F.array_distinct(F.filter(h, lambda x: x < below(fraction))))
+    pair = lambda h: F.struct(F.array_min(h).alias("least"), low(h).alias("kept"))
+    none = F.struct(F.lit(None).cast("string").alias("least"), F.array().cast("array<string>").alias("kept"))
+    return once(words_of(F.coalesce(text, F.lit(""))), lambda w: F.when(F.size(w) > 0, once(hashed(w), pair)).otherwise(none))
+
+
+def united(a: Column, b: Column) -> Column:
+    """The sketch of two texts' shingles together."""
+    return F.struct(
+        F.coalesce(F.least(a["least"], b["least"]), a["least"], b["least"]).alias("least"),
+        F.array_sort(F.array_union(a["kept"], b["kept"])).alias("kept"),
+    )
+
+
+def as_text(sketch_: Column) -> Column:
+    """``least|hash hash ...``; a sketch without hashes is ``|``."""
+    return F.concat(F.coalesce(sketch_["least"], F.lit("")), F.lit("|"), F.array_join(sketch_["kept"], " "))
+
+
+def from_text(text: Column) -> Column:
+    return F.struct(
+        F.nullif(F.substring_index(text, "|", 1), F.lit("")).alias("least"),
+        F.array_remove(F.split(F.substring_index(text, "|", -1), " "), "").alias("kept"),
+    )
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity; two empty sketches are alike, one empty sketch is like no other."""
-    both = F.size(F.array_intersect(a, b))
-    either = F.size(a) + F.size(b) - both
-    return F.when(either == 0, F.lit(1.0)).otherwise(both / either).cast("double")
+    """Estimated Jaccard similarity, of the hashes kept; where neither sketch has one, 1 if the least hashes are equal
+    (or both missing: texts without words are alike), else 0."""
+    both = F.size(F.array_intersect(a["kept"], b["kept"]))
+    either = F.size(a["kept"]) + F.size(b["kept"]) - both
+    return F.when(either == 0, a["least"].eqNullSafe(b["least"]).cast("double")).otherwise(both / either).cast("double")
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of ``a``'s shingles that ``b`` has; 1 for an empty ``a``."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a)).cast("double")
+    """Estimated share of ``a``'s shingles that ``b`` has; 1 for a text without words, null where none of ``a``'s
+    hashes was kept, as nothing can be told then."""
+    n = F.size(a["kept"])
+    return F.when(a["least"].isNull(), F.lit(1.0)).when(n > 0, F.size(F.array_intersect(a["kept"], b["kept"])) / n).cast("double")
+
+
+def _struct(values: list[tuple], kinds: list[str]) -> Column:
+    """An array literal of structs (id, h)."""
+    return F.array(*[F.struct(*[F.lit(v).cast(k).alias(n) for v, k, n in zip(row, kinds, ("id", "h"), strict=True)]) for row in values])
+
+
+def _above(cuts: list[tuple], kinds: list[str], key: Column) -> Column:
+    """How many of the sorted ``cuts`` are smaller than ``key``, looked for in two steps of about the root of their number."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts)) + 1
+    groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    smaller = lambda array: F.size(F.filter(array, lambda c: c < key))
+    full = F.greatest(smaller(_struct([g[0] for g in groups], kinds)) - 1, F.lit(0))
+    inner = F.element_at(F.array(*[_struct(g, kinds) for g in groups]), full + 1)
+    return (full * step + smaller(inner)).cast("int")
 
 
 def with_next(df: DataFrame, id_col: str, carried: list[str], buckets: int) -> DataFrame:
     """Each row with the ``carried`` columns of the next row, in order of descending id (``next`` struct).
 
-    After the last row comes the first. Null ids come last; equal ids are ordered by the carried columns, descending.
-    Ids are cut into buckets by quantiles (their number is a parameter, so what the driver sees is bounded), each
-    bucket also gets the first row of the bucket below, and no task holds more than a bucket.
+    After the last row comes the first. Null ids come last; equal ids are ordered by a hash of the carried columns, so
+    that rows which share an id, or have none, spread over buckets too; only rows equal in all of these stay together.
+    Rows are cut into buckets by quantiles of the id, and of the hash where an id spans several; each bucket also gets
+    the first row of the bucket below, and no task holds more than a bucket. What the driver sees is bounded by the
+    number of buckets, which is a parameter.
     """
+    kinds = [df.schema[id_col].dataType.simpleString(), "bigint"]
+    rows = df.withColumn("_h", F.xxhash64(*carried))
     at = [i / buckets for i in range(1, buckets)]
-    cuts = sorted({*(df.agg(F.percentile_approx(id_col, at, 20 * buckets)).first()[0] or [])} if at else ())
-    key = F.col(id_col)
-
-    def by_bucket(leaf, low: int = 0, high: int = len(cuts)) -> Column:
-        """``leaf(k)`` for the bucket k, ids up to the k-th cut, by binary search; null ids are in the lowest."""
-        if low == high:
-            return leaf(low)
-        mid = (low + high) // 2
-        return F.when(key > cuts[mid], by_bucket(leaf, mid + 1, high)).otherwise(by_bucket(leaf, low, mid))
-
-    bucket = by_bucket(F.lit)
-    kind = df.schema[id_col].dataType
-    tops = sorted((r["b"], r["top"]) for r in df.groupBy(bucket.alias("b")).agg(F.max(id_col).alias("top")).collect())
-    above = {b: (top, tops[(k + 1) % len(tops)][0]) for k, (b, top) in enumerate(tops)}
-    none = (None, None)
-    first_of = by_bucket(lambda k: F.lit(above.get(k, none)[0]).cast(kind))
-    upper = by_bucket(lambda k: F.lit(above.get(k, none)[1]).cast("int"))
-    own = F.struct(bucket.alias("bucket"), F.lit(False).alias("guest"))
+    seen = df.agg(
+        F.count("*").alias("n"),
+        F.count(id_col).alias("ids"),
+        (F.percentile_approx(id_col, at, 20 * buckets) if at else F.lit(None)).alias("cuts"),
+    ).first()
+    spread = lambda k: [-(1 << 63) + (i + 1) * ((1 << 64) // (k + 1)) for i in range(k)]
+    found = seen["cuts"] or []
+    cuts = [(None, h) for h in spread((seen["n"] - seen["ids"]) * buckets // max(1, seen["n"]))]
+    if seen["ids"] < seen["n"] and seen["ids"]:
+        cuts.append((None, (1 << 63) - 1))
+    for value in sorted(set(found)):
+        cuts += [(value, h) for h in spread(found.count(value) - 1)] + [(value, (1 << 63) - 1)]
+    rows = rows.withColumn("_bucket", _above(cuts, kinds, F.struct(F.col(id_col).alias("id"), F.col("_h").alias("h"))))
+    top = F.max(F.struct(F.col(id_col).alias("id"), F.col("_h").alias("h"))).alias("top")
+    tops = sorted((r["_bucket"], r["top"]) for r in rows.groupBy("_bucket").agg(top).collect())
+    above = {b: (tuple(row), tops[(k + 1) % len(tops)][0]) for k, (b, row) in enumerate(tops)}
+    places = [above.get(b, ((None, None), None)) for b in range(len(cuts) + 1)]
+    first_of = F.element_at(_struct([p[0] for p in places], kinds), F.col("_bucket") + 1)
+    upper = F.element_at(F.array(*[F.lit(p[1]).cast("int") for p in places]), F.col("_bucket") + 1)
+    own = F.struct(F.col("_bucket").alias("bucket"), F.lit(False).alias("guest"))
     guest = F.struct(upper.alias("bucket"), F.lit(True).alias("guest"))
-    dealt = df.select(
-        id_col,
-        *carried,
-        F.explode(F.when(key.eqNullSafe(first_of), F.array(own, guest)).otherwise(F.array(own))).alias("_at"),
-    ).select(id_col, *carried, "_at.bucket", "_at.guest")
-    order = Window.partitionBy("bucket").orderBy("guest", key.desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in carried])
-    return (
-        dealt.withColumn("next", F.lead(F.struct(*carried)).over(order)).where(~F.col("guest")).drop("bucket", "guest")
-    )
+    is_first = F.col(id_col).eqNullSafe(first_of["id"]) & (F.col("_h") == first_of["h"])
+    dealt = rows.select(id_col, "_h", *carried, F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own))).alias("_at"))
+    dealt = dealt.select(id_col, "_h", *carried, "_at.bucket", "_at.guest")
+    order = Window.partitionBy("bucket").orderBy("guest", F.col(id_col).desc_nulls_last(), F.desc("_h"))
+    return dealt.withColumn("next", F.lead(F.struct(*carried)).over(order)).where(~F.col("guest")).drop("bucket", "guest", "_h")
+
 
+def buckets_for(df: DataFrame) -> int:
+    """Buckets that grow with the bytes of the files read, and give each core some."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size, 1 << 50) // BUCKET_BYTES)
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """Sketches of each text and of its edited text, and their likeness.
+
+def fingerprints(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None, fraction: float = FRACTION
+) -> DataFrame:
+    """Sketches of each text and of its edited text, their likeness and containment.
 
     The edited text has the last third of the code points replaced by the start of the next document (descending id).
     Null texts are empty; repeated rows each have a row; an empty table gives an empty result; other columns are not
     read. Texts are shuffled once, to meet their neighbours. Columns: id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next.
+    edited_fingerprint, near_edited, near_next; ``kept_hashes``, the size of the sketch; ``edited_in_both``, the share
+    of the edited text's shingles that the union of the sketches of its two sources contains (null: see containment).
     """
-    buckets = buckets or min(512, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     base = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    base = base.withColumn("_sketch", F.array_join(sketch(F.col("_text")), " "))  # as text: less to shuffle
+    buckets = buckets or buckets_for(base)
+    base = base.withColumn("_sketch", as_text(sketch(F.col("_text"), fraction)))  # as text: less to shuffle
     met = with_next(base, id_col, ["_text", "_sketch"], buckets)
     n = F.length("_text")
     tail = F.floor(n / 3).cast("int")
+    edited = F.concat(F.col("_text").substr(F.lit(1), n - tail), F.col("next._text").substr(F.lit(1), tail))
     met = met.select(
-        id_col,
-        n.cast("long").alias("n_chars"),
-        F.concat(
-            F.col("_text").substr(F.lit(1), n - tail), F.col("next._text").substr(F.lit(1), tail)
-        ).alias("_edited"),
-        "_sketch",
-        F.col("next._sketch").alias("_next"),
+        id_col, n.cast("long").alias("n_chars"), edited.alias("_edited"), "_sketch", F.col("next._sketch").alias("_next")
+    )
+    met = met.withColumns(
+        {"_changed": sketch(F.col("_edited"), fraction), "_own": from_text(F.col("_sketch")), "_following": from_text(F.col("_next"))}
     )
-    met = met.withColumn("_edited_sketch", sketch(F.col("_edited")))
-    hashes = lambda c: F.array_remove(F.split(c, " "), "")
-    met = met.withColumns({"_own": hashes("_sketch"), "_following": hashes("_next")})
+    own, changed, following = F.col("_own"), F.col("_changed"), F.col("_following")
     return met.select(
         id_col,
         "n_chars",
         F.sha2(F.encode("_edited", "UTF-8"), 256).alias("edited_sha256"),
         F.col("_sketch").alias("fingerprint"),
-        F.array_join("_edited_sketch", " ").alias("edited_fingerprint"),
-        likeness(F.col("_own"), F.col("_edited_sketch")).alias("near_edited"),
-        likeness(F.col("_own"), F.col("_following")).alias("near_next"),
+        as_text(changed).alias("edited_fingerprint"),
+        likeness(own, changed).alias("near_edited"),
+        likeness(own, following).alias("near_next"),
+        F.size(own["kept"]).cast("long").alias("kept_hashes"),
+        containment(changed, united(own, following)).alias("edited_in_both"),
     )
 
 
 def _duck_sketch(text: str) -> str:
     words = f"list_filter(regexp_split_to_array({text}, '[ \\t\\n\\r\\f]+'), lambda x: x <> '')"
-    return f"""(select case when len(w) = 0 then [] else list_sort(list_distinct(
-        case when len(list_filter(h, lambda x: x < '{BELOW}')) > 0 then list_filter(h, lambda x: x < '{BELOW}') else [list_min(h)] end)) end
+    return f"""(select case when len(w) = 0 then {{'least': null::varchar, 'kept': []::varchar[]}}
+        else {{'least': list_min(h), 'kept': list_sort(list_distinct(list_filter(h, lambda x: x < '{below(FRACTION)}')))}} end
       from (select w, list_transform(range(1, greatest(len(w) - {WORDS - 1}, 1) + 1),
         lambda i: md5(array_to_string(w[i : i + {WORDS - 1}], ' '))[1 : {DIGITS}]) as h from (select {words} as w)))"""
 
 
+def _duck_text(a: str) -> str:
+    return f"coalesce({a}.least, '') || '|' || array_to_string({a}.kept, ' ')"
+
+
 def _duck_likeness(a: str, b: str) -> str:
-    both = f"len(list_intersect({a}, {b}))"
-    return f"case when len({a}) + len({b}) = 0 then 1.0 else {both} / (len({a}) + len({b}) - {both})::double end::double"
+    both, sizes = f"len(list_intersect({a}.kept, {b}.kept))", f"len({a}.kept) + len({b}.kept)"
+    return f"case when {sizes} = 0 then ({a}.least is not distinct from {b}.least)::int::double else {both} / ({sizes} - {both})::double end::double"
 
 
 SQL = f"""
@@ -152,8 +214,10 @@ with ordered as (
 ), sketched as (
   select *, {_duck_sketch('text')} as a, {_duck_sketch('changed')} as b, {_duck_sketch('following')} as c from edited
 )
-select doc_id, n::bigint as n_chars, sha256(changed) as edited_sha256, array_to_string(a, ' ') as fingerprint,
-  array_to_string(b, ' ') as edited_fingerprint, {_duck_likeness('a', 'b')} as near_edited,
-  {_duck_likeness('a', 'c')} as near_next
+select doc_id, n::bigint as n_chars, sha256(changed) as edited_sha256, {_duck_text('a')} as fingerprint,
+  {_duck_text('b')} as edited_fingerprint, {_duck_likeness('a', 'b')} as near_edited,
+  {_duck_likeness('a', 'c')} as near_next, len(a.kept)::bigint as kept_hashes,
+  case when b.least is null then 1.0 when len(b.kept) > 0
+    then len(list_intersect(b.kept, list_concat(a.kept, c.kept))) / len(b.kept)::double end::double as edited_in_both
 from sketched
 """
