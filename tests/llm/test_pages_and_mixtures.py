@@ -4,8 +4,11 @@ import base64
 import hashlib
 import io
 import math
+import random
 from collections import Counter, defaultdict
 from fractions import Fraction
+from html.parser import HTMLParser
+from urllib.parse import urljoin, urlsplit
 
 import pytest
 from conftest import same_as_sql
@@ -88,6 +91,130 @@ def test_url_verdicts(spark):
     assert url_filter.judge(pages(spark).limit(0)).count() == 0
 
 
+class Links(HTMLParser):
+    """Targets of a page by the library's parser."""
+
+    def __init__(self, url, html):
+        super().__init__()
+        self.base, self.url, self.found = None, url, []
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        a = {}
+        for k, v in attrs:
+            a.setdefault(k, v or "")
+        if tag == "base" and "href" in a and self.base is None:
+            self.base = a["href"]
+        if tag == "link" and "canonical" in a.get("rel", "").lower().split() and "href" in a:
+            self.found.append(a["href"])
+        if tag == "meta" and a.get("http-equiv", "").lower() == "refresh" and ";" in a.get("content", ""):
+            self.found.append(a["content"].partition(";")[2].strip().removeprefix("url=").strip("'"))
+
+    handle_startendtag = handle_starttag
+
+    def targets(self):
+        base = urljoin(self.url, self.base or "")
+        for x in self.found:
+            if x and not x.startswith("#") and urljoin(base, x).startswith("http"):
+                yield urljoin(base, x)
+
+
+def key_of(url):
+    parts = urlsplit(urljoin(url, urlsplit(url).path or "/"))
+    return parts.netloc.lower().removesuffix(":80") + (parts.path or "/") + ("?" + urlsplit(url).query if urlsplit(url).query else "")
+
+
+def slow_verdicts(rows):
+    root, urls = {}, {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    def rule_of(url):
+        host, _, path = url.partition("://")[2].partition("/")
+        fits = [(len(r), r, v) for v, r in url_filter.RULES for h, _, p in [r.partition("/")] if ("." + host.lower()).endswith("." + h) and ("/" in url.partition("://")[2]) and path.partition("?")[0].partition("#")[0].startswith(p)]
+        return max(fits)[1:] if fits else (None, None)
+
+    for _, url, html in rows:
+        for target in Links(url, html or "").targets():
+            for x in (url, target):
+                urls.setdefault(key_of(x), set()).add(x)
+            root[top(key_of(url))] = top(key_of(target))
+    said = defaultdict(set)
+    for k, some in urls.items():
+        said[top(k)] |= {rule_of(u)[1] for u in some}
+    out = {}
+    for i, url, _ in rows:
+        group = said[top(key_of(url))] if key_of(url) in urls else set()
+        out[i] = rule_of(url)[1] or ("allow" if "allow" in group else "block" if "block" in group else "allow")
+    return out
+
+
+def linked_pages():
+    """Chains, cycles, hubs and conflicts, with links written in many ways."""
+    draw = random.Random(4)
+    hosts = ["a.example.com", "b.example.com", "x.net", "q.example.net", "shop.org", "news.test", "w.test:80"]
+    paths = ["/", "/de/a", "/en/b?x=1", "/fr/c", "/d/e/f", "/d/./g/../h", "/k?x=1&y=2"]
+    urls = [f"http://{h}{p}" for h in hosts for p in paths]
+    forms = [
+        '<link rel="canonical" href="{u}">',
+        "<LINK HREF='{u}' REL='alternate Canonical'/>",
+        "<link title='a > b rel=x' rel=canonical href={u}>",
+        '<meta http-equiv="Refresh" content="0; url={u}">',
+        "<!-- <link rel=canonical href='{u}'> -->",
+        "<script>var a = '<link rel=canonical href=\"{u}\">'</script>",
+        '<link rel="stylesheet" href="{u}">',
+        '<link rel="canonical" href="javascript:go()">',
+        '<link rel="canonical" href="mailto:a@b.test">',
+        '<link rel="canonical" href="#top">',
+        '<link data-rel="canonical" href="{u}">',
+        '<a rel="canonical" href="{u}">x</a>',
+        '<link title="rel=canonical" href="{u}">',
+    ]
+    rows = []
+    for i, url in enumerate(urls * 2):
+        parts = ["<html><head>"]
+        if draw.random() < 0.2:
+            parts.append(draw.choice(['<base href="/base/dir/">', '<base target="_top">', "<base href='http://b.example.com/de/'>"]))
+        for _ in range(draw.choice([0, 0, 0, 1, 2])):
+            u = draw.choice([draw.choice(urls), draw.choice(urls), "../c", "?id=2", "/z/../de/q", "//shop.org/fr/", "g.html", "./de/./x"])
+            parts.append(draw.choice(forms[:4] if draw.random() < 0.6 else forms).format(u=u.replace("&", "&amp;")))
+        rows.append((i, url, "".join(parts) + "<p>text & more</p>" * 3 + "</html>"))
+    rows += [(1000 + i, f"http://hub{i}.test/", '<link rel="canonical" href="http://hub.test/">') for i in range(40)]
+    rows += [(1100 + i, f"http://ring.test/{i}", f'<link rel="canonical" href="{(i + 1) % 30}">') for i in range(30)]
+    return rows + [(1200, "http://hub7.test/", '<meta http-equiv=refresh content="1;url=http://a.example.com/de/hub">'), (1201, "http://ring.test/11", '<link rel="canonical" href="//z.net/">')]
+
+
+def test_links_like_brute_force(spark):
+    rows = linked_pages()
+    found = url_filter.alias_links(pages(spark, *rows)).collect()
+    want = Counter((key_of(u), key_of(t)) for _, u, h in rows for t in Links(u, h).targets())
+    links = url_filter.with_key(url_filter.with_key(spark.createDataFrame(found), "url", "a"), "target", "b")
+    assert Counter((r.a, r.b) for r in links.collect()) == want and len(found) > 60
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages(spark, *rows)).collect()}
+    assert got == slow_verdicts(rows)
+    assert got[1000] == "block" and got[1100] == "block" and Counter(got.values())["allow"] > 20
+
+
+def test_links_like_sql(spark):
+    import duckdb
+
+    rows = linked_pages() + [(2000, None, None), (2001, "nope", "<link rel=canonical href=/x>"), (2002, "http://no.html/", None)]
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    same_as_sql(url_filter.judge(pages(spark, *rows)), con, url_filter.sql())
+
+
+def test_very_long_markup(spark):
+    rows = [(1, "http://p.test/", "<p>" * 400_000 + "<!--" + "x" * 300_000 + "-->" + '<link rel="canonical" href="http://x.net/">'), (2, "http://q.test/", "<link " + 'a="b" ' * 100_000 + ">"), (3, "http://r.test/", "<link " + "y" * 1_000_000)]
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages(spark, *rows)).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
 def slow_schedule(blocks, weights):
     """(source, block, release, deadline, slot), slot by slot from the weights: of the released blocks the one due first."""
     left, done, out = {s: n for s, n in blocks.items() if n}, Counter(), []

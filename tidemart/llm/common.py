@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemart.sources.adapter import table
 from tidemart.sources.scratch import shared_dir
@@ -44,12 +44,17 @@ def text_of(column: str):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: a lambda's argument is, a repeated expression is not."""
+    return F.transform(F.array(value), use)[0]
+
+
 def held_out(doc_id, folds: int, fold: int):
     """Rows whose labels no model may learn from: crc32 of the id as text falls in ``fold``."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-__all__ = ["arrow_input", "drop_written", "field", "held_out", "score_of", "scratch_path", "shared_dir", "table", "text_of", "written"]
+__all__ = ["arrow_input", "drop_written", "field", "held_out", "once", "score_of", "scratch_path", "shared_dir", "table", "text_of", "written"]
 
 ARROW_BYTES = 8 << 20  #: of a batch that goes to Python, besides its last row
 

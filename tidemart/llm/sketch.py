@@ -12,6 +12,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemart.llm.common import once
+
 WORDS = 5
 FRACTION = 1 / 8  #: of all hashes that are kept
 DIGITS = 12  #: hex digits kept of a hash
@@ -27,11 +29,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, "[ \t\n\r\f]+"), "")
 
 
-def once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once: a lambda's argument is, a repeated expression is not."""
-    return F.transform(F.array(value), use)[0]
-
-
 def sketch(text: Column, fraction: float = FRACTION) -> Column:
     """Struct of ``least``, the smallest hash of the text's shingles of five words, and ``kept``, those below the fraction.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import written
+from tidemart.llm.common import once, written
 from tidemart.llm.components import connected_components
 
 #: (verdict, host/path)
@@ -21,12 +21,31 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def squeezed(path: Column) -> Column:
+    """The path without dot segments."""
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), once(path, _squeezed)).otherwise(path)
+
+
+def _squeezed(path: Column) -> Column:
+    step = lambda kept, part: (
+        F.when(part == ".", kept)
+        .when(part == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(1))))
+        .otherwise(F.array_append(kept, part))
+    )
+    parts = F.split(path, "/")
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")), step)
+    ends = F.when(F.element_at(parts, -1).isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
+    joined = F.array_join(ends, "/")
+    return F.when(joined == "", F.lit("/")).otherwise(joined)
+
+
 def with_key(df: DataFrame, url_col: str, name: str) -> DataFrame:
-    """``name``: a URL's identity, host, path (``/`` if empty) and query, without scheme and fragment; null without a host."""
+    """``name``: a URL's identity, null without a host: host without a default port, path without dot segments (``/`` if
+    empty) and query, without scheme and fragment."""
     url = F.col(url_col)
     query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
-    parts = df.withColumns({"_host": host_of(url), "_path": path_of(url), "_query": query})
-    path = F.when(F.col("_path") == "", "/").otherwise(F.col("_path"))
+    parts = df.withColumns({"_host": F.regexp_replace(host_of(url), ":(?:80|443)?$", ""), "_path": path_of(url), "_query": query})
+    path = F.when(F.col("_path") == "", "/").otherwise(squeezed(F.col("_path")))
     return parts.withColumn(name, F.when(F.col("_host") != "", F.concat("_host", path, "_query"))).drop("_host", "_path", "_query")
 
 
@@ -47,27 +66,79 @@ def verdict_of(rule: Column, rules=RULES) -> Column:
     return out
 
 
+#: What is no markup: comments, scripts, style sheets, raw text.
+HIDDEN = r"(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script|$)|<style\b.*?(?:</style|$)|<textarea\b.*?(?:</textarea|$)|<title\b.*?(?:</title|$)"
+#: A tag that may hold a link, quoted values whole.
+TAG = r"""(?is)<(?:link|meta|base)[\s/][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*){0,200}>"""
+#: An attribute: name, then its value in double, single or no quotes.
+ATTRIBUTE = r"""(?is)([^\s"'>/=<]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
+REFRESH = r"""(?is)^\s*[\d.]*\s*[;,]\s*(?:url\s*=\s*)?["']?([^"']*)"""
+#: Character references that URLs are written with; the last one is decoded last.
+REFERENCES = (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#47;", "/"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"))
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
+def decoded(value: Column) -> Column:
+    for name, sign in REFERENCES:
+        value = F.replace(value, F.lit(name), F.lit(sign))
+    return value
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The target against an absolute base URL, without dot segments; null for other schemes than http and https, and
+    for empty targets."""
+    whole = once(F.struct(target.alias("target"), base.alias("base")), lambda x: _resolved(x["target"], x["base"]))
+    part = lambda u, n: F.regexp_extract(u, "(?s)^([^:]*://[^/?#]*)([^?#]*)(.*)$", n)
+    return once(whole, lambda u: F.concat(part(u, 1), squeezed(part(u, 2)), part(u, 3)))
+
+
+def _resolved(target: Column, base: Column) -> Column:
+    scheme = F.regexp_extract(base, "^([^:/?#]*):", 1)
+    site, path = F.concat(scheme, F.lit("://"), host_of(base)), path_of(base)
+    folder = F.regexp_extract(path, "(?s)^(.*/)", 1)
+    return (
+        F.when((target == "") | target.startswith("#"), F.lit(None))
+        .when(target.rlike(SCHEME), F.when(target.rlike("(?i)^https?://"), target))
+        .when(~base.rlike("(?i)^https?://"), F.lit(None))
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(site, target))
+        .when(target.startswith("?"), F.concat(site, path, target))
+        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), target))
+    )
+
+
 def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(url, target) for each canonical link and refresh redirect in the pages' markup."""
-    html, url = F.col(html_col), F.col(url_col)
-    canonical = F.regexp_extract(html, r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
-    refresh = F.regexp_extract(html, r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    scheme, folder = F.regexp_extract(url, r"^([^:/?#]*):", 1), F.regexp_extract(path_of(url), r"^(.*/)", 1)
-    found = pages.select(
-        url.alias("url"),
-        scheme.alias("_scheme"),
-        F.concat(scheme, F.lit("://"), host_of(url)).alias("_site"),
-        folder.alias("_folder"),
-        F.explode(F.array(canonical, refresh)).alias("_target"),
-    ).where(F.col("_target") != "")
-    target = F.col("_target")
-    resolved = (
-        F.when(target.contains("://"), target)
-        .when(target.startswith("//"), F.concat("_scheme", F.lit(":"), target))
-        .when(target.startswith("/"), F.concat("_site", target))
-        .otherwise(F.concat("_site", F.when(F.col("_folder") == "", "/").otherwise(F.col("_folder")), target))
+    """(url, target) for each canonical link and each refresh redirect in the pages' markup.
+
+    Link elements count whose rel holds the word canonical, meta elements whose http-equiv is refresh; targets are
+    resolved against the page's URL, or its first base element with a href. Comments, scripts, styles and raw text hold
+    no elements; of an element's equal attributes the first counts; a tag with over 200 quoted values is none.
+    """
+    shown = F.regexp_replace(html_col, HIDDEN, " ")
+    tags = pages.where(F.col(html_col).rlike("(?i)<(?:link|meta)[\\s/]")).select(
+        F.col(url_col).alias("url"), F.regexp_extract_all(shown, F.lit(TAG), F.lit(0)).alias("_tags")
     )
-    return found.select("url", resolved.alias("target"))
+
+    def told(tag: Column) -> Column:
+        body = F.regexp_replace(tag, "^<[A-Za-z]+", "")
+        group = lambda n: F.regexp_extract_all(body, F.lit(ATTRIBUTE), F.lit(n))
+        names = F.transform(group(1), lambda x: F.lower(x))
+        joined = lambda a, b: F.zip_with(a, b, lambda x, y: F.concat(x, y))
+        values = joined(joined(group(2), group(3)), group(4))
+        value = lambda name: F.try_element_at(values, F.nullif(F.array_position(names, F.lit(name)).cast("int"), F.lit(0)))
+        wanted = ("rel", "href", "http-equiv", "content")
+        return F.struct(F.lower(F.regexp_extract(tag, "^<([A-Za-z]+)", 1)).alias("name"), *[decoded(value(w)).alias(w.replace("-", "_")) for w in wanted])
+
+    elements = tags.select("url", F.transform("_tags", told).alias("_all"))
+    target = lambda e: F.when(
+        (e["name"] == "link") & F.array_contains(F.split(F.lower(e["rel"]), r"\s+"), "canonical"), e["href"]
+    ).when((e["name"] == "meta") & (F.lower(F.trim(e["http_equiv"])) == "refresh"), F.regexp_extract(e["content"], REFRESH, 1))
+    bases = F.filter("_all", lambda e: (e["name"] == "base") & e["href"].isNotNull())
+    clean = lambda c: F.trim(F.regexp_replace(c, "[\t\n\r]", ""))
+    found = elements.select("url", F.get(bases, 0)["href"].alias("_base"), F.explode(F.transform("_all", target)).alias("_target"))
+    found = found.where("_target is not null")
+    base = F.coalesce(resolved(clean(F.col("_base")), F.col("url")), F.col("url"))
+    return found.select("url", resolved(clean(F.col("_target")), base).alias("target")).where("target is not null")
 
 
 def judge(
@@ -117,11 +188,27 @@ def judge(
     )
 
 
-def _duck_key(url: str) -> str:
+def _duck_parts(url: str) -> tuple[str, str]:
     rest = f"substring({url}, instr({url}, '://') + 3)"
     host = f"translate(regexp_extract({rest}, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
-    path = f"regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)"
-    return host, path, f"case when instr({url}, '://') > 0 and {host} <> '' then {host} || case when {path} = '' then '/' else {path} end || regexp_extract({rest}, '^[^?#]*(\\?[^#]*)', 1) end"
+    return host, f"regexp_extract({rest}, '(?s)^[^/?#]*([^?#]*)', 1)"
+
+
+def _duck_squeezed(path: str) -> str:
+    kept = f"""list_reduce(list_prepend([''], list_transform(string_split({path}, '/')[2:], lambda x: [x])),
+      lambda a, b: case when b[1] = '.' then a when b[1] = '..' then a[: greatest(len(a) - 1, 1)] else a || b end)"""
+    ends = f"case when string_split({path}, '/')[-1] in ('.', '..') then {kept} || [''] else {kept} end"
+    whole = f"array_to_string({ends}, '/')"
+    dotted = f"regexp_matches({path}, '/\\.\\.?(/|$)')"
+    return f"case when not {dotted} then {path} when {whole} = '' then '/' else {whole} end"
+
+
+def _duck_key(url: str) -> str:
+    host, path = _duck_parts(url)
+    host = f"regexp_replace({host}, ':(80|443)?$', '')"
+    query = f"regexp_extract(substring({url}, instr({url}, '://') + 3), '(?s)^[^?#]*(\\?[^#]*)', 1)"
+    path = f"case when {path} = '' then '/' else {_duck_squeezed(path)} end"
+    return f"case when instr({url}, '://') > 0 and {host} <> '' then {host} || {path} || {query} end"
 
 
 def _duck_rule(host: str, path: str) -> str:
@@ -136,31 +223,88 @@ def _duck_said(rule: str) -> str:
     return "case " + " ".join(f"when {rule} = '{r}' then '{v}'" for v, r in RULES) + " end"
 
 
+def _duck_squeezed_url(url: str) -> str:
+    part = lambda n: f"regexp_extract({url}, '(?s)^([^:]*://[^/?#]*)([^?#]*)(.*)$', {n})"
+    return f"{part(1)} || {_duck_squeezed(part(2))} || {part(3)}"
+
+
+def _duck_joined(target: str, base: str) -> str:
+    host, path = _duck_parts(base)
+    scheme = f"regexp_extract({base}, '^([^:/?#]*):', 1)"
+    site, folder = f"{scheme} || '://' || {host}", f"regexp_extract({path}, '(?s)^(.*/)', 1)"
+    return f"""case when {target} = '' or starts_with({target}, '#') then null
+      when regexp_matches({target}, '{SCHEME}') then case when regexp_matches({target}, '(?i)^https?://') then {target} end
+      when not coalesce(regexp_matches({base}, '(?i)^https?://'), false) then null
+      when starts_with({target}, '//') then {scheme} || ':' || {target}
+      when starts_with({target}, '/') then {site} || {target}
+      when starts_with({target}, '?') then {site} || {path} || {target}
+      else {site} || case when {folder} = '' then '/' else {folder} end || {target} end"""
+
+
+def _duck_decoded(value: str) -> str:
+    for name, sign in REFERENCES:
+        value = f"replace({value}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
+    return value
+
+
 def sql() -> str:
-    """The same for DuckDB over ``pages``; only absolute link targets, found by the attribute orders browsers write."""
-    host, path, key = _duck_key("url")
-    t_host, t_path, t_key = _duck_key("target")
+    """The same for DuckDB over ``pages``."""
+    quoted = lambda x: x.replace("'", "''")
+    host, path = _duck_parts("url")
+    t_host, t_path = _duck_parts("target")
+    attribute = lambda name: _duck_decoded(f"v[list_position(n, '{name}')]")
+    clean = lambda x: f"trim(regexp_replace({x}, '[\\t\\n\\r]', '', 'g'))"
     blank = lambda x: f"case when instr(url, '://') > 0 then {x} else '' end"
     return f"""
-with recursive raw as (
-  select url, unnest([
-    regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
-    regexp_extract(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1)]) as target
-  from pages
+with recursive tags as (
+  select rid, url, unnest(t) as tag, generate_subscripts(t, 1) as place from (
+    select row_number() over () as rid, url, regexp_extract_all(regexp_replace(html, '{quoted(HIDDEN)}', ' ', 'g'), '{quoted(TAG)}', 0) as t from pages)
+), split as (
+  select rid, url, place, lower(regexp_extract(tag, '^<([A-Za-z]+)', 1)) as name, regexp_replace(tag, '^<[A-Za-z]+', '') as body from tags
+), attributes as (
+  select *, list_transform(regexp_extract_all(body, '{quoted(ATTRIBUTE)}', 1), lambda x: lower(x)) as n,
+    list_transform(list_zip(regexp_extract_all(body, '{quoted(ATTRIBUTE)}', 2), regexp_extract_all(body, '{quoted(ATTRIBUTE)}', 3),
+      regexp_extract_all(body, '{quoted(ATTRIBUTE)}', 4)), lambda x: coalesce(x[1], '') || coalesce(x[2], '') || coalesce(x[3], '')) as v
+  from split
+), elements as (
+  select rid, url, place, name, case when list_contains(n, 'rel') then {attribute('rel')} end as rel,
+    case when list_contains(n, 'href') then {attribute('href')} end as href,
+    case when list_contains(n, 'http-equiv') then {attribute('http-equiv')} end as equiv,
+    case when list_contains(n, 'content') then {attribute('content')} end as content
+  from attributes
+), bases as (
+  select rid, arg_min(href, place) as base from elements where name = 'base' and href is not null group by rid
+), wanted as (
+  select rid, url, base, case when name = 'link' and list_contains(regexp_split_to_array(lower(rel), '\\s+'), 'canonical') then href
+    when name = 'meta' and lower(trim(equiv)) = 'refresh' then regexp_extract(content, '{quoted(REFRESH)}', 1) end as raw
+  from elements left join bases using (rid)
+), cleaned as (
+  select url, {clean('raw')} as raw, {clean('base')} as base from wanted where raw is not null
+), based as (
+  select url, raw, {_duck_joined('base', 'url')} as base from cleaned
+), placed as (
+  select url, raw, coalesce({_duck_squeezed_url('base')}, url) as base from based
+), joined as (
+  select url, {_duck_joined('raw', 'base')} as target from placed
+), aimed as (
+  select url, {_duck_squeezed_url('target')} as target from joined
+), keyed as (
+  select {_duck_key('url')} as a, {_duck_key('target')} as b, {_duck_said(_duck_rule(host, path))} as sa,
+    {_duck_said(_duck_rule(t_host, t_path))} as sb
+  from aimed where target is not null
 ), links as (
-  select {key} as a, {t_key} as b, {_duck_said(_duck_rule(host, path))} as sa, {_duck_said(_duck_rule(t_host, t_path))} as sb
-  from raw where target <> ''
+  select * from keyed where a <> b
 ), sides as (
-  select a as x, b as y from links where a <> b union select b, a from links where a <> b
+  select a as x, b as y from links union select b, a from links
 ), reach as (
-  select x, y from sides union select reach.x, sides.y from reach join sides on reach.y = sides.x
+  select x, x as y from sides union select reach.x, sides.y from reach join sides on reach.y = sides.x
 ), said as (
   select a as y, sa as s from links union select b, sb from links
 ), spread as (
   select x, max(case when s = 'allow' then 1 else 0 end) as allow, max(case when s = 'block' then 1 else 0 end) as block
   from reach join said using (y) group by x
 ), own as (
-  select page_id, coalesce({blank(host)}, '') as host, coalesce({blank(path)}, '') as path, {key} as k from pages
+  select page_id, coalesce({blank(host)}, '') as host, coalesce({blank(path)}, '') as path, {_duck_key('url')} as k from pages
 ), ruled as (
   select *, {_duck_rule('host', 'path')} as rule from own
 )
