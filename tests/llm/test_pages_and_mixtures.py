@@ -13,7 +13,7 @@ from urllib.parse import urljoin, urlsplit
 import pytest
 from conftest import same_as_sql
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemart.llm import mixing, queries, url_filter, warc
 
@@ -54,6 +54,51 @@ def test_records_are_read_member_by_member():
         list(warc.read_records(io.BytesIO(raw[:-3])))
 
 
+def test_runs_are_merged_from_their_files(spark, monkeypatch):
+    monkeypatch.setattr(warc, "GROUP_BYTES", 2000)
+    monkeypatch.setattr(warc, "STREAM_ROWS", 4)
+    monkeypatch.setattr(warc, "BATCH_ROWS", 16)
+    draw = random.Random(2)
+    schema = T.StructType([T.StructField("page_id", T.LongType()), *(T.StructField(n, T._parse_datatype_string(k)) for n, k in warc.CAPTURE)])
+    sizes = [draw.choice([0, 3, 400]) for _ in range(40)]
+    captures = [[(draw.choice([None, 1, 2, draw.randrange(900)]), draw.choice(["hot", "hot", f"u{draw.randrange(50)}"]), f"d{draw.randrange(5)}", "u", "response", 1, "x", None, f"a{k}", i, 9) for i in range(n)] for k, n in enumerate(sizes)]
+
+    def run(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                yield warc._batch(sorted(captures[k], key=warc.key_of), schema)
+
+    runs = warc._run_files(warc._tasks(spark, len(sizes)).mapInArrow(run, schema))
+    want = sorted((c for some in captures for c in some), key=warc.key_of)
+    for fan_in, range_rows in ((100, 10_000), (7, 500), (3, 90)):
+        got = warc.merge_runs(runs, "page_id", fan_in, range_rows).collect()
+        assert [tuple(r)[:-1] for r in sorted(got, key=lambda r: r.position)] == want
+    assert len({r.position >> 40 for r in got}) > 20  # the hot URL has many ranges
+
+    held, most = 0, 0  # captures pulled from the files and not yet given out, over all streams
+    files = [f for f, n in zip(sorted(runs.inputFiles()), sizes, strict=False)]
+
+    def counted(path):
+        nonlocal held, most
+        for row in warc.run_stream(path):
+            held += 1
+            most = max(most, held)
+            yield row
+
+    for _ in warc.LoserTree(map(counted, files), warc.key_of):
+        held -= 1
+    assert most <= len(files) + 1 and held == 0
+
+
+def test_revisits_are_checked(spark):
+    schema = "page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long"
+    good = [(1, "response", 5, "A", None), (2, "revisit", 5, "A", 1)]
+    warc._check_revisits(spark.createDataFrame(good, schema), "page_id")
+    for bad in ((3, "revisit", 5, "B", 1), (3, "revisit", 4, "A", 1), (3, "revisit", 5, "A", 2)):
+        with pytest.raises(ValueError, match="revisit"):
+            warc._check_revisits(spark.createDataFrame([*good, bad], schema), "page_id")
+
+
 @settings(max_examples=100, deadline=None)
 @given(runs=st.lists(st.lists(st.integers(0, 30), max_size=12), max_size=9))
 def test_loser_tree(runs):

@@ -15,13 +15,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back.
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder and read it back; ``options`` are the writer's.
 
     The files outlive any executor, so a lost task re-reads them instead of recomputing what came before.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

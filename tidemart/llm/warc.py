@@ -10,16 +10,19 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta, timezone
+from itertools import islice
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemart.llm.common import arrow_input, field, scratch_path, written
+from tidemart.llm.common import arrow_input, scratch_path, written
 
 EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
 YEARS = 10 * 365 * 86_400  #: capture dates made from ids stay within these seconds after EPOCH
 ROLL_BYTES, ROLL_RECORDS = 512 << 20, 50_000  #: an archive is closed beyond either
+FAN_IN, STREAM_ROWS, BATCH_ROWS = 128, 512, 10_000  #: runs merged at once, captures held of each, and of the output
+GROUP_BYTES = 1 << 20  #: of a row group of a run
+RANGE_ROWS, SMALL_RANGE, SAMPLED = 2_000_000, 5_000, 50  #: captures of a range at most (about) and at least; sampled of each
 
 
 def digest_of(payload: bytes) -> str:
@@ -207,89 +210,145 @@ CAPTURE = [
     ("record_type", "string"),
     ("payload_bytes", "long"),
     ("payload_digest", "string"),
-    ("refers_to", None),
+    ("refers_to", "long"),
     ("archive", "string"),
     ("offset", "long"),
     ("length", "long"),
 ]
 
 
-def read_runs(manifest: DataFrame, id_field: T.StructField, id_name: str) -> DataFrame:
-    """Read the archives, each record's payload checked against its digest: one run of captures an archive, sorted."""
-    kinds = {n: T.StructField(n, T._parse_datatype_string(k) if k else id_field.dataType) for n, k in CAPTURE}
-    schema = T.StructType([T.StructField(id_name, id_field.dataType), *kinds.values()])
+def _tasks(spark: SparkSession, n: int) -> DataFrame:
+    """(id) from 0 to ``n`` - 1, one to a task; nothing shuffles or joins the tasks."""
+    return spark.range(0, n, 1, n)
+
+
+def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    kinds = {"string": pa.string()}
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, kinds.get(f.dataType.simpleString(), pa.int64())) for c, f in zip(columns, schema, strict=True)], names=schema.names
+    )
+
+
+def _batches(rows: Iterable[tuple], schema: T.StructType, size: int) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while some := list(islice(rows, size)):
+        yield _batch(some, schema)
+
+
+def key_of(row: tuple) -> tuple:
+    """URL key, capture date and id (null first), then the record's place, so that no two captures have equal keys."""
+    return row[1], row[2], row[0] is not None, row[0] or 0, row[8], row[9]
+
+
+def read_runs(manifest: DataFrame, id_name: str) -> DataFrame:
+    """Read the archives, each response's payload checked against its digest: a task, and a file, is one sorted run.
+
+    An archive has at most ROLL_RECORDS records, so its captures are sorted in memory. Revisits hold no payload: their
+    size and digest are compared with those of the response they refer to.
+    """
+    schema = T.StructType([T.StructField(id_name, T.LongType()), *(T.StructField(n, T._parse_datatype_string(k)) for n, k in CAPTURE)])
     number = lambda urn: int(urn[len("<urn:page:") : -1]) if urn and urn != "<urn:page:>" else None
+    archives = sorted(r["archive"] for r in manifest.collect())  # a name for each ROLL_RECORDS pages
+
+    def captures(archive: str) -> Iterator[tuple]:
+        with _open(archive) as stream:
+            for at, size, head, block in read_records(stream):
+                http, _, payload = block.partition(b"\r\n\r\n")
+                stated = int(http.rpartition(b"Content-Length: ")[2].split(b"\r\n")[0])
+                digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
+                if head["WARC-Type"] == "response" and (len(payload), digest_of(payload)) != (stated, digest):
+                    raise ValueError(f"{archive}, byte {at}: the payload is not what its record says")
+                url, refers_to = head.get("WARC-Target-URI"), number(head.get("WARC-Refers-To"))
+                name = number(head["WARC-Record-ID"])
+                yield name, url_key(url), head["WARC-Date"], url, head["WARC-Type"], stated, digest, refers_to, archive, at, size
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for archive in pdf["archive"]:
-                rows = []
-                with _open(archive) as stream:
-                    for at, size, head, block in read_records(stream):
-                        http, _, payload = block.partition(b"\r\n\r\n")
-                        stated = int(http.rpartition(b"Content-Length: ")[2].split(b"\r\n")[0])
-                        digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if head["WARC-Type"] == "response" and (len(payload), digest_of(payload)) != (stated, digest):
-                            raise ValueError(f"{archive}, byte {at}: the payload is not what its record says")
-                        url = head.get("WARC-Target-URI")
-                        rows.append(
-                            (
-                                number(head["WARC-Record-ID"]),
-                                url_key(url),
-                                head["WARC-Date"],
-                                url,
-                                head["WARC-Type"],
-                                stated,
-                                digest,
-                                number(head.get("WARC-Refers-To")),
-                                archive,
-                                at,
-                                size,
-                            )
-                        )
-                rows.sort(key=lambda r: (r[1], r[2], r[0] is not None, r[0] or 0))
-                out = pd.DataFrame(rows, columns=schema.names)
-                yield out.astype({id_name: "Int64", "refers_to": "Int64"})
-
-    files = max(1, manifest.count())
-    return manifest.select("archive").repartition(min(files, 10_000)).mapInPandas(run, schema)
-
-
-def merge_runs(runs: DataFrame, id_name: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in batch.column(0).to_pylist():
+                yield from _batches(sorted(captures(archives[n]), key=key_of), schema, BATCH_ROWS)
+
+    runs = _run_files(_tasks(manifest.sparkSession, len(archives)).mapInArrow(run, schema))
+    _check_revisits(runs, id_name)
+    return runs
+
+
+def _run_files(runs: DataFrame) -> DataFrame:
+    """The runs in the shared folder, a file each, in small row groups, so that a merge can begin within one."""
+    return written(runs, "runs", **{"parquet.block.size": str(GROUP_BYTES)})
+
+
+def _check_revisits(runs: DataFrame, id_name: str) -> None:
+    """Raise if a revisit states another size or digest than the response that it refers to, or refers to none."""
+    what = ["payload_bytes", "payload_digest"]
+    revisits = runs.where("record_type = 'revisit'").groupBy(F.col("refers_to").alias("_to"), *what).count()
+    responses = runs.where("record_type = 'response'").select(F.col(id_name).alias("_to"), *what)
+    lone = revisits.join(responses, ["_to", *what], "left_anti").limit(1).collect()
+    if lone:
+        raise ValueError(f"a revisit does not match the response it refers to: {lone[0]}")
+
+
+def run_stream(path: str, low: tuple | None = None, high: tuple | None = None) -> Iterator[tuple]:
+    """The captures of a run with low <= key < high, read a batch at a time from the row group where they begin."""
+    from pyarrow import fs, parquet
+
+    where, name = fs.FileSystem.from_uri(path)
+    with where.open_input_file(name) as source:
+        run = parquet.ParquetFile(source)
+        first, groups = 0, run.num_row_groups
+        if low is not None:  # the last group that starts before low
+            a, b = 0, groups
+            while b - a > 1:
+                mid = (a + b) // 2
+                start = next(run.iter_batches(1, [mid]))
+                a, b = (mid, b) if key_of(next(zip(*start.to_pydict().values(), strict=True))) < low else (a, mid)
+            first = a
+        for batch in run.iter_batches(STREAM_ROWS, list(range(first, groups))):
+            for row in zip(*batch.to_pydict().values(), strict=True):
+                key = key_of(row)
+                if high is not None and key >= high:
+                    return
+                if low is None or key >= low:
+                    yield row
+
+
+def merge_runs(runs: DataFrame, id_name: str, fan_in: int | None = None, range_rows: int | None = None) -> DataFrame:
     """The runs as one index in order of URL key, capture date and id: ``position`` grows along it.
 
-    The key space is cut into ranges by sampling, each task gets a slice of every run for its range and merges the
-    slices with a loser tree. A frequent URL is spread over ranges by date and id.
+    An external merge: a loser tree pulls from the runs' files and holds a batch of each, the output leaves in batches.
+    More than ``fan_in`` runs are first merged by groups into longer ones, as often as needed. In the last pass each task
+    merges a range of keys, found by sampling them, from the places in the files where it begins; so a frequent URL is
+    spread over ranges by date, id and place.
     """
-    schema = T.StructType([*runs.schema.fields, T.StructField("position", T.LongType())])
-    ranges = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = runs.repartitionByRange(ranges, "url_key", "captured", id_name).withColumn("_range", F.spark_partition_id())
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slices: dict[str, list[tuple]] = {}
-        where = 0
-        for pdf in batches:
-            if len(pdf):
-                where = int(pdf["_range"].iloc[0])
-            for row in pdf.drop(columns="_range").astype(object).where(pdf.drop(columns="_range").notna(), None).itertuples(index=False, name=None):
-                slices.setdefault(row[8], []).append(row)
-        key = lambda r: (r[1], r[2], r[0] is not None, r[0] or 0, r[9])
-        for rows in slices.values():  # blocks of a run may come out of order; sorting sorted rows costs one pass
-            rows.sort(key=key)
-        merged, at = [], where << 40
-        for row in LoserTree(slices.values(), key):
-            merged.append((*row, at))
-            at += 1
-            if len(merged) == 10_000:
-                yield _frame(merged, schema.names, id_name)
-                merged = []
-        yield _frame(merged, schema.names, id_name)
-
-    return dealt.mapInPandas(run, schema)
-
-
-def _frame(rows: list[tuple], names: list[str], id_name: str) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=names).astype({id_name: "Int64", "refers_to": "Int64"})
+    fan_in, range_rows, spark = fan_in or FAN_IN, range_rows or RANGE_ROWS, runs.sparkSession
+    out = T.StructType([*runs.schema.fields, T.StructField("position", T.LongType())])
+    files = sorted(runs.inputFiles())
+    while len(files) > fan_in:
+        groups, schema = [files[i : i + fan_in] for i in range(0, len(files), fan_in)], runs.schema
+
+        def longer(batches: Iterator[pa.RecordBatch], groups=groups) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for n in batch.column(0).to_pylist():
+                    yield from _batches(LoserTree(map(run_stream, groups[n]), key_of), schema, BATCH_ROWS)
+
+        runs = _run_files(_tasks(spark, len(groups)).mapInArrow(longer, schema))
+        files = sorted(runs.inputFiles())
+
+    rows = runs.count()
+    ranges = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // SMALL_RANGE), -(-rows // range_rows))
+    keys = []
+    if ranges > 1:  # about SAMPLED keys a range
+        keys = sorted(key_of(tuple(r)) for r in runs.sample(min(1.0, SAMPLED * ranges / rows), seed=1).collect())
+    cuts = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+    ends = list(zip([None, *cuts], [*cuts, None], strict=True))
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in batch.column(0).to_pylist():
+                merged = LoserTree((run_stream(f, *ends[n]) for f in files), key_of)
+                yield from _batches(((*row, (n << 40) + i) for i, row in enumerate(merged)), out, BATCH_ROWS)
+
+    return _tasks(spark, len(ends)).mapInArrow(last, out)
 
 
 def archive_index(
@@ -310,8 +369,9 @@ def archive_index(
     """
     folder = folder or scratch_path(pages.sparkSession, "warc")
     manifest = write_archives(pages, folder, min_bytes, id_col, url_col, html_col)
-    runs = written(read_runs(manifest, field(pages, id_col), id_col), "captures")
-    return merge_runs(runs, id_col)
+    index = merge_runs(read_runs(manifest, id_col), id_col)
+    kind = pages.schema[id_col].dataType
+    return index.withColumns({c: F.col(c).cast(kind) for c in (id_col, "refers_to")})
 
 
 #: The same rows for DuckDB, without what depends on how the archives were cut.
