@@ -166,6 +166,27 @@ def test_media(spark):
     assert media.to_wav(frame(spark, []).limit(0)).count() == 0
 
 
+def test_fingerprints_like_a_naive_transform():
+    data = np.random.default_rng(5).integers(0, 256, 3000, np.uint8)
+    n = -(-(len(data) - media.FRAME) // media.HOP) + 1
+    x = np.zeros((n - 1) * media.HOP + media.FRAME)
+    x[: len(data)] = data.astype(float) - 128
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(media.FRAME) / (media.FRAME - 1))
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(media.FRAME // 2 + 1), np.arange(media.FRAME)) / media.FRAME)
+    power = np.array([np.abs(turn @ (x[i * media.HOP : i * media.HOP + media.FRAME] * window)) for i in range(n)])
+    peaks = []
+    for t in range(0, n, media.SLAB):
+        for low, high in media.BANDS:
+            tile = power[t : t + media.SLAB, low:high]
+            a, b = np.unravel_index(tile.argmax(), tile.shape)
+            peaks.append((t + a, low + b))
+    peaks.sort()
+    times, bins = media.spectral_peaks(data)
+    assert list(zip(times, bins, strict=True)) == peaks
+    pairs = sorted((t, b << 16 | c << 8 | u - t) for k, (t, b) in enumerate(peaks) for u, c in peaks[k + 1 : k + 1 + media.FAN_OUT] if u - t <= media.ZONE)
+    assert list(zip(*media.pair_fingerprints(times, bins), strict=True)) == pairs
+
+
 def test_peaks_find_a_tone():
     t = np.arange(8000)
     tone = (128 + 100 * np.sin(2 * np.pi * t * 30 / media.FRAME)).astype(np.uint8)
@@ -256,9 +277,19 @@ def test_containment_and_union_of_unequal_texts(spark):
     assert (got.union.least, got.union.kept) == (min(h[0] for h in hashes), sorted({*hashes[0][1], *hashes[1][1]}))
 
 
-def test_folding():
-    assert toxicity.fold("1D10T, МОRОN! 2024 c@fé") == " idiot moron café "
-    assert toxicity.fold(None).strip() == ""
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("1D10T, МОRОN! 2024 c@fé", "idiot moron cafe"),
+        ("ＩＤＩＯＴ ïdiot 𝓲𝓭𝓲𝓸𝓽 ıdıot", "idiot idiot idiot idiot"),
+        ("id\u200biot i\u00addiot \ufeffidiot !d!ot", "idiot idiot idiot idiot"),
+        ("you i.d.i-o_t and m o r o n s", "you idiot and morons"),
+        ("hi! a b, 3.14 of 10", "hi a b of"),
+        (None, ""),
+    ],
+)
+def test_folding(text, want):
+    assert toxicity.fold(text).strip() == want
 
 
 def test_lexicon_hits():
@@ -268,6 +299,45 @@ def test_lexicon_hits():
     assert lex.hits("hidiot")[0] == 0.0 and lex.hits("")[0] == 0.0 and lex.hits(None) == (0.0, 0)
 
 
+@settings(max_examples=200, deadline=None)
+@given(entries=st.sets(st.text("abc", min_size=1, max_size=4), max_size=6), phrases=st.sets(st.sampled_from(["a b", "ab c", "b", "cab ab"]), max_size=3), text=st.text("abcA1 .", max_size=40))
+def test_hits_like_naive_matching(entries, phrases, text):
+    lex = toxicity.Lexicon({e: float(i + 1) for i, e in enumerate(sorted(entries))}, exceptions=tuple(phrases))
+    plain = toxicity.fold(text)
+    words = [i + 1 for i, c in enumerate(plain[:-1]) if c == " " and plain[i + 1] != " "]
+    spots = {w: max((e for e in entries if plain.startswith(e, w)), key=len, default=None) for w in words}
+    excused = [(i, i + len(p) + 2) for p in phrases for i in range(len(plain)) if plain.startswith(f" {p} ", i)]
+    want = sum(lex.weights[e] for w, e in spots.items() if e and not any(a <= w - 1 < b for a, b in excused))
+    assert lex.hits(text) == (want, len(words))
+
+
+def test_learned_entries_and_exceptions(spark):
+    plain = lambda i: " ".join(f"p{(i * 7 + j) % 89} text" for j in range(20))
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 3 == 0
+        extra = "you grobling" if bad and i % 2 else "such extraordinarilywickedness" if bad and i % 4 == 0 else "a grobling stone" if i % 60 == 1 else ""
+        rows.append((i, f"{plain(i)} {extra} {plain(i + 1)}" if not (bad and not extra) else f"{plain(i)} rarest{i}"))
+        labels.append((i, int(bad)))
+    rows += [(1000 + k, "one text that was copied with onlyhere in it") for k in range(30)]
+    labels += [(1000 + k, 1) for k in range(30)]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    lex = toxicity.learn(docs, known)
+    assert any("grobling".startswith(e) for e in lex.weights) and any("extraordinarilywickedness".startswith(e) for e in lex.weights)
+    assert "grobling stone" in lex.exceptions and lex.score("a grobling stone") < lex.score("you grobling")
+    assert not any("onlyhere".startswith(e) for e in lex.weights)  # copies of one row are one use
+    assert lex.score("you grobling") > 0.5 > lex.score(plain(3))
+
+
+def test_no_bound_on_entries(spark):
+    """Thousands of entries, each too telling to be chance, all stay."""
+    rows = [(i, " ".join(f"bad{a}" for a in ("".join(chr(97 + (k // 26**j) % 26) for j in range(4)) + "x" for k in range((i // 2) % 2 * 3000, (i // 2) % 2 * 3000 + 3000))) if i % 2 else f"good {i}") for i in range(400)]
+    shuffled = [(i, " ".join(sorted(t.split(), key=lambda w, i=i: hashlib.md5(f"{w}{i}".encode()).digest()))) for i, t in rows]
+    docs = spark.createDataFrame(shuffled, "doc_id long, text string")
+    lex = toxicity.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int"))
+    assert all(lex.hits("bad" + "".join(chr(97 + (k // 26**j) % 26) for j in range(4)) + "x")[0] > 0 for k in range(0, 6000, 97))
+
+
 def labelled(spark, n=400):
     rows, labels = [], []
     for i in range(n):
@@ -312,6 +382,31 @@ def test_chunks_cover_the_text():
         assert (found[0] == 97).any(axis=1).all() == (n > 0)
 
 
+@pytest.mark.parametrize("marks", [True, False])
+@pytest.mark.parametrize("text", ["", "a", "abc " * 300, "é日" * 500])
+def test_scores_like_naive_convolution(text, marks):
+    net = quality.Network.fresh(5, marks)
+    raw = text.encode()
+    repeats = [int(marks and any(i - lag - quality.RUN + 1 >= 0 and raw[i - quality.RUN + 1 : i + 1] == raw[i - lag - quality.RUN + 1 : i - lag + 1] for lag in range(2, quality.LAGS + 1))) for i in range(len(raw))]
+    tops, at = [], 0
+    while not tops or at - quality.STEP + quality.WIDTH < len(raw):
+        part = raw[at : at + quality.WIDTH].ljust(quality.WIDTH, b"\0")
+        mark = (repeats[at : at + quality.WIDTH] + [0] * quality.WIDTH)[: quality.WIDTH]
+        planes = np.array([[*net.embed[b], m] for b, m in zip(part, mark, strict=True)])
+        spots = [planes[i : i + quality.TAPS].ravel() @ net.filters + net.bias for i in range(0, quality.WIDTH - quality.TAPS + 1, quality.STRIDE)]
+        tops.append(np.maximum(np.max(spots, axis=0), 0))
+        at += quality.STEP
+    z = np.concatenate([np.mean(tops, axis=0), np.max(tops, axis=0)]) @ net.head + net.constant[0]
+    assert net.score(text) == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
+def test_long_rows_do_not_use_up_the_sample(spark):
+    docs = spark.createDataFrame([(i, "x" * (quality.SAMPLE_CHARS + 1) if i % 4 else f"text {i}") for i in range(80)] + [(None, "n")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 8 // 4) for i in range(80)] + [(None, 1)], "doc_id long, quality int")
+    some = toxicity.training_rows(docs, labels, "quality", 3, 1, 5, "doc_id", "text", quality.SAMPLE_CHARS).collect()
+    assert sorted(r.y for r in some) == [0] * 5 + [1] * 5
+
+
 def test_network_gradients():
     net = quality.Network.fresh(3)
     chunks = quality.chunks_of("some text here " * 60)
