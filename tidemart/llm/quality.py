@@ -27,11 +27,11 @@ SAMPLE_ROWS, SAMPLE_CHARS = 1500, 30_000  #: labelled rows of each class that ar
 EPOCHS, BATCH, RATE, SEED = 6, 16, 0.01, 11
 
 
-def chunks_of(text: str | None) -> np.ndarray:
-    """(chunks, WIDTH + 1, 2) bytes and repeat marks; the last chunk ends with zeros; an empty text is one such chunk."""
+def chunks_of(text: str | None, marks: bool = True) -> np.ndarray:
+    """(2, chunks, WIDTH) bytes and repeat marks (or zeros); the last chunk ends with zeros; an empty text is one such chunk."""
     raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
     mark = np.zeros(len(raw), np.uint8)
-    for lag in range(2, LAGS + 1):
+    for lag in range(2, LAGS + 1 if marks else 0):
         if len(raw) < lag + RUN:
             break
         same = raw[lag:] == raw[:-lag]
@@ -53,9 +53,10 @@ class Network:
     bias: np.ndarray
     head: np.ndarray  #: (2 * FILTERS,)
     constant: np.ndarray  #: (1,)
+    marks: bool = True  #: whether repetition is marked
 
     @classmethod
-    def fresh(cls, seed: int = SEED) -> Network:
+    def fresh(cls, seed: int = SEED, marks: bool = True) -> Network:
         draw = np.random.default_rng(seed)
         f32 = lambda *shape, scale: (draw.standard_normal(shape) * scale).astype(np.float32)
         width = TAPS * (EMBED + 1)
@@ -65,6 +66,7 @@ class Network:
             np.zeros(FILTERS, np.float32),
             f32(2 * FILTERS, scale=0.1),
             np.zeros(1, np.float32),
+            marks,
         )
 
     def windows(self, part: np.ndarray) -> np.ndarray:
@@ -94,7 +96,7 @@ class Network:
         return float(np.concatenate([top.mean(axis=0), top.max(axis=0)]) @ self.head + self.constant[0])
 
     def score(self, text: str | None) -> float:
-        z = self.logit(self.pooled(chunks_of(text)))
+        z = self.logit(self.pooled(chunks_of(text, self.marks)))
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
     def gradients(self, chunks: np.ndarray, y: int) -> tuple[list[np.ndarray], float]:
@@ -122,14 +124,14 @@ class Network:
         return [self.embed, self.filters, self.bias, self.head, self.constant]
 
 
-def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
+def train(texts: list[str], labels: list[int], seed: int = SEED, marks: bool = True) -> Network:
     """A network fitted by Adam in batches of documents; the same rows in the same order give the same network."""
-    net, draw = Network.fresh(seed), np.random.default_rng(seed)
+    net, draw = Network.fresh(seed, marks), np.random.default_rng(seed)
     if len(set(labels)) < 2:  # one class alone teaches a constant
         net.head[:] = 0
         net.constant[:] = 3.0 if 1 in labels else -3.0 if labels else 0.0
         return net
-    chunks = [chunks_of(t) for t in texts]
+    chunks = [chunks_of(t, marks) for t in texts]
     share = np.bincount(labels, minlength=2) / len(labels)
     first, second, step = [np.zeros_like(w) for w in net.weights()], [np.zeros_like(w) for w in net.weights()], 0
     for epoch in range(EPOCHS):
@@ -159,14 +161,16 @@ def learn(
     rows: int = SAMPLE_ROWS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    marks: bool = True,
 ) -> Network:
     """A network from at most ``rows`` labelled rows of each class outside the held-out fold.
 
-    Rows of more than SAMPLE_CHARS characters are scored, but not learned from.
+    Rows of more than SAMPLE_CHARS characters are scored, but not learned from; nor are rows with null ids. Without
+    labels every score is one half. ``marks``: with the plane that marks repetition, else on learned filters alone.
     """
-    known = training_rows(docs, labels, label, folds, fold, rows, id_col, text_col).where(F.length("text") <= SAMPLE_CHARS)
+    known = training_rows(docs, labels, label, folds, fold, rows, id_col, text_col, SAMPLE_CHARS)
     seen = known.orderBy(F.xxhash64("text"), "text").toPandas()  # 2 x rows texts of SAMPLE_CHARS characters at most
-    return train(seen["text"].tolist(), [int(y) for y in seen["y"]])
+    return train(seen["text"].tolist(), [int(y) for y in seen["y"]], marks=marks)
 
 
 def scored(df: DataFrame, network: Network, folds: int = 3, fold: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,5 +191,9 @@ def scored(df: DataFrame, network: Network, folds: int = 3, fold: int = 1, id_co
 
 
 def worthy(df: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
-    """The rows whose texts score one half or more; all columns are kept."""
+    """The rows whose texts score one half or more, with all columns, whatever their names.
+
+    Null and empty texts are a chunk of zeros; null ids and repeated rows stay or go by their texts; an empty table
+    gives an empty result.
+    """
     return arrow_input(df).where(score_of(network.score, text_col) >= 0.5)
