@@ -163,15 +163,15 @@ def pack(
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens: one row per piece with its place.
 
-    Tokens are made once and only the pieces' sizes travel: they are dealt by hash into shards of about
-    ``shard_items`` pieces, and each shard is packed on its own, so a task's memory is bounded whatever the input. A
-    shard leaves a few bins part-empty, out of tens of thousands. With ``in_order`` the shards are consecutive ranges
+    Tokens are made once and only the pieces' sizes travel: they are dealt by a hash of their places in the table (so
+    repeated rows spread) into shards of about ``shard_items`` pieces, and each shard is packed on its own, so a task's
+    memory is bounded whatever the input. A shard leaves a few bins part-empty, out of tens of thousands. With ``in_order`` the shards are consecutive ranges
     of the rows as they stand, pieces of equal length keep that order, and a shard's sequences are numbered by the
     place of the piece that opened them, its longest; so sequences follow the order of the rows. Null texts are empty and hold the end id alone;
     repeated rows are packed as separate documents; null ids are allowed; an empty table gives an empty result.
     """
-    carried = ("_file", "_at") if in_order else ()
-    rows = standing(df, id_col, text_col) if in_order else df
+    carried = ("_file", "_at") if in_order else ("_at",)
+    rows = standing(df, id_col, text_col) if in_order else df.select(id_col, text_col, F.monotonically_increasing_id().alias("_at"))
     pieces = written(tokenize_pieces(rows, tokenizer, capacity, end_id, id_col, text_col, carried), "pieces")
     count = pieces.count()
     shards = max(1, -(-count // shard_items))
@@ -180,7 +180,7 @@ def pack(
     )
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        by = ["_n"] if in_order else [id_col, "start", "length", "ids_crc32"]
+        by = ["_n"] if in_order else ["_at", "piece"]
         pdf = pdf.sort_values(by, kind="stable").reset_index(drop=True)
         bins, offsets = sum_of_squares(pdf["length"].to_numpy(), capacity)
         if in_order:
@@ -196,5 +196,5 @@ def pack(
         placed = numbered(pieces.withColumnRenamed("_at", "_place").withColumn("_all", F.lit(0)), "_all", ["_file", "_place", "piece"])
         dealt = placed.drop("_all", "_file", "_place").withColumn("_shard", F.expr(f"_n * {shards} div {max(1, count)}"))
     else:
-        dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(F.col(id_col).cast("string"), "start", "ids_crc32"), F.lit(shards)))
+        dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("_at", "piece"), F.lit(shards)))
     return dealt.groupBy("_shard").applyInPandas(run, schema)
