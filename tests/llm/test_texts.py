@@ -153,6 +153,16 @@ def test_pack_rows(spark, ids):
     assert packing.pack(df.limit(0), queries.byte_bpe()).count() == 0
 
 
+def test_repeated_rows_spread_over_shards(spark):
+    df = spark.createDataFrame([(None, "the same words")] * 600, "doc_id long, text string").repartition(3)
+    rows = packing.pack(df, queries.byte_bpe(), shard_items=60).collect()
+    shards = defaultdict(int)
+    for r in rows:
+        shards[r.sequence_id >> 40] += 1
+    assert len(rows) == 600 and len(shards) == 10 and max(shards.values()) < 120
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 600
+
+
 def test_media(spark):
     texts = [None, "", "x" * 63, "x" * 64, "x" * 65, "é" * 100, "abc def " * 40_000, "twice", "twice"]
     rows = sorted(media.wav_features(media.to_wav(frame(spark, texts))).collect())
@@ -163,6 +173,9 @@ def test_media(spark):
         assert r.tail_crc32 == zlib.crc32(payload[-64:]) and r.media_bytes == len(media.wav_bytes(payload))
         assert list(r.fp_times) == sorted(r.fp_times) and len(r.fp_times) == len(r.fp_hashes)
     assert rows[7][2:] == rows[8][2:]
+    stored = media.media_features(frame(spark, texts).union(spark.createDataFrame([(None, "x", 0, "y")], DOCS)))
+    assert sorted(r.payload_sha256 for r in stored.collect()) == sorted([*(r.payload_sha256 for r in rows), hashlib.sha256(b"x" + bytes(63)).hexdigest()])
+    assert {"fp_times", "fp_hashes", "feature"} <= set(stored.columns)
     assert media.to_wav(frame(spark, []).limit(0)).count() == 0
 
 

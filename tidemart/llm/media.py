@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.common import arrow_input, field
+from tidemart.llm.common import arrow_input, field, written
 
 RATE, UNIT = 8000, 64
 FRAME, HOP = 256, 128
@@ -93,7 +93,8 @@ def pair_fingerprints(times: np.ndarray, bins: np.ndarray) -> tuple[np.ndarray,
 def to_wav(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ``n_bytes``, ``media``): each text's UTF-8 bytes, padded with zeros, stored as a WAV in a binary column.
 
-    Null texts are empty; an empty text is 64 samples of byte 0. Other columns are not read.
+    Null texts are empty; an empty text is 64 samples of byte 0. Null ids and repeated rows have a row each; an empty
+    table gives an empty result; other columns are not read.
     """
     schema = T.StructType(
         [field(df, id_col), T.StructField("n_bytes", T.LongType(), False), T.StructField("media", T.BinaryType(), False)]
@@ -126,7 +127,8 @@ def wav_features(df: DataFrame, id_col: str = "doc_id", media_col: str = "media"
 
     Columns: id, ``n_bytes`` (carried), ``payload_bytes``, ``payload_sha256``, ``tail_crc32`` (last 64 bytes),
     ``media_bytes``, ``media_sha256``, ``fp_times`` and ``fp_hashes`` (arrays of equal length, ordered by time).
-    A null media column gives nulls in all of them.
+    A null media column gives nulls in all of them; null ids and repeated rows have a row each; an empty table gives an
+    empty result; other columns are not read.
     """
     ints = T.ArrayType(T.IntegerType(), False)
     kinds = {
@@ -174,3 +176,9 @@ def feature_text():
     return F.array_join(
         F.zip_with("fp_times", "fp_hashes", lambda t, h: F.concat(F.lower(F.hex(t)), F.lit(":"), F.lower(F.hex(h)))), " "
     )
+
+
+def media_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Store the texts as a media column in the shared folder, read it back and tell its features, also as text."""
+    stored = written(to_wav(df, id_col, text_col), "media", compression="zstd")
+    return wav_features(stored, id_col).withColumn("feature", feature_text())

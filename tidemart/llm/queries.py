@@ -68,10 +68,9 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemart.llm.media import feature_text, to_wav, wav_features
+    from tidemart.llm.media import media_features
 
-    read = wav_features(to_wav(table(spark, sf_dir, "documents")))
-    return read.withColumn("feature", feature_text()).drop("fp_times", "fp_hashes")
+    return media_features(table(spark, sf_dir, "documents"))
 
 
 #: Target weights of the mixture: the large source twice the share of each other.
