@@ -1,5 +1,6 @@
 """Raw files in, scores of files and stages out."""
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -36,6 +37,20 @@ def test_ingest_is_idempotent(spark, csvs):
     assert bronze.ingest_status(first.limit(0)).first().status == "no_files"
 
 
+def test_ingest_takes_one_file_of_a_name(spark, csvs):
+    (csvs / "in/deeper").mkdir()
+    (csvs / "in/deeper/f1.csv").write_text("b\n2\n")
+    out = bronze.ingest(spark, f"{csvs}/in", f"{csvs}/bronze", AT)
+    assert sorted((r.file_name, r.status, r.changed) for r in out.collect()) == [("f0.csv", "uploaded", False), ("f1.csv", "skipped", True), ("f1.csv", "uploaded", False), ("f2.csv", "uploaded", False)]
+    assert (csvs / "bronze/year=2024/month=01/day=15/f1.csv").read_text() == "b\n2\n"  # that with the least path
+    assert bronze.ingest_status(out).first().uploaded == 3 and out.count() == 4  # reading again copies nothing
+
+
+def test_ingest_goes_on_after_an_error(spark, csvs, monkeypatch):
+    assert bronze._copied(f"file://{csvs}/in/f0.csv", f"file://{csvs}/out/x/f0.csv") is None and (csvs / "out/x/f0.csv").exists()
+    assert "nowhere" in bronze._copied(f"file://{csvs}/nowhere.csv", f"file://{csvs}/out/nowhere.csv")
+
+
 def test_read_raw(spark, csvs):
     bronze.ingest(spark, f"{csvs}/in", f"{csvs}/bronze", AT).count()
     df = files.read_raw(spark, f"{csvs}/bronze", "2024-01-15_x", date(2024, 2, 2), AT)
@@ -105,12 +120,45 @@ def test_store_and_views(spark, tmp_path, sf_dir):
     stored = warehouse.store(w, f"{tmp_path}/gold", ["stg_sales", "dim_date", "dim_product"])
     assert set(stored) == {"dim_date", "dim_product"} and spark.table("stg_sales").count() > 0
     assert warehouse.external_table(spark, "gold_products", stored["dim_product"]).count() == w["dim_product"].count()
-    assert warehouse.append(w.made["silver"], f"{tmp_path}/export") and "ORDER_ID" in spark.read.parquet(f"{tmp_path}/export").columns
+    n = w.made["silver"].count()
+    assert warehouse.append(w.made["silver"], f"{tmp_path}/export", rows_per_part=1000, most_parts=3) and not warehouse.append(w.made["silver"].limit(0), f"{tmp_path}/export")
+    out = spark.read.parquet(f"{tmp_path}/export")
+    assert out.columns == [x for x, _ in warehouse.EXPORTED] and len(out.columns) == 26 and out.count() == n and len(out.inputFiles()) == min(3, n // 1000)
+    assert dict(out.dtypes)["PARTITION_DATE"] == "date" and out.where("STORE_ID not like 'CUST-%' or TOTAL_PRICE <> SALES").count() == 0
+    assert len(warehouse.export_columns(w.made["silver"], short=True).columns) == 22
+    assert [warehouse.parts_for(x) for x in (0, 4999, 12_000)] == [1, 1, 2]
+    spark.sql("drop table gold_products")
+    assert spark.read.parquet(stored["dim_product"]).count() == w["dim_product"].count()
     assert warehouse.incremental(spark.range(10), spark.range(4), "id").count() == 6 and warehouse.incremental(spark.range(10), spark.range(0), "id").count() == 10
     assert warehouse.schema_name("prod", "marts") == "marts" and warehouse.schema_name("dev", "marts") == "analytics_marts"
     w.release()
 
 
+def test_scratch_is_deleted(spark, tmp_path, monkeypatch):
+    from tidemart.sources import scratch
+
+    before = scratch.shared_dir(spark)
+    with scratch.Scratch(spark) as owner:
+        assert scratch.stored(spark.range(5), "some").count() == 5
+        folder = owner.path.removeprefix("file://")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and scratch.shared_dir(spark) == before
+
+
+@pytest.mark.parametrize(("master", "fine"), [("local[4]", True), ("spark://host:7077", False), ("yarn", False)])
+def test_shared_folder_of_a_cluster_must_be_set(master, fine):
+    from types import SimpleNamespace
+
+    from tidemart.sources import scratch
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master, applicationId="app"))
+    if fine:
+        assert scratch.shared_dir(session) == scratch.shared_dir(session)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.shared_dir(session)
+
+
 def test_calendar_flags(spark):
     w = Warehouse(spark, None, Settings(spine_start=date(2024, 1, 1), spine_end=date(2025, 1, 1)))
     days = {r.date_key: r for r in w["dim_date"].collect()}

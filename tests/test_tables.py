@@ -108,6 +108,22 @@ def test_generator(spark):
     assert 0.2 < share < 0.4
 
 
+def test_production(spark):
+    got, waits, now = [], [], [0.0]
+
+    def wait(s):
+        waits.append(s)
+        now[0] += s
+
+    assert generator.produce(got.append, spark, date(2024, 1, 1), 250, batch=100, rate=50, clock=lambda: now[0], wait=wait) == 250
+    assert [df.count() for df in got] == [100, 100, 50] and waits == [0.0, 2.0, 2.0]
+    whole = got[0].union(got[1]).union(got[2])
+    assert whole.exceptAll(generator.generate(spark, 250, date(2024, 1, 1))).count() == 0
+    burst = []
+    assert generator.produce(burst.append, spark, date(2024, 1, 1), 30, batch=10, wait=wait) == 30 and len(burst) == 3 and len(waits) == 3
+    assert generator.produce(burst.append, spark, date(2024, 1, 1), 0) == 0
+
+
 def test_stream_merges_once(spark, tmp_path):
     events = generator.generate(spark, 200, date(2024, 1, 1))
     events.repartition(4).write.json(f"{tmp_path}/in")

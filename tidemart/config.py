@@ -8,7 +8,7 @@ from datetime import date
 
 @dataclass(frozen=True)
 class Settings:
-    as_of: date = date(2001, 11, 5)
+    as_of: date = date(2001, 8, 2)
     sales_threshold: float = 10_000.0
     spine_start: date = date(1995, 1, 1)
     spine_end: date = date(2002, 1, 1)  #: exclusive

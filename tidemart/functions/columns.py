@@ -209,7 +209,3 @@ def source_system_of(x: Name) -> Column:
     for name, system in SOURCE_SYSTEMS.items():
         out = F.when(col(x) == name, system).otherwise(out)
     return out
-
-
-def upper_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.upper() for c in df.columns])

@@ -395,6 +395,111 @@ left join (select date_value as sale_date, count(*) as fact_record_count, count(
   from fact_sales join dim_date using (date_key) where date_value >= {AS_OF} - 7 group by 1) f using (sale_date)
 """
 
+EXPORT = """
+select order_id as ORDER_ID, customer_id as STORE_ID, product_id as PRODUCT_ID, product_name as PRODUCT_NAME, category as CATEGORY, sub_category as SUB_CATEGORY,
+  quantity as QUANTITY, unit_price as UNIT_PRICE, sales as TOTAL_PRICE, order_date as ORDER_DATE, ship_date as SHIP_DATE, sales as SALES, profit as PROFIT,
+  shipping_cost as SHIPPING_COST, segment as CUSTOMER_SEGMENT, market as MARKET, region as REGION, country as COUNTRY, state as STATE, city as CITY,
+  order_priority as ORDER_PRIORITY, cast(null as varchar) as SOURCE_FILE, batch_id as BATCH_ID, ingestion_timestamp as INGESTION_TIMESTAMP,
+  source_system as SOURCE_SYSTEM, cast(partition_date as date) as PARTITION_DATE
+from silver
+"""
+
+#: Tables with the faults that ``queries.faulty_tables`` plants.
+FAULTY = {
+    "fact_sales_daily": ("faulty_daily", """
+select * replace (total_net_sales + case when product_key % 4 = 0 then 1 else 0 end as total_net_sales,
+  transaction_count + case when product_key % 4 = 1 then 1 else 0 end as transaction_count) from fact_sales_daily where product_key % 4 <> 2
+"""),
+    "fact_sales": ("faulty_fact", "select * from fact_sales where date_key % 2 = 0 or product_key % 3 = 0"),
+    "int_product_scd2": ("faulty_versions", f"""
+select * exclude (n) replace (
+  case when n % 7 = 3 then effective_date - 1 when n % 5 in (1, 2) then effective_date + 10 else expiration_date end as expiration_date,
+  case when n % 7 <> 3 and n % 5 in (1, 2) then false else is_current end as is_current)
+from (select *, cast(substring(product_id, 6) as int) as n from int_product_scd2)
+union all by name
+select * exclude (n) replace (effective_date + case n % 5 when 0 then 30 when 1 then 20 else 11 end as effective_date, product_scd2_key || '-2' as product_scd2_key)
+from (select *, cast(substring(product_id, 6) as int) as n from int_product_scd2) where n % 7 <> 3 and n % 5 < 3
+"""),
+}
+
+
+def faulty(sql: str) -> str:
+    """``sql`` over the faulty tables; names in quotes stay."""
+    for name, (other, _) in FAULTY.items():
+        sql = re.sub(rf"(?<!')\b{name}\b(?!')", other, sql)
+    return sql
+
+
+FILE_COLUMNS = [x for x in ROW if x not in ("source_row_id", "processing_timestamp")]
+
+
+def file_score(source: str, columns: list[str], name: str) -> str:
+    n, all_ = len(columns), ", ".join(columns)
+    missing = sorted({*FILE_COLUMNS, "row_id"} - set(columns))
+    field = f"(100.0::double * {24 - len(missing)} / 24)"
+    texts = " + ".join(f"case when count(*) filter (where {x} is not null and try_cast(cast({x} as varchar) as double) is null) > 0 then 1 else 0 end" for x in columns)
+    mostly = ", ".join(f"case when rows > 0 and n_{x} / rows < 0.5 then '{x} is mostly null' end" for x in columns)
+    return f"""
+select '{name}' as file_name, rows as row_count, {field} as field_score, completeness_score, consistency_score,
+  cast(floor(0.4::double * {field} + 0.3::double * completeness_score + 0.3::double * consistency_score) as int) as overall_score, {str(not missing).lower()} as schema_valid,
+  cast({missing} as varchar[]) as missing, cast([] as varchar[]) as extra,
+  list_filter([{mostly}, case when repeated > 0 then cast(repeated as varchar) || ' duplicate rows' end], lambda x: x is not null) as issues
+from (select count(*) as rows, {", ".join(f"count({x}) as n_{x}" for x in columns)}, 100.0::double * ({" + ".join(f"count({x})" for x in columns)}) / (count(*) * {n}) as completeness_score,
+    greatest(0.0::double, 100.0::double - 10.0::double * ({texts})) as consistency_score from {source}),
+  (select cast(coalesce(sum(c - 1), 0) as bigint) as repeated from (select count(*) as c from {source} group by {all_}))
+"""
+
+
+FILE_SCORE = file_score("sales_view", ["row_id", *FILE_COLUMNS], "file")
+BATCH_REPORT = f"""
+select *, case when mean_score >= 90 and invalid_files = 0 then 'excellent' when mean_score >= 80 and invalid_files <= 1 then 'good' when mean_score >= 70 then 'acceptable' else 'poor' end as grade
+from (select count(*) as total_files, count(*) filter (where schema_valid and overall_score >= 70) as valid_files, avg(overall_score) as mean_score,
+    count(*) filter (where not (schema_valid and overall_score >= 70)) as invalid_files
+  from ({" union all ".join(file_score(f"(select * from sales_view where year(order_date) = {y})", c, str(y)) for y, c in ((1996, ["row_id", *FILE_COLUMNS]), (1997, ["row_id", *FILE_COLUMNS]), (1998, ["order_id", "sales"])))}))
+"""
+
+
+def _check(stage: str, name: str, passed: str, score: str, source: str, **details: str) -> str:
+    text = " || ',' || ".join(f"'\"{k}\":' || cast({v} as varchar)" for k, v in details.items())
+    return f"select '{stage}' as stage, '{name}' as check_name, {passed} as passed, cast({score} as double) as score, '{{' || {text} || '}}' as details from {source}"
+
+
+_schema = lambda stage: f"""select '{stage}' as stage, 'schema' as check_name, true as passed, 1.0::double as score, '{{"missing": []}}' as details"""
+_raw = "order_id order_date ship_date customer_id customer_name product_id product_name category sales quantity profit".split()
+RAW_VALIDATION = " union all ".join(
+    [
+        _schema("raw"),
+        _check("raw", "completeness", "null_rate <= 0.1::double and null_keys = 0", "1 - null_rate",
+            f"(select ({' + '.join(f'count(*) filter (where {x} is null)' for x in _raw)}) / (count(*) * {len(_raw)}) as null_rate, count(*) filter (where order_id is null) + count(*) filter (where customer_id is null) + count(*) filter (where product_id is null) as null_keys from sales_view)",
+            null_rate="null_rate", null_keys="null_keys"),
+        _check("raw", "types", "bad_types = 0", "case when bad_types = 0 then 1 else 0 end", f"(select {' + '.join(f'count(*) filter (where {x} is not null and try_cast({x} as double) is null)' for x in ('sales', 'quantity', 'profit'))} as bad_types from sales_view)", bad_types="bad_types"),
+        _check("raw", "business_rules", "violation_rate <= 0.05::double", "1 - violation_rate", "(select count(*) filter (where sales <= 0 or quantity <= 0) / count(*) as violation_rate from sales_view)", violation_rate="violation_rate"),
+        _check("raw", "duplicates", "duplicate_rate <= 0.05::double", "1 - duplicate_rate", "(select (sum(c) - count(*)) / sum(c) as duplicate_rate from (select count(*) as c from sales_view group by all))".replace("count(*) as c from sales_view group by all", "count(*) as c from sales_view group by " + ", ".join(["row_id", *FILE_COLUMNS, "processing_timestamp"])), duplicate_rate="duplicate_rate"),
+        _check("raw", "outliers", "outlier_rate <= 0.1::double", "1 - outlier_rate",
+            "(select q1, q3, count(*) filter (where sales < q1 - 1.5::double * (q3 - q1) or sales > q3 + 1.5::double * (q3 - q1)) / count(*) as outlier_rate from sales_view, (select quantile_cont(sales, 0.25) as q1, quantile_cont(sales, 0.75) as q3 from sales_view) group by q1, q3)",
+            q1="q1", q3="q3", outlier_rate="outlier_rate"),
+    ]
+)
+_kept = "(select (select count(*) from sales_view) as rows_in, count(*) as rows_out, count(*) filter (where abs(unit_price * quantity - sales) <= 0.01::double) / count(*) as accuracy, (select count(*) from sales_view) / 1.0::double as rate from silver)"
+ETL_VALIDATION = " union all ".join(
+    [
+        _check("etl", "retention", "rows_out / rows_in >= 0.9::double", "least(1.0::double, rows_out / rows_in)", _kept, rows_in="rows_in", rows_out="rows_out"),
+        _schema("etl"),
+        _check("etl", "calculation", "accuracy >= 0.95::double", "accuracy", _kept, accuracy="accuracy"),
+        _check("etl", "throughput", "rate >= 1000", "least(1.0::double, rate / 1000)", _kept, rate="rate"),
+    ]
+)
+_seen = "(select count(*) as rows, (count(*) filter (where event_id is null) + count(*) filter (where user_id is null) + count(*) filter (where value is null)) / (count(*) * 3) as null_rate, count(user_id) - count(distinct user_id) as repeated, (epoch_us(max(ts)) - epoch_us(min(ts))) / 3.6e9::double as hours, count(*) / 60.0::double as rate from events)"
+STREAM_VALIDATION = " union all ".join(
+    [
+        _schema("stream"),
+        _check("stream", "completeness", "null_rate <= 0.05::double", "1 - null_rate", _seen, null_rate="null_rate"),
+        _check("stream", "duplicates", "repeated = 0", "1 - repeated / rows", _seen, repeated="repeated"),
+        _check("stream", "time_range", "hours <= 24", "case when hours <= 24 then 1 else 0 end", _seen, hours="hours"),
+        _check("stream", "throughput", "rate >= 100", "least(1.0::double, rate / 100)", _seen, rate="rate"),
+    ]
+)
+
 VIEWS = {
     "sales_view": SALES,
     "cleaned": CLEANED,
@@ -414,6 +519,7 @@ VIEWS = {
     "dim_customer": DIM_CUSTOMER,
     "fact_sales": FACT,
     "fact_sales_daily": DAILY,
+    **dict(FAULTY.values()),
 }
 
 

@@ -99,7 +99,7 @@ def dim_store(versions: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         c.bucket(age, [(1, "RAMP_UP"), (3, "GROWTH"), (10, "MATURE")], "LEGACY").alias("lifecycle_stage"),
         "data_quality_score", "ingestion_timestamp", "created_at", "updated_at",
     )
-    return dense_keys(out, "store_key", ["store_id", "effective_date"])
+    return ranged_keys(out, "store_key", ["store_id", "effective_date"])
 
 
 def dim_customer(unified: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -150,7 +150,7 @@ def dim_customer(unified: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         _now(settings).alias("created_at"),
         _now(settings).alias("updated_at"),
     )
-    return dense_keys(out, "customer_key", ["customer_id"])
+    return ranged_keys(out, "customer_key", ["customer_id"])
 
 
 FACT = (
@@ -211,8 +211,20 @@ def fact_sales(*tables: DataFrame, in_one_task: bool = False) -> DataFrame:
     return keyed.select("sales_key", *FACT)
 
 
+def fact_for_reports(*tables: DataFrame) -> DataFrame:
+    """The fact with the unified key, unique too, as ``sales_key``: for readers that only count it.
+
+    Nothing is sorted, numbered or written, and columns that a reader does not use are pruned to the sources.
+    """
+    return fact_sales_unkeyed(*tables).withColumnRenamed("unified_sales_key", "sales_key")
+
+
 def fact_sales_daily(fact: DataFrame) -> DataFrame:
     """Sales by date, product and store: totals, mixes and tiers; ``daily_sales_key`` numbers them."""
+    return ranged_keys(daily_unkeyed(fact), "daily_sales_key", ["date_key", "product_key", "store_key"])
+
+
+def daily_unkeyed(fact: DataFrame) -> DataFrame:
     yes = lambda x, *v: F.count_if(F.col(x).isin(*v))
     by = fact.groupBy("date_key", "product_key", "store_key").agg(
         F.count("*").alias("transaction_count"),
@@ -240,7 +252,7 @@ def fact_sales_daily(fact: DataFrame) -> DataFrame:
     most = F.greatest(*map(part, ("MORNING", "AFTERNOON", "EVENING", "NIGHT")))
     peak = F.when(part("AFTERNOON") == most, "AFTERNOON").when(part("EVENING") == most, "EVENING").when(part("MORNING") == most, "MORNING").otherwise("NIGHT")
     pct = lambda x: c.percent_of(x, "transaction_count")
-    out = by.where((F.col("transaction_count") >= 1) & (F.col("avg_data_quality_score") >= 70)).select(
+    return by.where((F.col("transaction_count") >= 1) & (F.col("avg_data_quality_score") >= 70)).select(
         "date_key", "product_key", "store_key", "transaction_count", "total_quantity_sold", "total_gross_sales",
         "total_discount_amount", "total_net_sales", "total_cost_amount", "total_profit_amount", "avg_transaction_size",
         "avg_profit_margin_pct", "unique_customers",
@@ -254,7 +266,6 @@ def fact_sales_daily(fact: DataFrame) -> DataFrame:
         c.bucket("total_net_sales", [(10000, "HIGH_PERFORMANCE"), (5000, "GOOD_PERFORMANCE"), (1000, "AVERAGE_PERFORMANCE")], "LOW_PERFORMANCE", below=False).alias("daily_performance_tier"),
         "created_at", "updated_at",
     )
-    return ranged_keys(out, "daily_sales_key", ["date_key", "product_key", "store_key"])
 
 
 def recent(df: DataFrame, day: str, settings: Settings = DEFAULT, days: int = 30) -> DataFrame:

@@ -29,12 +29,16 @@ HIERARCHIES = {
 }
 
 
-def star(w: Warehouse) -> DataFrame:
-    """The fact with the attributes that reports group by."""
+def star(w: Warehouse, *with_: str) -> DataFrame:
+    """The fact with the attributes that reports group by; of the dimensions named (date, product, customer), or all."""
     dates = w["dim_date"].select("date_key", "date_value", "year_number", "quarter", "month_number", "month_name")
     products = w["dim_product"].select("product_key", "product_id", "product_name", "category", "sub_category")
     customers = w["dim_customer"].select("customer_key", "customer_segment", "customer_value_tier", "recency_segment", "region", "country", "state", "city")
-    return w["fact_sales"].join(dates, "date_key", "left").join(products, "product_key", "left").join(customers, "customer_key", "left")
+    out = w["fact_sales"]
+    for name, df in (("date", dates), ("product", products), ("customer", customers)):
+        if not with_ or name in with_:
+            out = out.join(df, f"{name}_key", "left")
+    return out
 
 
 def kpis(sales: DataFrame, *by: str) -> DataFrame:

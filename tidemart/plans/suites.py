@@ -68,21 +68,37 @@ def business_rules(w: Warehouse, settings: Settings = DEFAULT) -> DataFrame:
             ),
         },
     )
-    repeated = uni.agg((F.count("*") - F.countDistinct("order_id", "product_id", "data_source")).alias("n"))
-    middle = _fused(
-        uni,
-        "INTERMEDIATE",
-        "int_sales_unified",
-        {
-            "INCORRECT_SIZE_CATEGORY": ((size == "SMALL") & (amount >= 50))
-            | ((size == "MEDIUM") & ((amount < 50) | (amount >= 200)))
-            | ((size == "LARGE") & ((amount < 200) | (amount >= 500)))
-            | ((size == "EXTRA_LARGE") & (amount < 500))
-        },
+    week, day = settings.as_of - timedelta(days=7), settings.as_of - timedelta(days=1)
+    size_off = (
+        ((size == "SMALL") & (amount >= 50))
+        | ((size == "MEDIUM") & ((amount < 50) | (amount >= 200)))
+        | ((size == "LARGE") & ((amount < 200) | (amount >= 500)))
+        | ((size == "EXTRA_LARGE") & (amount < 500))
+    )
+    middle = uni.agg(
+        (F.count("*") - F.countDistinct("order_id", "product_id", "data_source")).alias("repeated"),
+        F.count_if(size_off).alias("size_off"),
+        F.count_if(F.col("sale_date") >= F.lit(week)).alias("a"),
     )
     versions = [_fused(w[m], "INTERMEDIATE", m, {"INVALID_SCD2_DATES": _bad_versions(settings)}) for m in ("int_product_scd2", "int_store_scd2")]
-    lost = fact.join(w["dim_date"].select("date_key"), "date_key", "left_anti").agg(F.count("*").alias("n"))
-    margins = _fused(fact, "MARTS", "fact_sales", {"UNREALISTIC_PROFIT_MARGINS": (margin > MARGIN_HIGH) | (margin < MARGIN_LOW)})
+    dated = fact.join(w["dim_date"].select("date_key", "date_value"), "date_key", "left")
+    facts = dated.agg(
+        F.count_if(F.col("date_value").isNull()).alias("lost"),
+        F.count_if((margin > MARGIN_HIGH) | (margin < MARGIN_LOW)).alias("margin_off"),
+        F.count_if(F.col("date_value") >= F.lit(week)).alias("b"),
+        c.money_sum(F.when(F.col("date_value") == F.lit(day), F.col("net_sales_amount"))).alias("s"),
+    )
+    once = middle.crossJoin(facts)  # two single rows, from one pass over each table
+    named = [
+        ("INTERMEDIATE", "DUPLICATE_UNIFIED_RECORDS", "int_sales_unified", F.col("repeated")),
+        ("INTERMEDIATE", "INCORRECT_SIZE_CATEGORY", "int_sales_unified", F.col("size_off")),
+        ("MARTS", "BROKEN_REFERENTIAL_INTEGRITY", "fact_sales", F.col("lost")),
+        ("MARTS", "UNREALISTIC_PROFIT_MARGINS", "fact_sales", F.col("margin_off")),
+        ("CROSS_LAYER", "DATA_LOSS_IN_PIPELINE", "staging_to_facts", F.when(F.col("a") > F.col("b") * LOSS, F.col("a") - F.col("b")).otherwise(0)),
+        ("CROSS_LAYER", "METRIC_OUT_OF_RANGE", "daily_sales_volume", F.when((F.col("s") < DAILY_LOW) | (F.col("s") > DAILY_HIGH), 1).otherwise(0)),
+    ]
+    single = [F.struct(*[F.lit(x).alias(n) for x, n in zip(r[:3], ("layer", "rule_type", "model_name"), strict=True)], r[3].cast("long").alias("violation_count")) for r in named]
+    single = once.select(F.explode(F.array(*single)).alias("r")).select("r.*")
     tiers = _fused(
         w["dim_customer"],
         "MARTS",
@@ -104,27 +120,7 @@ def business_rules(w: Warehouse, settings: Settings = DEFAULT) -> DataFrame:
         },
     )
     sums = daily_variance(w).agg(F.count_if(F.col("variance") > 0.01).alias("n"))
-    week = settings.as_of - timedelta(days=7)
-    on_day = fact.join(w["dim_date"].select("date_key", "date_value"), "date_key")
-    flow = uni.agg(F.count_if(F.col("sale_date") >= F.lit(week)).alias("a")).crossJoin(  # two single rows
-        on_day.agg(F.count_if(F.col("date_value") >= F.lit(week)).alias("b"))
-    )
-    flow = flow.select(F.when(F.col("a") > F.col("b") * LOSS, F.col("a") - F.col("b")).otherwise(0).alias("n"))
-    yesterday = on_day.where(F.col("date_value") == F.lit(settings.as_of - timedelta(days=1))).agg(c.money_sum("net_sales_amount").alias("s"))
-    volume = yesterday.select(F.when((F.col("s") < DAILY_LOW) | (F.col("s") > DAILY_HIGH), 1).otherwise(0).alias("n"))
-    found = [
-        staging,
-        _rows(repeated, "INTERMEDIATE", "DUPLICATE_UNIFIED_RECORDS", "int_sales_unified"),
-        middle,
-        *versions,
-        _rows(lost, "MARTS", "BROKEN_REFERENTIAL_INTEGRITY", "fact_sales"),
-        margins,
-        tiers,
-        calendar,
-        _rows(sums, "MARTS", "DAILY_AGGREGATION_ERROR", "fact_sales_daily"),
-        _rows(flow, "CROSS_LAYER", "DATA_LOSS_IN_PIPELINE", "staging_to_facts"),
-        _rows(volume, "CROSS_LAYER", "METRIC_OUT_OF_RANGE", "daily_sales_volume"),
-    ]
+    found = [staging, single, *versions, tiers, calendar, _rows(sums, "MARTS", "DAILY_AGGREGATION_ERROR", "fact_sales_daily")]
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

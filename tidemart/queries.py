@@ -15,6 +15,8 @@ from tidemart.plans import marts, metrics as m, suites
 from tidemart.plans.registry import MODELS, Warehouse
 from tidemart.sources.adapter import sales_view, table
 from tidemart.sources.generator import generate
+from tidemart.sources.scratch import stored
+from tidemart.sources.warehouse import export_columns
 from tidemart.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,17 +35,68 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def star(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """For the fact and what reads it: staged sales and dimensions are written once, as a nightly build would."""
+    """For the fact itself: staged sales and dimensions are written once, as a nightly build would."""
     shared = ("stg_sales", "dim_product", "dim_store", "dim_customer", "fact_sales_daily")
     return Warehouse(spark, silver(spark, sf_dir), DEFAULT, store=shared)
 
 
+DIMENSIONS = ("int_sales_unified", "dim_date", "dim_product", "dim_store", "dim_customer")
+
+
+def reports(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """For what reads the fact once and no key of it: it is neither numbered nor written."""
+    w = star(spark, sf_dir)
+    w.made["fact_sales"] = marts.fact_for_reports(*[w[t] for t in DIMENSIONS])
+    return w
+
+
+def suite_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """For suites, which read the fact several times: it is written once, but not numbered."""
+    w = reports(spark, sf_dir)
+    w.made["fact_sales"] = stored(w["fact_sales"], "fact")
+    w.made["fact_sales_daily"] = marts.daily_unkeyed(w["fact_sales"])
+    return w
+
+
+def faulty_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The same with faults: sales that the fact lacks, wrong and missing daily rows, versions that overlap or leave gaps."""
+    w = suite_tables(spark, sf_dir)
+    daily, fact, key = w["fact_sales_daily"], w["fact_sales"], F.col("product_key") % 4
+    daily = daily.where(key != 2).withColumns(
+        {
+            "total_net_sales": F.when(key == 0, F.col("total_net_sales") + 1).otherwise(F.col("total_net_sales")),
+            "transaction_count": F.when(key == 1, F.col("transaction_count") + 1).otherwise(F.col("transaction_count")),
+        }
+    )
+    w.made["fact_sales_daily"] = daily
+    w.made["fact_sales"] = fact.where((F.col("date_key") % 2 == 0) | (F.col("product_key") % 3 == 0))
+    w.made["int_product_scd2"] = faulty_versions(w["int_product_scd2"])
+    return w
+
+
+def faulty_versions(versions: DataFrame) -> DataFrame:
+    """Product versions, many of them in two: overlapping and both current, with a gap, without fault, or upside down."""
+    n, e, tie = F.substring("product_id", 6, 20).cast("int"), F.col("effective_date"), F.col("product_scd2_key")
+    down, kind = n % 7 == 3, n % 5
+    closed = ~down & kind.isin(1, 2)
+    first = versions.withColumns(
+        {
+            "expiration_date": F.when(down, F.date_sub(e, 1)).when(closed, F.date_add(e, 10)).otherwise(F.col("expiration_date")),
+            "is_current": F.when(closed, False).otherwise(F.col("is_current")),
+        }
+    )
+    second = versions.where(~down & (kind < 3)).withColumns(
+        {"effective_date": F.date_add(e, F.when(kind == 0, 30).when(kind == 1, 20).otherwise(11)), "product_scd2_key": F.concat(tie, F.lit("-2"))}
+    )
+    return first.unionByName(second)
+
+
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.split_faults(cleaned(spark, sf_dir)).valid
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.star(star(spark, sf_dir))
+    return m.star(reports(spark, sf_dir))
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +142,16 @@ def _order_totals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     )
 
 
+def files_of_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the sales of each of some years, as if each were a file; one lacks most of its columns."""
+    rows, out = sales_view(spark, sf_dir).drop("processing_timestamp"), None
+    for year in (1996, 1997, 1998):
+        some = rows.where(F.year("order_date") == year)
+        one = scores.file_score(some.select("order_id", "sales") if year == 1998 else some, str(year))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 WINDOWS = """
     select time_bucket(interval 15 minutes, ts) as window_start, time_bucket(interval 15 minutes, ts) + interval 15 minutes as window_end, event_type, count(*) as n
     from events group by all"""
@@ -139,10 +202,10 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
           p_partkey % 3 <> 0 as is_current from old
         union all select new.*, date '2001-01-01', date '2099-12-31', true from new where p_partkey % 3 = 0 or p_partkey % 10 = 7"""),
     # reports
-    "sales_by_category": (lambda s, d: m.sales_by_category(sales(s, d)), f"""
+    "sales_by_category": (lambda s, d: m.sales_by_category(m.star(reports(s, d), "product")), f"""
         select p.category, {oracles.money("net_sales_amount")} as total_sales, {oracles.money("f.profit_amount")} as total_profit, count(distinct customer_key) as unique_customers
         from fact_sales f join dim_product p using (product_key) group by 1"""),
-    "monthly_trend": (lambda s, d: m.monthly_trend(sales(s, d)), f"""
+    "monthly_trend": (lambda s, d: m.monthly_trend(m.star(reports(s, d), "date")), f"""
         with months as (select year_number, month_number, {oracles.money("net_sales_amount")} as net_sales, count(distinct order_id) as orders
           from fact_sales join dim_date using (date_key) group by all)
         select year_number, month_number, net_sales, orders, (net_sales - lag(net_sales, 12) over w) / nullif(lag(net_sales, 12) over w, 0) as change_on_year,
@@ -176,15 +239,15 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "summary": (lambda s, d: m.summary(silver(s, d)), f"""
         select count(*) as rows, count(distinct order_id) as orders, count(distinct order_id || '-' || product_id) as order_products, min(order_date) as first_day,
           max(order_date) as last_day, min(sales) as least, max(sales) as most, {oracles.money("sales")} / count(sales) as mean from silver"""),
-    "model_counts": (lambda s, d: m.model_counts(star(s, d), "stg_sales", "dim_product", "fact_sales"), """
+    "model_counts": (lambda s, d: m.model_counts(reports(s, d), "stg_sales", "dim_product", "fact_sales"), """
         select 'stg_sales' as model, count(*) as row_count from stg_sales union all select 'dim_product', count(*) from dim_product union all select 'fact_sales', count(*) from fact_sales"""),
     "iqr_outliers": (lambda s, d: m.iqr_outliers(table(s, d, "lineitem"), "l_extendedprice"), """
         with q as (select quantile_cont(l_extendedprice, 0.25) as q1, quantile_cont(l_extendedprice, 0.75) as q3 from lineitem)
         select q1, q3, count(*) as n, count(*) filter (where l_extendedprice < q1 - 1.5::double * (q3 - q1) or l_extendedprice > q3 + 1.5::double * (q3 - q1)) as outliers,
           count(*) filter (where l_extendedprice < q1 - 1.5::double * (q3 - q1) or l_extendedprice > q3 + 1.5::double * (q3 - q1)) / count(*) as outlier_rate
         from lineitem, q group by q1, q3"""),
-    "recent_facts": (lambda s, d: marts.recent(star(s, d)["fact_sales"], "date_key"), """
-        select * from fact_sales where date_key >= cast(strftime(date '2001-11-05' - 30, '%Y%m%d') as int)"""),
+    "recent_facts": (lambda s, d: marts.recent(star(s, d)["fact_sales"], "date_key"), f"""
+        select * from fact_sales where date_key >= cast(strftime({oracles.AS_OF} - 30, '%Y%m%d') as int)"""),
     # streams
     "event_windows": (lambda s, d: ingest.windowed(events(s, d), "ts", "15 minutes", by=("event_type",)), WINDOWS),
     "event_windows_streamed": (streamed_windows, WINDOWS),
@@ -199,9 +262,11 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
         select props as event, 20.0::double * (json_exists(props, '$.order_id')::int + json_exists(props, '$.customer_id')::int + json_exists(props, '$.product_id')::int
           + json_exists(props, '$.sales')::int + json_exists(props, '$.quantity')::int) as score, score >= 90 as is_valid from events"""),
     "generated_events": (lambda s, d: generate(s, 1000, DEFAULT.as_of), None),
-    "file_score": (lambda s, d: scores.file_score(sales_view(s, d).drop("processing_timestamp")), None),
-    "raw_validation": (lambda s, d: scores.validate_raw(sales_view(s, d)), None),
-    "etl_validation": (lambda s, d: scores.validate_etl(sales_view(s, d), silver(s, d), 1.0), None),
+    "file_score": (lambda s, d: scores.file_score(sales_view(s, d).drop("processing_timestamp")), oracles.FILE_SCORE),
+    "raw_validation": (lambda s, d: scores.validate_raw(sales_view(s, d)), oracles.RAW_VALIDATION),
+    "etl_validation": (lambda s, d: scores.validate_etl(sales_view(s, d), silver(s, d), 1.0), oracles.ETL_VALIDATION),
+    "stream_validation": (lambda s, d: scores.validate_stream(events(s, d), "ts", ("event_id", "user_id", "value"), "user_id", window_seconds=60), oracles.STREAM_VALIDATION),
+    "batch_report": (lambda s, d: scores.batch_report(files_of_years(s, d)), oracles.BATCH_REPORT),
     # checks
     "check_date_range": (lambda s, d: q.valid_date_range(_orders(s, d), "o_orderdate", date(1996, 1, 1), date(2000, 12, 31)).select("o_orderkey", "o_orderdate"), """
         select o_orderkey, cast(o_orderdate as date) as o_orderdate from orders where not cast(o_orderdate as date) between date '1996-01-01' and date '2000-12-31'"""),
@@ -240,10 +305,12 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
         select row_id, ship_date, order_date from sales_view where not ship_date >= order_date"""),
     "check_cross_model": (lambda s, d: q.cross_model_consistency(
         table(s, d, "part"), table(s, d, "part").withColumn("p_size", F.when(F.col("p_partkey") % 5 == 0, 0).otherwise(F.col("p_size"))), ["p_partkey"], ["p_name", "p_size"]), """
-        select p_partkey, p_name as p_name_a, p_size as p_size_a, p_name as p_name_b, 0 as p_size_b from part where p_partkey % 5 = 0 and p_size <> 0"""),
+        select a.p_partkey, a.p_name as p_name_a, a.p_size as p_size_a, b.p_name as p_name_b, b.p_size as p_size_b
+        from part a join (select p_partkey, p_name, cast(case when p_partkey % 5 = 0 then 0 else p_size end as int) as p_size from part) b using (p_partkey)
+        where a.p_name is distinct from b.p_name or a.p_size is distinct from b.p_size"""),
     "check_acceptable_range": (lambda s, d: q.acceptable_range(table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), "l_quantity", 5, 45), """
         select l_orderkey, l_linenumber, l_quantity from lineitem where l_quantity < 5 or l_quantity > 45"""),
-    "check_string_length": (lambda s, d: q.string_length(table(s, d, "part").select("p_partkey", "p_name"), "p_name", 5, 12), "select p_partkey, p_name from part where length(p_name) < 5 or length(p_name) > 12"),
+    "check_string_length": (lambda s, d: q.string_length(table(s, d, "part").select("p_partkey", "p_name"), "p_name", 8, 11), "select p_partkey, p_name from part where length(p_name) < 8 or length(p_name) > 11"),
     "check_email": (lambda s, d: q.valid_email_format(table(s, d, "customer").select("c_custkey", F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, "@example.com").otherwise("")).alias("mail")), "mail"), """
         select c_custkey, mail from (select c_custkey, c_name || case when c_custkey % 3 = 0 then '@example.com' else '' end as mail from customer)
         where not regexp_full_match(mail, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')"""),
@@ -255,16 +322,19 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "check_not_null": (lambda s, d: q.not_null(sales_view(s, d).select("row_id", "state"), "state"), "select row_id, state from sales_view where state is null"),
     "check_accepted_values": (lambda s, d: q.accepted_values(table(s, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", ["F", "O"]), """
         select o_orderkey, o_orderstatus from orders where o_orderstatus not in ('F', 'O')"""),
-    "check_business_day_freshness": (lambda s, d: q.business_day_freshness(table(s, d, "orders"), "o_orderdate", DEFAULT.as_of), """
+    "check_business_day_freshness": (lambda s, d: q.business_day_freshness(table(s, d, "orders"), "o_orderdate", date(2001, 11, 5)), """
         select cast(max(o_orderdate) as date) as last_date from orders having max(o_orderdate) < date '2001-11-04'"""),
-    "check_scd2": (lambda s, d: q.scd2_integrity(part_history(s, d).withColumn("effective_date", F.when(F.col("p_partkey") % 9 == 0, F.lit(FIRST_DAY)).otherwise(F.col("effective_date"))),
-        "p_partkey", "effective_date", "expiration_date", "is_current", "p_retailprice"), """
-        select cast(p_partkey as varchar) as business_key, 'OVERLAPPING_PERIODS' as issue_type, 2::bigint as issue_count from part where p_partkey % 9 = 0 and p_partkey % 10 <> 7"""),
+    "check_scd2": (lambda s, d: q.scd2_integrity(faulty_versions(warehouse(s, d)["int_product_scd2"]), "product_id", "effective_date", "expiration_date", "is_current", "product_scd2_key"), """
+        select a.product_id as business_key, 'OVERLAPPING_PERIODS' as issue_type, count(*) as issue_count from faulty_versions a join faulty_versions b
+          on a.product_id = b.product_id and a.product_scd2_key <> b.product_scd2_key and a.effective_date <= b.expiration_date and b.effective_date <= a.expiration_date group by 1
+        union all select product_id, 'MULTIPLE_CURRENT', count(*) from faulty_versions where is_current group by 1 having count(*) > 1
+        union all select product_id, 'INVALID_DATE_RANGE', count(*) from faulty_versions where effective_date > expiration_date group by 1"""),
     "check_model_performance": (lambda s, d: q.model_performance(table(s, d, "lineitem"), 100), "select count(*) as row_count, 'TOO_MANY_ROWS' as issue from lineitem"),
     "check_join_efficiency": (lambda s, d: q.join_efficiency(table(s, d, "lineitem"), 100), "select count(*) as row_count from lineitem"),
     "check_clustering": (lambda s, d: q.clustering_effectiveness(table(s, d, "orders"), "o_orderkey", rows=1000), """
         select count(*) as total_rows, count(distinct o_orderkey) as distinct_values, count(distinct o_orderkey) / count(*) as cardinality_ratio from orders having count(*) > 1000"""),
-    "check_dependencies": (lambda s, d: q.model_dependencies(s, MODELS), "select '' as model, '' as missing where false"),
+    "check_dependencies": (lambda s, d: q.model_dependencies(s, MODELS | {"late_sales": (("stg_sales", "returns", "claims"), None)}), """
+        select 'late_sales' as model, unnest(list_filter(['stg_sales', 'returns', 'claims'], lambda x: x <> 'stg_sales')) as missing"""),
     "check_incremental": (lambda s, d: q.incremental_efficiency(_orders(s, d), "o_orderdate", date(2001, 8, 1), 30), """
         select count(*) as row_count, min(cast(o_orderdate as date)) as first_date, max(cast(o_orderdate as date)) as last_date, count(distinct cast(o_orderdate as date)) as distinct_dates
         from orders where cast(o_orderdate as date) >= date '2001-07-02'"""),
@@ -281,13 +351,16 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
         union all select 'line_key_unique', 'warn', count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
         union all select 'order_customer_exists', 'error', count(*) from orders where o_custkey not in (select c_custkey from customer))"""),
     # suites
-    "business_rules": (lambda s, d: suites.business_rules(star(s, d)), oracles.BUSINESS_RULES),
-    "broken_rules": (lambda s, d: suites.broken(suites.business_rules(star(s, d))), f"select * from ({oracles.BUSINESS_RULES}) where violation_count > 0"),
-    "dimensional_integrity": (lambda s, d: suites.dimensional_integrity(star(s, d)), oracles.DIMENSIONAL),
-    "version_integrity": (lambda s, d: suites.version_integrity(star(s, d)), oracles.VERSIONS),
-    "daily_accuracy": (lambda s, d: suites.daily_accuracy(star(s, d)), oracles.DAILY_ACCURACY),
-    "completeness": (lambda s, d: suites.completeness(star(s, d)), oracles.COMPLETENESS),
-    "incomplete_days": (lambda s, d: suites.incomplete(star(s, d)), f"select * from ({oracles.COMPLETENESS}) where record_completeness_pct < 85 or order_completeness_pct < 85"),
+    "business_rules": (lambda s, d: suites.business_rules(suite_tables(s, d)), oracles.BUSINESS_RULES),
+    "broken_rules": (lambda s, d: suites.broken(suites.business_rules(faulty_tables(s, d))), f"select * from ({oracles.faulty(oracles.BUSINESS_RULES)}) where violation_count > 0"),
+    "dimensional_integrity": (lambda s, d: suites.dimensional_integrity(suite_tables(s, d)), oracles.DIMENSIONAL),
+    "version_integrity": (lambda s, d: suites.version_integrity(faulty_tables(s, d)), oracles.faulty(oracles.VERSIONS)),
+    "daily_accuracy": (lambda s, d: suites.daily_accuracy(faulty_tables(s, d)), oracles.faulty(oracles.DAILY_ACCURACY)),
+    "completeness": (lambda s, d: suites.completeness(suite_tables(s, d)), oracles.COMPLETENESS),
+    "incomplete_days": (lambda s, d: suites.incomplete(faulty_tables(s, d)), f"select * from ({oracles.faulty(oracles.COMPLETENESS)}) where record_completeness_pct < 85 or order_completeness_pct < 85"),
+    "warehouse_export": (lambda s, d: export_columns(silver(s, d)), oracles.EXPORT),
+    "warehouse_export_short": (lambda s, d: export_columns(silver(s, d), short=True), f"select * exclude (SUB_CATEGORY, SHIPPING_COST, MARKET, ORDER_PRIORITY) from ({oracles.EXPORT})"),
+    "reader_rows": (lambda s, d: m.for_reader(silver(s, d).select("row_id", "region", "sales"), "region", ["ASIA", "EUROPE"]), "select row_id, region, sales from silver where region in ('ASIA', 'EUROPE')"),
 }
 
 QUERIES: dict[str, Query] = {name: run for name, (run, _) in REGISTERED.items()}

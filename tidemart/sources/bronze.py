@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemart.schemas import CANONICAL, raw_schema
 from tidemart.sources.files import day_path
+from tidemart.sources.scratch import stored
 
 
 def file_facts(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
@@ -18,34 +22,64 @@ def file_facts(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFr
     )
 
 
+MANIFEST = "file_name string, target string, size_bytes long, sha256 string, status string, changed boolean, error string, at timestamp"
+
+
+def _stream(uri: str):
+    """(file system, path) of a URI as Spark and Hadoop write it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:/", "file:///", 1))
+
+
+def _copied(origin: str, target: str) -> str | None:
+    """Copy a file, seen under its name only when it is whole; the error, if any."""
+    try:
+        (source, path), (where, name) = _stream(origin), _stream(target)
+        where.create_dir(name.rpartition("/")[0], recursive=True)
+        part = f"{name.rpartition('/')[0]}/_{uuid.uuid4().hex}.part"
+        with source.open_input_stream(path) as a, where.open_output_stream(part) as b:
+            while some := a.read(8 << 20):
+                b.write(some)
+        where.move(part, name)
+    except Exception as e:  # one unreadable file does not stop the others; its row says so
+        return str(e)[:200]
+    return None
+
+
 def ingest(spark: SparkSession, source: str, root: str, at: datetime, pattern: str = "*.csv") -> DataFrame:
     """Copy files that the day's folder lacks; one manifest row a file: uploaded, skipped or failed.
 
-    A file whose name is there is skipped whatever its content; ``changed`` tells whether the content differs.
+    Executors read, compare and copy; the driver sees no file name. A file whose name is there is skipped whatever its
+    content; ``changed`` tells whether the content differs. Of several files of one name below the source, the one with
+    the least path is taken and the others are skipped. The manifest is written to the shared folder when this returns,
+    and reading it copies nothing again.
     """
-    day = day_path(root, at.date())
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(day).getFileSystem(conf)
-    there = {}
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(day_path(root, at.date())).getFileSystem(conf)
+    day = path(day_path(root, at.date())).makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    new = file_facts(spark, source, pattern)
+    first = Window.partitionBy("file_name").orderBy("path")
+    new = new.withColumns({"_turn": F.row_number().over(first), "_first": F.first("sha256").over(first)})
+    none = spark.createDataFrame([], "file_name string, there string")
+    there = none
     if fs.exists(path(day)):
-        there = {r["file_name"]: r["sha256"] for r in file_facts(spark, day, pattern).collect()}  # a day's file names
-    rows = []
-    for r in file_facts(spark, source, pattern).orderBy("file_name").collect():
-        name, status, error = r["file_name"], "uploaded", None
-        if name in there:
-            status = "skipped"
-        else:
-            try:
-                origin = path(r["path"])
-                jvm.org.apache.hadoop.fs.FileUtil.copy(origin.getFileSystem(conf), origin, fs, path(f"{day}/{name}"), False, conf)
-            except Exception as e:  # one unreadable file does not stop the others; its row says so
-                status, error = "failed", str(e)[:200]
-        rows.append((name, f"{day}/{name}", r["size_bytes"], r["sha256"], status, name in there and there[name] != r["sha256"], error, at))
-    return spark.createDataFrame(
-        rows, "file_name string, target string, size_bytes long, sha256 string, status string, changed boolean, error string, at timestamp"
+        there = file_facts(spark, day, pattern).select("file_name", F.col("sha256").alias("there"))
+    known = F.when(F.col("_turn") > 1, F.coalesce("there", "_first")).otherwise(F.col("there"))
+    rows = new.join(there, "file_name", "left").select(
+        "file_name", "path", F.concat(F.lit(f"{day}/"), "file_name").alias("target"), "size_bytes", "sha256", known.alias("there")
     )
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            new = pdf["there"].isna()
+            error = [_copied(o, t) if n else None for o, t, n in zip(pdf["path"], pdf["target"], new, strict=True)]
+            status = ["skipped" if not n else "failed" if e else "uploaded" for n, e in zip(new, error, strict=True)]
+            out = pdf[["file_name", "target", "size_bytes", "sha256"]].copy()
+            yield out.assign(status=status, changed=~new & (pdf["there"] != pdf["sha256"]), error=error, at=pd.Timestamp(at))
+
+    return stored(rows.mapInPandas(run, MANIFEST), "manifest")
+
 
 def ingest_status(manifest: DataFrame) -> DataFrame:
     """(status, uploaded, skipped, failed): success, partial_success, failed or no_files."""

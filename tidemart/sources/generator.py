@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -102,6 +104,23 @@ def generate_stream(spark: SparkSession, rate: int, today: date, seed: int = 1)
     return events_from(rows, today, seed, number="value")
 
 
+def produce(
+    write: Callable[[DataFrame], None], spark: SparkSession, today: date, count: int, batch: int = 1000, rate: float | None = None,
+    seed: int = 1, clock=time.monotonic, wait=time.sleep,
+) -> int:
+    """Hand ``count`` events to ``write`` in batches; the number handed over.
+
+    Without ``rate`` it is a burst, one batch after the other; with it there are never more than ``rate`` events a second
+    on average since the start. The events are those of ``generate``, whatever the batches.
+    """
+    began = clock()
+    for low in range(0, count, batch):
+        if rate:
+            wait(max(0.0, began + low / rate - clock()))
+        write(events_from(spark.range(low, min(count, low + batch)), today, seed))
+    return max(0, count)
+
+
 def as_messages(events: DataFrame) -> DataFrame:
     """(key, value) for a message broker: the order id, and the event as JSON."""
     return events.select(F.col("order_id").alias("key"), F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}).alias("value"))

@@ -7,14 +7,51 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: dict[str, str] = {}  #: folders of local runs, by application
+_owned: dict[str, list[str]] = {}  #: folders of the owners that are open, by application, the last one counts
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a folder of our own where it is unset (local runs)."""
+    """``spark.checkpoint.dir``, or the folder of the open ``Scratch`` below it; for a local master a folder of our own
+    where the setting is unset.
+
+    On a cluster each executor would write to a folder of its own machine and rows would be missing, so it must be set.
+    """
+    context = spark.sparkContext
+    if owned := _owned.get(context.applicationId):
+        return owned[-1]
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tidemart-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _own:
+        _own[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="tidemart-")
+    return _own[context.applicationId]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, whatever its store."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Owner of what is written to the shared folder meanwhile: a folder of its own, deleted at the end.
+
+    Results are lazy and read what lies there, so they are to be written or collected before the end.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        _owned.setdefault(self.spark.sparkContext.applicationId, []).append(self.path)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _owned[self.spark.sparkContext.applicationId].remove(self.path)
+        delete(self.spark, self.path)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

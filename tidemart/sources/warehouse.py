@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.functions.columns import upper_names
 from tidemart.plans.registry import CLUSTERED, Warehouse, build_order
 
 VIEWS = ("stg_sales", "stg_customers", "stg_products", "int_sales_unified")
-ROWS_PER_FILE = 5000
+ROWS_PER_PART, CONNECTIONS = 5000, 4
 
-# The columns a warehouse append has, in order.
+# The columns a warehouse append has, in order, by the cleaned column that each is made from.
 EXPORTED = (
-    "row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id", "customer_name", "segment", "city", "state",
-    "country", "postal_code", "market", "region", "product_id", "category", "sub_category", "product_name", "sales",
-    "quantity", "discount", "profit", "shipping_cost", "order_priority", "unit_price", "profit_margin",
+    ("ORDER_ID", "order_id"), ("STORE_ID", "customer_id"), ("PRODUCT_ID", "product_id"), ("PRODUCT_NAME", "product_name"),
+    ("CATEGORY", "category"), ("SUB_CATEGORY", "sub_category"), ("QUANTITY", "quantity"), ("UNIT_PRICE", "unit_price"),
+    ("TOTAL_PRICE", "sales"), ("ORDER_DATE", "order_date"), ("SHIP_DATE", "ship_date"), ("SALES", "sales"), ("PROFIT", "profit"),
+    ("SHIPPING_COST", "shipping_cost"), ("CUSTOMER_SEGMENT", "segment"), ("MARKET", "market"), ("REGION", "region"),
+    ("COUNTRY", "country"), ("STATE", "state"), ("CITY", "city"), ("ORDER_PRIORITY", "order_priority"),
+    ("SOURCE_FILE", "source_file"), ("BATCH_ID", "batch_id"), ("INGESTION_TIMESTAMP", "ingestion_timestamp"),
+    ("SOURCE_SYSTEM", "source_system"), ("PARTITION_DATE", "partition_date"),
 )
+#: Of these, what files without market, shipping and priority do not have.
+ABSENT = ("SUB_CATEGORY", "SHIPPING_COST", "MARKET", "ORDER_PRIORITY")
 
 
 def schema_name(target: str, custom: str | None, default: str = "analytics") -> str:
@@ -25,21 +30,42 @@ def schema_name(target: str, custom: str | None, default: str = "analytics") ->
     return custom if target == "prod" else f"{default}_{custom}"
 
 
-def export_columns(df: DataFrame) -> DataFrame:
-    return upper_names(df.select(*EXPORTED))
+def export_columns(df: DataFrame, short: bool = False) -> DataFrame:
+    """Cleaned rows in the warehouse's columns: 26, or (``short``) the 22 of the 21-field files.
 
+    The customer stands for the store and the capped sales are the total price too; the partition date is a date. A
+    column that the rows do not have (rows that came from no file have no ``source_file``) is null text.
+    """
+    of = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    kind = lambda name, c: c.cast("date") if name == "PARTITION_DATE" else c
+    return df.select(*[kind(name, of(c)).alias(name) for name, c in EXPORTED if not (short and name in ABSENT)])
 
-def append(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> bool:
-    """Append to a stored table in files of bounded size; False if there is nothing."""
-    if df.isEmpty():
+
+def parts_for(rows: int, rows_per_part: int = ROWS_PER_PART) -> int:
+    return max(1, rows // rows_per_part)
+
+
+def append(df: DataFrame, path: str, rows_per_part: int = ROWS_PER_PART, most_parts: int | None = None) -> bool:
+    """Append to a stored table; False if there is nothing.
+
+    A part for each ``rows_per_part`` rows; ``most_parts`` bounds the files of a large append, which then are larger.
+    """
+    rows = df.count()
+    if not rows:
         return False
-    export_columns(df).write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
+    parts = parts_for(rows, rows_per_part)
+    export_columns(df).repartition(min(parts, most_parts or parts)).write.mode("append").parquet(path)
     return True
 
 
-def append_jdbc(df: DataFrame, url: str, name: str, connections: int = 4, **options: str) -> None:
-    """Append over at most ``connections`` connections."""
-    export_columns(df).coalesce(connections).write.mode("append").options(**options).jdbc(url, name)
+def append_jdbc(df: DataFrame, url: str, name: str, connections: int = CONNECTIONS, rows_per_part: int = ROWS_PER_PART, **options: str) -> bool:
+    """Append over at most ``connections`` connections; False if there is nothing."""
+    rows = df.count()
+    if not rows:
+        return False
+    parts = min(connections, parts_for(rows, rows_per_part))
+    export_columns(df).repartition(parts).write.mode("append").options(batchsize=str(rows_per_part), **options).jdbc(url, name)
+    return True
 
 
 def store(w: Warehouse, root: str, names: list[str] | None = None) -> dict[str, str]:
@@ -61,11 +87,11 @@ def store(w: Warehouse, root: str, names: list[str] | None = None) -> dict[str,
 
 
 def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A view on files where they lie, and a fresh listing of them."""
-    df = spark.read.parquet(path)
-    df.createOrReplaceTempView(name)
+    """A table in the catalogue on files where they lie, and a fresh listing of them; dropping it leaves the files."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
     spark.catalog.refreshTable(name)
-    return df
+    return spark.table(name)
 
 
 def incremental(df: DataFrame, stored: DataFrame, by: str) -> DataFrame:
