@@ -97,17 +97,18 @@ def _above(cuts: list[tuple], kinds: list[str], key: Column) -> Column:
     return (full * step + smaller(inner)).cast("int")
 
 
-def with_next(df: DataFrame, id_col: str, carried: list[str], buckets: int) -> DataFrame:
+def with_next(df: DataFrame, id_col: str, carried: list[str], buckets: int, tie: list[str] | None = None) -> DataFrame:
     """Each row with the ``carried`` columns of the next row, in order of descending id (``next`` struct).
 
-    After the last row comes the first. Null ids come last; equal ids are ordered by a hash of the carried columns, so
-    that rows which share an id, or have none, spread over buckets too; only rows equal in all of these stay together.
+    After the last row comes the first. Null ids come last; equal ids are ordered by a hash of the ``tie`` columns (all
+    carried ones), so that rows which share an id, or have none, spread over buckets too; only rows equal in all of
+    these stay together.
     Rows are cut into buckets by quantiles of the id, and of the hash where an id spans several; each bucket also gets
     the first row of the bucket below, and no task holds more than a bucket. What the driver sees is bounded by the
     number of buckets, which is a parameter.
     """
     kinds = [df.schema[id_col].dataType.simpleString(), "bigint"]
-    rows = df.withColumn("_h", F.xxhash64(*carried))
+    rows = df.withColumn("_h", F.xxhash64(*(tie or carried)))
     at = [i / buckets for i in range(1, buckets)]
     seen = df.agg(
         F.count("*").alias("n"),
@@ -157,7 +158,7 @@ def fingerprints(
     base = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     buckets = buckets or buckets_for(base)
     base = base.withColumn("_sketch", as_text(sketch(F.col("_text"), fraction)))  # as text: less to shuffle
-    met = with_next(base, id_col, ["_text", "_sketch"], buckets)
+    met = with_next(base, id_col, ["_text", "_sketch"], buckets, tie=["_text"])
     n = F.length("_text")
     tail = F.floor(n / 3).cast("int")
     edited = F.concat(F.col("_text").substr(F.lit(1), n - tail), F.col("next._text").substr(F.lit(1), tail))
