@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemart.config import DEFAULT, Settings
 from tidemart.functions import columns as c
 from tidemart.operators.keys import dense_keys, ranged_keys
+from tidemart.sources.scratch import stored
 
 # Holidays by month and day.
 HOLIDAYS = ((1, 1, "New Year's Day"), (7, 4, "Independence Day"), (12, 25, "Christmas Day"))
@@ -71,7 +72,17 @@ def blank(kind: str, *names: str) -> list[Column]:
     return [F.lit(None).cast(kind).alias(n) for n in names]
 
 
-def dim_product(versions: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+def keyed(df: DataFrame, name: str, order: list[str], dense: bool) -> DataFrame:
+    """A dimension with keys 1..N in the order given, or (not ``dense``) with the ordering columns themselves as key.
+
+    The rows are written before they are numbered, as finding the ranges reads them once more.
+    """
+    if dense:
+        return ranged_keys(stored(df, name), name, order)
+    return df.select(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).alias(name), "*")
+
+
+def dim_product(versions: DataFrame, settings: Settings = DEFAULT, dense: bool = True) -> DataFrame:
     office = ["OFFICE_SUPPLIES"] + (["OFFICE SUPPLIES"] if settings.office_with_space else [])
     family = F.when(F.col("category").isin("TECHNOLOGY", "ELECTRONICS"), "HIGH_TECH").when(F.col("category").isin("FURNITURE", *office), "TRADITIONAL").otherwise("OTHER")
     markup = c.ratio(F.col("unit_price"), F.col("unit_cost"))
@@ -83,10 +94,10 @@ def dim_product(versions: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         c.bucket(markup, [(3, "HIGH_MARKUP"), (2, "MEDIUM_MARKUP"), (1.5, "LOW_MARKUP")], "MINIMAL_MARKUP", below=False).alias("markup_category"),
         "data_quality_score", "ingestion_timestamp", "created_at", "updated_at",
     )
-    return dense_keys(out, "product_key", ["product_id", "effective_date"])
+    return keyed(out, "product_key", ["product_id", "effective_date"], dense)
 
 
-def dim_store(versions: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+def dim_store(versions: DataFrame, settings: Settings = DEFAULT, dense: bool = True) -> DataFrame:
     age = c.years_between("opening_date", F.lit(settings.as_of))
     kind, region = F.col("store_type"), F.col("region")
     out = versions.where(F.col("is_valid_record") & (F.col("data_quality_score") >= 80)).select(
@@ -99,10 +110,10 @@ def dim_store(versions: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         c.bucket(age, [(1, "RAMP_UP"), (3, "GROWTH"), (10, "MATURE")], "LEGACY").alias("lifecycle_stage"),
         "data_quality_score", "ingestion_timestamp", "created_at", "updated_at",
     )
-    return ranged_keys(out, "store_key", ["store_id", "effective_date"])
+    return keyed(out, "store_key", ["store_id", "effective_date"], dense)
 
 
-def dim_customer(unified: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+def dim_customer(unified: DataFrame, settings: Settings = DEFAULT, dense: bool = True) -> DataFrame:
     """Customers with their newest place and recency, frequency and value segments; one aggregation of the sales."""
     kept = ("customer_segment", "region", "country", "state", "city")
     newest = F.struct("sale_date", "ingestion_timestamp", "unified_sales_key", *kept)
@@ -150,7 +161,7 @@ def dim_customer(unified: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         _now(settings).alias("created_at"),
         _now(settings).alias("updated_at"),
     )
-    return ranged_keys(out, "customer_key", ["customer_id"])
+    return keyed(out, "customer_key", ["customer_id"], dense)
 
 
 FACT = (

@@ -35,25 +35,26 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def star(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """For the fact itself: staged sales and dimensions are written once, as a nightly build would."""
-    shared = ("stg_sales", "dim_product", "dim_store", "dim_customer", "fact_sales_daily")
-    return Warehouse(spark, silver(spark, sf_dir), DEFAULT, store=shared)
+    """For the fact itself: staged sales are written once; numbering writes the dimensions and the daily table."""
+    return Warehouse(spark, silver(spark, sf_dir), DEFAULT, store=("stg_sales",))
 
 
 DIMENSIONS = ("int_sales_unified", "dim_date", "dim_product", "dim_store", "dim_customer")
 
 
 def reports(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """For what reads the fact once and no key of it: it is neither numbered nor written."""
+    """For what reads the fact once and counts keys at most: neither it nor its dimensions are numbered."""
     w = star(spark, sf_dir)
+    for name, make in (("dim_product", marts.dim_product), ("dim_store", marts.dim_store), ("dim_customer", marts.dim_customer)):
+        w.made[name] = stored(make(*[w[t] for t in MODELS[name][0]], DEFAULT, dense=False), name)
     w.made["fact_sales"] = marts.fact_for_reports(*[w[t] for t in DIMENSIONS])
     return w
 
 
 def suite_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
     """For suites, which read the fact several times: it is written once, but not numbered."""
-    w = reports(spark, sf_dir)
-    w.made["fact_sales"] = stored(w["fact_sales"], "fact")
+    w = star(spark, sf_dir)
+    w.made["fact_sales"] = stored(marts.fact_for_reports(*[w[t] for t in DIMENSIONS]), "fact")
     w.made["fact_sales_daily"] = marts.daily_unkeyed(w["fact_sales"])
     return w
 
