@@ -81,6 +81,29 @@ def test_hot_groups_with_empty_cells(spark, monkeypatch):
     assert join(spark, rows) == brute(rows)
 
 
+def test_chained_texts(spark, monkeypatch):
+    """Half of each text is that of the text before: buckets are large and chain all, few texts are linked."""
+    monkeypatch.setattr(sj, "SMALL", 2)
+    monkeypatch.setattr(sj, "CELL_NODES", 4)
+    stretches = [words(300 + k, 60) for k in range(12)]
+    rows = []
+    for k in range(11):
+        base = stretches[k] + stretches[k + 1]
+        rows += [(10 * k + e, " ".join(edited(base, {(17 * e) % 120, (31 * e) % 120}))) for e in range(6)]
+    assert join(spark, rows) == brute(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    more = sj.similar_rows(df, rows=2).select("doc_id", "class_id", "links").collect()  # more pairs meet, in more groups
+    assert sorted((tuple(r) for r in more), key=str) == brute(rows)
+
+
+def test_pairs_are_left_to_the_first_group_of_both():
+    a, b, c = (x * 16 for x in (b"\x00", b"\x01", b"\xff"))
+    groups = [[a, b, c], [b, c], [a, c], [c]]
+    met = sj.met_before(groups, c)
+    assert {(i, j) for i, j in combinations(range(4), 2) if met[i, j]} == {(0, 1), (0, 2)}
+    assert not sj.met_before(groups, a).any()
+
+
 def test_empty_table(spark):
     assert join(spark, []) == []
 

@@ -1,9 +1,10 @@
 """N-gram Jaccard join: MinHash bands propose, full shingle sets decide, connected links make classes.
 
 Texts with equal shingle sets are one node from the start. Nodes that share a band meet in its bucket. Buckets of up to
-``SMALL`` nodes give pairs, each verified once. Larger buckets are united into hot groups, and all pairs of a group are
-verified in blocks: its nodes are dealt into cells, a task compares two cells by a matrix product and returns one row
-per node (its links and its root), so nothing grows with the square of a group but the arithmetic itself.
+``SMALL`` nodes give pairs, each verified once. Larger buckets with the same least node make a hot group, so a group
+spans what meets that one node and is never a chain of texts that only neighbours join. A pair is verified in the first
+group that both are in, in blocks: nodes are dealt into cells, a task compares two cells by a matrix product and returns
+one row per node (its links and its root), so nothing grows with the square of a group but the arithmetic itself.
 """
 
 from __future__ import annotations
@@ -179,16 +180,34 @@ def _verify_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
     return arrow_input(pairs, "a", "b", "copies_a", "copies_b", "text_a", "text_b").mapInArrow(run, schema)
 
 
+def met_before(groups: list[list[bytes]], here: bytes) -> np.ndarray:
+    """Which two nodes share a group that comes before this one: a symmetric matrix of booleans."""
+    owner = [k for k, own in enumerate(groups) for g in own if g < here]
+    _, column = np.unique(np.array([g for own in groups for g in own if g < here], "S16"), return_inverse=True)
+    member = np.zeros((len(groups), int(column.max()) + 1 if len(column) else 0), np.float32)
+    member[owner, column] = 1
+    return member @ member.T > 0
+
+
 def _verify_blocks(members: DataFrame, threshold: float) -> DataFrame:
-    """Per node of a pair of cells: its links there (copies counted) and the root of its linked nodes."""
+    """Per node of a pair of cells: its links there (copies counted) and the root of its linked nodes.
+
+    Pairs that share an earlier group are left to that one, so that each is counted once.
+    """
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         low, high = map(int, key[1:])
+        none = pd.DataFrame({"node": [], "root": [], "links": []})
         if low < high and pdf["cell"].nunique() < 2:  # no node is in the other cell
-            return pd.DataFrame({"node": [], "root": [], "links": []})
+            return none
         pdf = pdf.drop_duplicates("node").sort_values("node", ignore_index=True)
+        cell = pdf["cell"].to_numpy()
+        before = met_before([list(g) for g in pdf["groups"]], bytes(key[0]))
+        if before[np.ix_(cell == low, cell == high)].all():
+            return none
         shingles = Shingles()
-        i, j = block_links([shingles(t) for t in pdf["text"]], pdf["cell"].to_numpy(), low, high, threshold)
+        i, j = block_links([shingles(t) for t in pdf["text"]], cell, low, high, threshold)
+        i, j = i[~before[i, j]], j[~before[i, j]]
         copies, root = pdf["copies"].to_numpy(), np.arange(len(pdf))
         links = np.bincount(i, copies[j], len(pdf)) + np.bincount(j, copies[i], len(pdf))
         while len(i):
@@ -208,14 +227,13 @@ def _verify_blocks(members: DataFrame, threshold: float) -> DataFrame:
 
 def _hot_cells(hot: DataFrame, nodes: DataFrame) -> DataFrame:
     """Each node of a hot group, once for each pair of cells that its own cell is part of."""
-    sized = hot.join(nodes.select("node", "n", "copies"), "node")
-    cells = sized.groupBy("hot").agg(
-        F.greatest(F.ceil(F.count("*") / CELL_NODES), F.ceil(F.sum("n") / CELL_SHINGLES), F.lit(1)).cast("int").alias("cells")
-    )
+    sized = hot.join(nodes.select("node", "n", "copies"), "node").withColumn("hot", F.explode("groups"))
+    number = F.greatest(F.ceil(F.count("*") / CELL_NODES), F.ceil(F.sum("n") / CELL_SHINGLES), F.lit(1)).cast("int")
+    cells = written(sized.groupBy("hot").agg(number.alias("cells")), "cells")  # so that Spark may split a group in the join
     dealt = sized.join(cells, "hot").withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     return dealt.select(
-        "hot", F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high"), "cell", "node", "copies"
+        "hot", F.least("cell", "other").alias("low"), F.greatest("cell", "other").alias("high"), "cell", "node", "copies", "groups"
     )
 
 
@@ -241,10 +259,11 @@ def similar_rows(
     buckets = spread.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1")
     members = written(spread.join(buckets, "band"), "members")
 
-    hot = written(connected_components(members.where(F.col("size") > SMALL), "node", "least").withColumnRenamed("component", "hot"), "hot")
-    listed = members.where(F.col("size") <= SMALL).join(hot, "node", "left").select("band", "node", "hot")
+    large = members.where(F.col("size") > SMALL)
+    hot = written(large.groupBy("node").agg(F.collect_set("least").alias("groups")), "hot")  # one a band at most
+    listed = members.where(F.col("size") <= SMALL).join(hot, "node", "left").select("band", "node", "groups")
     x, y = listed.alias("x"), listed.alias("y")
-    apart = F.col("x.hot").isNull() | F.col("y.hot").isNull() | (F.col("x.hot") != F.col("y.hot"))
+    apart = ~F.coalesce(F.arrays_overlap("x.groups", "y.groups"), F.lit(False))
     pairs = written(
         x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & apart)
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
