@@ -166,3 +166,46 @@ def test_calendar_flags(spark):
     assert (days[20240131].fiscal_year, days[20240131].fiscal_month, days[20240131].fiscal_quarter) == (2023, 12, 4)
     odd = marts.dim_date(spark, w["int_date_spine"], Settings(spine_start=date(2024, 1, 1), spine_end=date(2025, 1, 1), shifted_day_names=True))
     assert odd.where("date_key = 20240107").first().day_name == "Saturday"
+
+
+def test_report_is_written(spark, tmp_path):
+    results = spark.createDataFrame([("raw", "a", True, 1.0, "{}"), ("raw", "b", False, 0.5, "{}")], scores.RESULT)
+    scores.write_report(results, f"{tmp_path}/report")
+    rows = spark.read.json(f"{tmp_path}/report")
+    whole = rows.where("kind = 'summary'").first()
+    assert (whole.checks, whole.passed, whole.all_passed, whole.mean_score) == (2, 1, False, 0.75)
+    assert {(r.check_name, r.check_passed) for r in rows.where("kind = 'result'").collect()} == {("a", True), ("b", False)}
+
+
+def test_note_of_a_file_set_aside(spark):
+    note = scores.quarantine_record(spark, "a/b.csv", "score too low", 40, AT).first()
+    assert tuple(note) == ("a/b.csv", "score too low", 40.0, AT)
+
+
+def test_keys_and_audit_columns(spark):
+    from hashlib import md5
+
+    from tidemart.functions import columns as c
+
+    end = date(2099, 12, 31)
+    df = spark.createDataFrame([("a", None, date(2024, 1, 1), end), ("b", 2, date(2024, 1, 1), None)], "x string, y int, since date, till date")
+    a, b = df.select(c.plain_key("x", "y").alias("k"), "*").withColumns(c.scd2_audit_columns("since", "till", end, F.lit(AT), run="r")).collect()
+    assert [a.k, b.k] == [md5(s).hexdigest().upper() for s in (b"a", b"b2")]
+    assert (a.is_current, b.is_current, a.effective_from, a.effective_to) == (True, False, date(2024, 1, 1), end)
+    assert (a.created_at, a.updated_at, a.invocation_id, a.target_name) == (AT, AT, "r", "dev")
+
+
+def test_append_over_jdbc(spark, sf_dir, tmp_path):
+    from tidemart.queries import silver
+
+    rows = silver(spark, sf_dir).limit(50).persist()
+    url = f"jdbc:derby:{tmp_path}/warehouse;create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    for _ in range(2):
+        assert warehouse.append_jdbc(rows, url, "sales", connections=2, rows_per_part=20, **driver)
+    assert not warehouse.append_jdbc(rows.limit(0), url, "sales", **driver)
+    back = spark.read.options(**driver).jdbc(url, "sales")
+    assert back.columns == [x for x, _ in warehouse.EXPORTED]
+    want = warehouse.export_columns(rows)
+    assert back.count() == 100 and back.select(want.columns).distinct().exceptAll(want.distinct()).count() == 0
+    rows.unpersist()

@@ -154,3 +154,38 @@ def test_stream_files_by_hour(spark, tmp_path):
     ingest.start_files(ingest.event_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination()
     out = spark.read.json(f"{tmp_path}/out")
     assert out.count() == 50 and {"year", "month", "day", "hour"} <= set(out.columns)
+
+
+def test_first_seen(spark, tmp_path):
+    events = generator.generate(spark, 40, date(2024, 1, 1))
+    for part in ("a", "b"):
+        events.write.mode("append").json(f"{tmp_path}/in")
+    stream = ingest.event_stream(spark, f"{tmp_path}/in").withColumn("at", F.to_timestamp("event_timestamp"))
+    out = ingest.first_seen(stream, "at", "order_id", "2 days")
+    query = out.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start(f"{tmp_path}/out")
+    query.awaitTermination()
+    kept = spark.read.parquet(f"{tmp_path}/out")
+    assert kept.count() == events.select("order_id").distinct().count() == kept.select("order_id").distinct().count()
+
+
+def test_failed_stream_goes_on(spark, tmp_path):
+    generator.generate(spark, 30, date(2024, 1, 1)).write.json(f"{tmp_path}/in")
+    tries, seen = [], []
+
+    def start(failures):
+        def batch(df, number):
+            if len(tries) <= failures:
+                raise RuntimeError("no")
+            seen.append(df.count())
+
+        tries.append(1)
+        return ingest.event_stream(spark, f"{tmp_path}/in").writeStream.foreachBatch(batch).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+
+    with pytest.raises(Exception, match="no"):
+        ingest.keep_running(lambda: start(9), tries=2)
+    assert len(tries) == 2 and not seen
+    tries.clear()
+    query = ingest.keep_running(lambda: start(1))
+    assert len(tries) == 2 and sum(seen) == 30
+    told = ingest.health(query)
+    assert (told["active"], told["error"], told["batch"], told["rows"]) == (False, None, 0, 30)
