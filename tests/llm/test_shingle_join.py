@@ -116,6 +116,13 @@ def test_one_of_each_keeps_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c, _ in brute(rows)})
 
 
+def test_rows_with_equal_ids_and_texts(spark):
+    rows = [(1, "a b c d e f", f"u{k}", {"k": "same"}) for k in range(30)] + [(2, "x y z", "v", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, pick string, more map<string,string>")
+    kept = [sorted((r.doc_id, r.pick) for r in sj.one_of_each(df.repartition(n, "pick")).collect()) for n in (1, 3)]
+    assert kept[0] == kept[1] and [d for d, _ in kept[0]] == [1, 2]
+
+
 def test_null_ids(spark):
     got = join(spark, [(None, "a b c d e f"), (None, "a b c d e f"), (3, "x y z u v w")])
     assert sorted(got, key=str) == sorted([(None, None, 1), (None, None, 1), (3, 3, 0)], key=str)

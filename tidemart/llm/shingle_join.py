@@ -313,13 +313,19 @@ def similar_rows(
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df``, one of each class of similar texts: that with the least id. All columns are kept."""
+    """The rows of ``df``, one of each class of similar texts: that with the least id. All columns are kept.
+
+    A null id is the least. Of a class's rows that share the least id, that with the least MD5 of its text stays; of rows
+    that share the text too, that with the least hash of all columns (but maps, which cannot be hashed), so that no
+    partitioning changes the choice. Null texts and texts without words are one class; an empty table stays empty.
+    """
     keepers = similar_rows(df, id_col=id_col, text_col=text_col, **options).select("keeper.*").distinct()
     keepers = written(keepers.toDF("_id", "_md5"), "keepers")
     md5 = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    own = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), md5.alias("md5"))
+    plain = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    own = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), md5.alias("md5"), F.xxhash64(*plain).alias("pick"))
     kept = own.join(keepers, own["id"].eqNullSafe(keepers["_id"]) & (own["md5"] == keepers["_md5"]), "left_semi")
-    return kept.dropDuplicates(["id", "md5"]).select("row.*")
+    return kept.groupBy("id", "md5").agg(F.min_by("row", "pick").alias("row")).select("row.*")
 
 
 #: Exact, over all pairs that share a shingle.
