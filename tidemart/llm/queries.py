@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import mixing, shingle_join, sketch, url_filter, warc
+from tidemart.llm import mixing, sharding, shingle_join, sketch, url_filter, warc
 from tidemart.llm.common import table
 
 
@@ -90,6 +90,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
+#: Beside the equal shards: the shard if they weighed 1 to 8.
+STEPPED = {"weighted_shard": [float(s + 1) for s in range(sharding.SHARDS)]}
+
+
+def op11_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), others=STEPPED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shingle_join": op1_shingle_join,
     "op2_token_counts": op2_token_counts,
@@ -101,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_media_columns": op8_media_columns,
     "op9_mixture": op9_mixture,
     "op10_quality": op10_quality,
+    "op11_rendezvous_shards": op11_rendezvous_shards,
 }
 
 ORACLES: dict[str, str] = {
@@ -109,4 +118,5 @@ ORACLES: dict[str, str] = {
     "op4_url_filter": url_filter.sql(),
     "op7_scaled_sketch": sketch.SQL,
     "op9_mixture": mixing.sql(WEIGHTS),
+    "op11_rendezvous_shards": sharding.sql(STEPPED),
 }
