@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.llm import mixing, sharding, shingle_join, sketch, url_filter, warc
 from tidemart.llm.common import table
@@ -98,6 +98,13 @@ def op11_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), others=STEPPED)
 
 
+def op12_svd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.whitening import whitened
+
+    rows = whitened(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shingle_join": op1_shingle_join,
     "op2_token_counts": op2_token_counts,
@@ -110,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixture": op9_mixture,
     "op10_quality": op10_quality,
     "op11_rendezvous_shards": op11_rendezvous_shards,
+    "op12_svd_whitening": op12_svd_whitening,
 }
 
 ORACLES: dict[str, str] = {
