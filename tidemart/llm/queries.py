@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import mixing, sharding, shingle_join, sketch, url_filter, warc
+from tidemart.llm import mixing, negatives, sharding, shingle_join, sketch, url_filter, warc
 from tidemart.llm.common import table
 
 
@@ -105,6 +105,12 @@ def op12_svd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.expr("try_cast(deviation as long)"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", shifted), vec_id % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shingle_join": op1_shingle_join,
     "op2_token_counts": op2_token_counts,
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_rendezvous_shards": op11_rendezvous_shards,
     "op12_svd_whitening": op12_svd_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -127,4 +134,5 @@ ORACLES: dict[str, str] = {
     "op7_scaled_sketch": sketch.SQL,
     "op9_mixture": mixing.sql(WEIGHTS),
     "op11_rendezvous_shards": sharding.sql(STEPPED),
+    "op13_hard_negatives": negatives.SQL,
 }
