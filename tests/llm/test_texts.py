@@ -271,6 +271,17 @@ def test_neighbours_of_hot_ids(spark):
         assert seen == sorted((i for i in seen if i is not None), reverse=True) + [None] * 60
 
 
+def test_neighbours_through_levels_of_cuts(spark, monkeypatch):
+    df = spark.range(500).select((F.col("id") * 7 % 500).alias("doc_id"), F.col("id").alias("n"))
+    plans = []
+    for fan, buckets in ((2, 40), (3, 81), (128, 2), (128, 100)):
+        monkeypatch.setattr(sketch, "FAN", fan)
+        out = sketch.with_next(df, "doc_id", ["doc_id"], buckets)
+        assert {(r.doc_id, r["next"]["doc_id"]) for r in out.select("doc_id", "next").collect()} == {(i, (i - 1) % 500) for i in range(500)}
+        plans.append(len(out._jdf.queryExecution().optimizedPlan().toString()))
+    assert abs(plans[3] - plans[2]) < 100  # no literal for a bucket
+
+
 def test_containment_and_union_of_unequal_texts(spark):
     long = [f"w{i}" for i in range(3000)]
     texts = {"long": long, "part": long[:1000], "short": long[10:16], "other": [f"x{i}" for i in range(900)], "none": []}

@@ -12,11 +12,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemart.llm.common import once
+from tidemart.llm.common import once, written
 
 WORDS = 5
 FRACTION = 1 / 8  #: of all hashes that are kept
 DIGITS = 12  #: hex digits kept of a hash
+FAN = 128  #: cuts that a row is compared with at a time
 BUCKET_BYTES = 64 << 20  #: of input files, about, whose rows meet in a task
 
 
@@ -80,21 +81,36 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(a["least"].isNull(), F.lit(1.0)).when(n > 0, F.size(F.array_intersect(a["kept"], b["kept"])) / n).cast("double")
 
 
-def _struct(values: list[tuple], kinds: list[str]) -> Column:
-    """An array literal of structs (id, h)."""
-    return F.array(*[F.struct(*[F.lit(v).cast(k).alias(n) for v, k, n in zip(row, kinds, ("id", "h"), strict=True)]) for row in values])
+def key_of(id_col: str) -> Column:
+    return F.struct(F.col(id_col).alias("id"), F.col("_h").alias("h"))
 
 
-def _above(cuts: list[tuple], kinds: list[str], key: Column) -> Column:
-    """How many of the sorted ``cuts`` are smaller than ``key``, looked for in two steps of about the root of their number."""
-    if not cuts:
-        return F.lit(0)
-    step = math.isqrt(len(cuts)) + 1
-    groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    smaller = lambda array: F.size(F.filter(array, lambda c: c < key))
-    full = F.greatest(smaller(_struct([g[0] for g in groups], kinds)) - 1, F.lit(0))
-    inner = F.element_at(F.array(*[_struct(g, kinds) for g in groups]), full + 1)
-    return (full * step + smaller(inner)).cast("int")
+def cuts_of(keys: DataFrame, id_col: str, buckets: int) -> DataFrame:
+    """(bucket, cut): the largest key of each of about ``buckets`` ranges of the rows (id, _h), numbered from 0 in order."""
+    dealt = keys.repartitionByRange(buckets, id_col, "_h").groupBy(F.spark_partition_id().alias("_range")).agg(F.max(key_of(id_col)).alias("cut"))
+    order = Window.orderBy("cut")  # a row for each range
+    return written(dealt.select((F.row_number().over(order) - 1).alias("bucket"), "cut"), "cuts")
+
+
+def in_buckets(rows: DataFrame, id_col: str, cuts: DataFrame, buckets: int) -> DataFrame:
+    """The rows with their ``_bucket`` and its ``_cut``: the first whose cut is no smaller than the row's key.
+
+    Cuts are looked up by joins with small tables, from coarse to fine: each row gets the ``FAN`` cuts of its group and
+    picks the next group among them. So the plan has the same size for any number of buckets, and a table of cuts has a
+    row for each bucket at most, which bounds what is broadcast.
+    """
+    levels = max(1, math.ceil(math.log(max(2, buckets), FAN) - 1e-9))
+    rows = rows.withColumn("_bucket", F.lit(0).cast("long"))
+    for level in reversed(range(levels)):
+        stride = FAN**level  # buckets below one of the cuts
+        ends = cuts.groupBy(F.floor(F.col("bucket") / stride).alias("_child")).agg(F.max("cut").alias("cut"))
+        groups = ends.groupBy(F.floor(F.col("_child") / FAN).alias("_group"))
+        groups = groups.agg(F.sort_array(F.collect_list("cut")).alias("_cuts"))  # FAN cuts at most
+        met = rows.join(F.broadcast(groups), F.col("_bucket") == F.col("_group"))
+        below = once(key_of(id_col), lambda key: F.size(F.filter("_cuts", lambda c: c < key)))
+        met = met.withColumn("_at", F.least(below, F.size("_cuts") - 1))
+        rows = met.select(*[c for c in rows.columns if c not in ("_bucket", "_cut")], (F.col("_bucket") * FAN + F.col("_at")).alias("_bucket"), F.col("_cuts")[F.col("_at")].alias("_cut"))
+    return rows
 
 
 def with_next(df: DataFrame, id_col: str, carried: list[str], buckets: int, tie: list[str] | None = None) -> DataFrame:
@@ -102,36 +118,18 @@ def with_next(df: DataFrame, id_col: str, carried: list[str], buckets: int, tie:
 
     After the last row comes the first. Null ids come last; equal ids are ordered by a hash of the ``tie`` columns (all
     carried ones), so that rows which share an id, or have none, spread over buckets too; only rows equal in all of
-    these stay together.
-    Rows are cut into buckets by quantiles of the id, and of the hash where an id spans several; each bucket also gets
-    the first row of the bucket below, and no task holds more than a bucket. What the driver sees is bounded by the
-    number of buckets, which is a parameter.
+    these stay together. Ids and hashes are written and dealt to ranges, whose ends cut the rows into buckets; each
+    bucket also gets the first row of the bucket below, and no task holds more than a bucket. The rows themselves are
+    shuffled once, and neither the plan nor the driver has anything that grows with the buckets.
     """
-    kinds = [df.schema[id_col].dataType.simpleString(), "bigint"]
-    rows = df.withColumn("_h", F.xxhash64(*(tie or carried)))
-    at = [i / buckets for i in range(1, buckets)]
-    seen = df.agg(
-        F.count("*").alias("n"),
-        F.count(id_col).alias("ids"),
-        (F.percentile_approx(id_col, at, 20 * buckets) if at else F.lit(None)).alias("cuts"),
-    ).first()
-    spread = lambda k: [-(1 << 63) + (i + 1) * ((1 << 64) // (k + 1)) for i in range(k)]
-    found = seen["cuts"] or []
-    cuts = [(None, h) for h in spread((seen["n"] - seen["ids"]) * buckets // max(1, seen["n"]))]
-    if seen["ids"] < seen["n"] and seen["ids"]:
-        cuts.append((None, (1 << 63) - 1))
-    for value in sorted(set(found)):
-        cuts += [(value, h) for h in spread(found.count(value) - 1)] + [(value, (1 << 63) - 1)]
-    rows = rows.withColumn("_bucket", _above(cuts, kinds, F.struct(F.col(id_col).alias("id"), F.col("_h").alias("h"))))
-    top = F.max(F.struct(F.col(id_col).alias("id"), F.col("_h").alias("h"))).alias("top")
-    tops = sorted((r["_bucket"], r["top"]) for r in rows.groupBy("_bucket").agg(top).collect())
-    above = {b: (tuple(row), tops[(k + 1) % len(tops)][0]) for k, (b, row) in enumerate(tops)}
-    places = [above.get(b, ((None, None), None)) for b in range(len(cuts) + 1)]
-    first_of = F.element_at(_struct([p[0] for p in places], kinds), F.col("_bucket") + 1)
-    upper = F.element_at(F.array(*[F.lit(p[1]).cast("int") for p in places]), F.col("_bucket") + 1)
+    hashed = F.xxhash64(*(tie or carried))
+    cuts = cuts_of(written(df.select(id_col, hashed.alias("_h")), "keys"), id_col, buckets)
+    rows = in_buckets(df.withColumn("_h", hashed), id_col, cuts, buckets)
+    last = cuts.agg(F.max("bucket")).first()[0]  # a number
+    upper = F.when(F.col("_bucket") < F.lit(last), F.col("_bucket") + 1).otherwise(0)
     own = F.struct(F.col("_bucket").alias("bucket"), F.lit(False).alias("guest"))
-    guest = F.struct(upper.alias("bucket"), F.lit(True).alias("guest"))
-    is_first = F.col(id_col).eqNullSafe(first_of["id"]) & (F.col("_h") == first_of["h"])
+    guest = F.struct(upper.cast("long").alias("bucket"), F.lit(True).alias("guest"))
+    is_first = key_of(id_col).eqNullSafe(F.col("_cut"))
     dealt = rows.select(id_col, "_h", *carried, F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own))).alias("_at"))
     dealt = dealt.select(id_col, "_h", *carried, "_at.bucket", "_at.guest")
     order = Window.partitionBy("bucket").orderBy("guest", F.col(id_col).desc_nulls_last(), F.desc("_h"))
