@@ -361,12 +361,18 @@ def test_mixed_rows_keep_all(spark):
 def test_numbers_are_dense_in_each_group(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 800, "hot").otherwise(F.col("id").cast("string")).alias("g"), "id")
     seen = defaultdict(list)
-    for r in mixing.numbered(df, "g", ["id"]).collect():
+    for r in mixing.numbered(df, "_n", ["id"], ["g"]).collect():
         seen[r.g].append((r.id, r._n))
     for rows in seen.values():
         assert [n for _, n in sorted(rows)] == list(range(len(rows)))
 
 
+def test_rows_that_share_an_id_keep_their_places(spark):
+    df = spark.createDataFrame([(i % 3, "s", f"t{i}") for i in range(60)], "doc_id long, source string, text string")
+    places = [{(r["_row"].text, r["_place"].slot, r["_place"].position) for r in mixing.scheduled(x, block_rows=4).collect()} for x in (df, df.repartition(7), df.orderBy(F.rand(3)))]
+    assert places[0] == places[1] == places[2] and len(places[0]) == 60
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_same_as_sql(name, spark, duck, sf_dir):
     same_as_sql(queries.QUERIES[name](spark, sf_dir), duck, queries.ORACLES[name])

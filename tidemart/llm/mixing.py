@@ -21,9 +21,9 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm.common import written
+from tidemart.operators.ranges import numbered, row_tie
 
 TASK_SLOTS = 65_536  #: slots that a task schedules; more if a source's windows are long
 SLAB = 1 << 21  #: numbers in one array of a look back
@@ -226,25 +226,6 @@ def planned(spark: SparkSession, plan: Plan, task_slots: int | None = None) -> D
     return spark.range(0, tasks, 1, tasks).mapInArrow(run, schema)
 
 
-def numbered(df: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``df`` with ``_n``, each row's number from 0 within its group in the order given.
-
-    Rows are range-partitioned by group and order, sorted, numbered where they stand and written; counts of the
-    partitions before then shift the numbers. A group may hold any share of the rows and none has to fit a task. Ties
-    take any of their numbers.
-    """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(ranges, group, *order).sortWithinPartitions(group, *order)
-    dealt = dealt.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33))
-    dealt = written(dealt, "ranges")
-    counts = dealt.groupBy("_part", group).agg(F.count("*").alias("_rows"), F.min("_at").alias("_from"))
-    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_from")
-    # a row for each partition, and one more for each group that starts within one
-    shifts = counts.select("_part", group, shift.alias("_shift"))
-    return dealt.join(F.broadcast(shifts), ["_part", group]).withColumn("_n", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
-
-
 def scheduled(
     df: DataFrame,
     weights: dict[str, float] | None = None,
@@ -257,8 +238,8 @@ def scheduled(
     """Each row as a struct ``_row``, with a struct ``_place`` (block, release, deadline, slot, position).
 
     ``weights``: target weights by source, fractions or numbers, which count as their decimals say; sources without one
-    get ``other``. ``block`` numbers a source's blocks of ``block_rows`` rows in order of the MD5 of the id (the last may
-    be shorter); ``release`` and ``deadline`` bound the slot; rows in order of (slot, position) are the mixture,
+    get ``other``. ``block`` numbers a source's blocks of ``block_rows`` rows in order of the MD5 of the id, rows that
+    share it by a hash of the row (the last block may be shorter); ``release`` and ``deadline`` bound the slot; rows in order of (slot, position) are the mixture,
     ``position`` being the row's place in its block. No row is lost or repeated. Any number of sources; a null source is
     a source of its own; null ids and repeated rows have places of their own; an empty table gives an empty result;
     other columns stay, whatever their names. Weights must be positive.
@@ -269,11 +250,11 @@ def scheduled(
         raise ValueError("weights are positive")
     key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit(""))
     hashed = F.unhex(F.md5(F.col(id_col).cast("string")))
-    based = df.select(F.struct("*").alias("_row"), key.alias("_key"), hashed.alias("_hash"))
+    based = df.select(F.struct("*").alias("_row"), key.alias("_key"), hashed.alias("_hash"), row_tie(df).alias("_tie"))
     counts = based.groupBy("_key").count().collect()  # a row for each source
     blocks = {r["_key"]: -(-r["count"] // block_rows) for r in counts}
     plan = Plan.of(blocks, {k: weights.get(k[1:], other) if k else other for k in blocks})
-    placed = numbered(based, "_key", ["_hash"]).withColumn("_block", F.floor(F.col("_n") / block_rows))
+    placed = numbered(based, "_n", ["_hash", "_tie"], ["_key"]).withColumn("_block", F.floor(F.col("_n") / block_rows))
     place = F.struct(
         F.col("_block").alias("block"),
         F.col("_release").alias("release"),
