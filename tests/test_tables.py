@@ -12,6 +12,7 @@ from tidemart.operators.keys import dense_keys, ranged_keys
 from tidemart.operators.merge import merge_rows, track_changes
 from tidemart.plans.registry import MODELS, build_order
 from tidemart.sources import generator
+from tidemart.sources.partitioned import PartitionedTable
 from tidemart.sources.snapshot import Conflict, SnapshotTable, append_quarantine, read_quarantine
 from tidemart.streaming import ingest
 
@@ -59,9 +60,69 @@ def test_snapshots(spark, tmp_path):
 def test_unfinished_write_is_not_seen(spark, tmp_path):
     t = SnapshotTable(spark, f"file://{tmp_path}/t")
     t.write(rows(spark, ("a", "1", "x", 1.0, T[0])), AT)
-    rows(spark, ("b", "1", "x", 1.0, T[0])).write.parquet(f"file://{tmp_path}/t/v=1")  # died before its commit
+    rows(spark, ("b", "1", "x", 1.0, T[0])).write.parquet(f"file://{tmp_path}/t/v=1-dead")  # died before its commit
     assert t.read().count() == 1
     assert t.write(rows(spark, ("c", "1", "x", 1.0, T[0])), AT) == 1 and t.read().first().order_id == "c"
+    t.vacuum(keep=2)
+    assert not (tmp_path / "t" / "v=1-dead").exists() and t.read(0).first().order_id == "a"
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    """B writes all its files between A's files and A's commit: A's version has A's rows, and B fails."""
+    path = f"file://{tmp_path}/t"
+    a, b = SnapshotTable(spark, path), SnapshotTable(spark, path)
+    a.write(rows(spark, ("x", "1", "x", 1.0, T[0])), AT)
+    commit, failed = SnapshotTable._commit, []
+
+    def late(self, version, text):
+        if self is a:
+            monkeypatch.setattr(SnapshotTable, "_commit", lambda *_: failed.append(1))  # B dies before its own commit
+            b.write(rows(spark, *[(f"b{i}", "1", "b", 1.0, T[0]) for i in range(5)]), AT, "B-1")
+            monkeypatch.setattr(SnapshotTable, "_commit", commit)
+        commit(self, version, text)
+
+    monkeypatch.setattr(SnapshotTable, "_commit", late)
+    a.write(rows(spark, ("a", "1", "a", 1.0, T[0])), AT, "A-1")
+    monkeypatch.setattr(SnapshotTable, "_commit", commit)
+    assert failed and [r.order_id for r in b.read().collect()] == ["a"] and b.applied("A-1") and not b.applied("B-1")
+    with pytest.raises(Conflict):
+        b.write(rows(spark, ("b", "1", "b", 1.0, T[0])), AT, "B-1", base=0)
+    assert b.write(rows(spark, ("b", "1", "b", 1.0, T[0])), AT, "B-1") == 2
+
+
+def test_batches_are_remembered(spark, tmp_path):
+    t = SnapshotTable(spark, f"file://{tmp_path}/t")
+    for n in range(4):
+        t.merge(rows(spark, (f"k{n}", "1", "x", 1.0, T[0])), AT, f"b{n}")
+    assert t.info(3)["past"] == [] and t.info(3)["batch"] == "b3"
+    assert t.vacuum(keep=1) == [0, 1, 2] and all(t.applied(f"b{n}") for n in range(4)) and not t.applied("b4")
+    t.merge(rows(spark, ("k9", "1", "x", 1.0, T[0])), AT, "b4")
+    t.vacuum(keep=1)
+    assert t.applied("b0") and t.applied("b4") and t.read().count() == 5
+
+
+def test_merge_of_the_buckets_that_are_met(spark, tmp_path):
+    table = PartitionedTable(spark, f"file://{tmp_path}/t", buckets=16)
+    whole = rows(spark, *[(f"o{i}", "1", "old", float(i), T[1]) for i in range(200)])
+    assert not table.exists()
+    table.merge(whole)
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    before = files()
+    batch = rows(spark, ("o3", "1", "new", -1.0, T[2]), ("o4", "1", "late", -1.0, T[0]), ("n1", "1", "new", -1.0, T[0]))
+    expected = merge_rows(whole, batch).collect()
+    touched = table.merge(batch)
+    assert 1 <= len(touched) <= 3 and touched == table.met(batch)
+    after, of = files(), lambda name: int(name.split("bucket=")[1].split("/")[0])
+    assert {f for f in before if of(f) not in touched} <= after.keys() and all(after[f] == t for f, t in before.items() if of(f) not in touched)
+    assert not {f for f in before if of(f) in touched} & after.keys()
+    assert sorted(table.read().collect()) == sorted(expected) and len(expected) == 201
+    read = table.read(*touched)
+    assert len(read.inputFiles()) < len(table.read().inputFiles()) or "PartitionFilters: [" in read._jdf.queryExecution().toString()
+    table.merge(batch)  # again, as after a failure
+    assert sorted(table.read().collect()) == sorted(expected)
+    assert table.merge(batch.limit(0)) == []
+    with pytest.raises(ValueError, match="share"):
+        table.merge(batch.union(batch))
 
 
 def test_quarantine(spark, tmp_path):

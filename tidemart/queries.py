@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -10,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemart import oracles
 from tidemart.config import DEFAULT
 from tidemart.operators import checks as q, scores, silver as ops
-from tidemart.operators.merge import merge_rows, track_changes
+from tidemart.operators.merge import track_changes
 from tidemart.plans import marts, metrics as m, suites
 from tidemart.plans.registry import MODELS, Warehouse
 from tidemart.sources.adapter import sales_view, table
 from tidemart.sources.generator import generate
-from tidemart.sources.scratch import stored
+from tidemart.sources.partitioned import PartitionedTable
+from tidemart.sources.scratch import shared_dir, stored
 from tidemart.sources.warehouse import export_columns
 from tidemart.streaming import ingest
 
@@ -101,10 +103,13 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Odd lines as the target, even ones as a later load."""
+    """Odd lines as the target, even ones as a later load, merged into the buckets that it meets."""
     rows = valid(spark, sf_dir)
     odd = F.element_at(F.split("source_row_id", "-"), -1).cast("int") % 2 == 1
-    return merge_rows(ops.latest_by_order_product(rows.where(odd)), ops.latest_by_order_product(rows.where(~odd)), check=True)
+    target = PartitionedTable(spark, f"{shared_dir(spark)}/silver-{uuid.uuid4().hex}", buckets=8)
+    target.create(ops.latest_by_order_product(rows.where(odd)))
+    target.merge(stored(ops.latest_by_order_product(rows.where(~odd)), "load"))
+    return target.read()
 
 
 FIRST_DAY, NEXT_DAY = date(2000, 1, 1), date(2001, 1, 1)
