@@ -305,6 +305,18 @@ TIE_ORDER = _ties
 UPDATED = [x for x in MERGE_SET if x != "order_id"]
 KEPT = ("customer_name", "ingestion_timestamp", "geo_quality_flag")
 
+
+
+def merged(target: str, source: str) -> str:
+    """MERGE of two views: strictly newer rows of the source set the columns that are updated, new keys are inserted."""
+    updated = ", ".join(f"case when t.order_id is null or s.processing_timestamp > t.processing_timestamp then s.{x} else t.{x} end as {x}" for x in UPDATED)
+    kept = ", ".join(f"case when t.order_id is null then s.{x} else t.{x} end as {x}" for x in KEPT)
+    return f"""
+select coalesce(t.order_id, s.order_id) as order_id, {updated}, {kept}
+from {target} t full join {source} s on t.order_id = s.order_id and t.product_id = s.product_id
+"""
+
+
 STAR = """
 select f.*, d.date_value, d.year_number, d.quarter, d.month_number, p.product_id, p.product_name, p.category, p.sub_category, c.customer_segment, c.region, c.country, c.state, c.city
 from fact_sales f left join dim_date d using (date_key) left join dim_product p using (product_key) left join dim_customer c using (customer_key)

@@ -192,7 +192,6 @@ def fact_sales_unkeyed(
     s = unified.where("data_quality_score >= 80")
     p = products.where("is_current").select("product_id", "product_key", F.col("effective_date").alias("p0"), F.col("expiration_date").alias("p1"))
     t = stores.where("is_current").select("store_id", "store_key", F.col("effective_date").alias("t0"), F.col("expiration_date").alias("t1"))
-    cost = F.col("unit_price") * F.col("quantity") - F.col("estimated_profit")
     joined = (
         s.join(dates.select(F.col("date_value").alias("sale_date"), "date_key"), "sale_date")
         .join(p, (s["product_id"] == p["product_id"]) & s["sale_date"].between(F.col("p0"), F.col("p1")))
@@ -200,19 +199,33 @@ def fact_sales_unkeyed(
         .drop(p["product_id"], t["store_id"])
         .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
     )
-    return joined.withColumns(
-        {
-            "time_key": F.col("sale_hour") * 10000,
-            "quantity_sold": F.col("quantity"),
-            "gross_sales_amount": F.col("gross_amount"),
-            "net_sales_amount": F.col("net_amount"),
-            "cost_amount": cost,
-            "profit_amount": F.col("estimated_profit"),
-            "unit_cost": F.coalesce(cost, F.lit(0.0)),
-            "discount_pct": F.col("discount_rate"),
-            "source_system": F.col("data_source"),
-        }
-    ).select("unified_sales_key", *FACT)
+    return joined.withColumns(measures()).select("unified_sales_key", *FACT)
+
+
+def measures() -> dict[str, Column]:
+    """What a sale adds to the fact besides its keys."""
+    cost = F.col("unit_price") * F.col("quantity") - F.col("estimated_profit")
+    return {
+        "time_key": F.col("sale_hour") * 10000,
+        "quantity_sold": F.col("quantity"),
+        "gross_sales_amount": F.col("gross_amount"),
+        "net_sales_amount": F.col("net_amount"),
+        "cost_amount": cost,
+        "profit_amount": F.col("estimated_profit"),
+        "unit_cost": F.coalesce(cost, F.lit(0.0)),
+        "discount_pct": F.col("discount_rate"),
+        "source_system": F.col("data_source"),
+    }
+
+
+def natural_fact(unified: DataFrame) -> DataFrame:
+    """The fact by business keys: product, store and customer ids stand for the numbers, which readers join.
+
+    It needs no dimension, so what a sale gives depends on that sale alone.
+    """
+    s = unified.where("data_quality_score >= 80 and coalesce(customer_id, '') <> ''")
+    keys = {"date_key": c.date_key("sale_date"), "product_key": F.col("product_id"), "store_key": F.col("store_id"), "customer_key": F.col("customer_id")}
+    return s.withColumns(measures() | keys).select("unified_sales_key", *FACT)
 
 
 def fact_sales(*tables: DataFrame, in_one_task: bool = False) -> DataFrame:

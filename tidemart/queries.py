@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart import oracles
+from tidemart import busy, oracles
 from tidemart.config import DEFAULT
 from tidemart.operators import checks as q, scores, silver as ops
 from tidemart.operators.merge import track_changes
@@ -192,15 +192,9 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
         name: ((lambda s, d, name=name: (star if name.startswith("fact") else warehouse)(s, d)[name]), f"select * from {name}")
         for name in MODELS
     },
-    "silver_merge": (merged, f"""
-        select coalesce(t.order_id, s.order_id) as order_id, {", ".join(
-            f"case when t.order_id is null or s.processing_timestamp > t.processing_timestamp then s.{x} else t.{x} end as {x}" for x in oracles.UPDATED)},
-          {", ".join(f"case when t.order_id is null then s.{x} else t.{x} end as {x}" for x in oracles.KEPT)}
-        from (select * exclude (rejection_reason) from judged where rejection_reason is null and cast(split_part(source_row_id, '-', 2) as int) % 2 = 1
-              qualify row_number() over (partition by order_id, product_id order by {oracles.TIE_ORDER}) = 1) t
-        full join (select * exclude (rejection_reason) from judged where rejection_reason is null and cast(split_part(source_row_id, '-', 2) as int) % 2 = 0
-              qualify row_number() over (partition by order_id, product_id order by {oracles.TIE_ORDER}) = 1) s
-        on t.order_id = s.order_id and t.product_id = s.product_id"""),
+    "silver_merge": (merged, oracles.merged(*[f"""
+        (select * exclude (rejection_reason) from judged where rejection_reason is null and cast(split_part(source_row_id, '-', 2) as int) % 2 = {odd}
+         qualify row_number() over (partition by order_id, product_id order by {oracles.TIE_ORDER}) = 1)""" for odd in (1, 0)])),
     "scd2_history": (part_history, """
         with old as (select p_partkey, p_name, p_retailprice from part where p_partkey % 10 <> 7),
         new as (select p_partkey, p_name, case when p_partkey % 3 = 0 then p_retailprice * 1.1::double else p_retailprice end as p_retailprice from part)
@@ -369,5 +363,7 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "reader_rows": (lambda s, d: m.for_reader(silver(s, d).select("row_id", "region", "sales"), "region", ["ASIA", "EUROPE"]), "select row_id, region, sales from silver where region in ('ASIA', 'EUROPE')"),
 }
 
+REGISTERED |= busy.REGISTERED
+
 QUERIES: dict[str, Query] = {name: run for name, (run, _) in REGISTERED.items()}
 ORACLES: dict[str, str] = {name: oracles.over(sql) for name, (_, sql) in REGISTERED.items() if sql}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.operators.merge import aligned, merge_rows
 from tidemart.operators.silver import assert_unique
-from tidemart.sources.scratch import stored
+from tidemart.sources.scratch import delete, stored
 
 KEYS = ("order_id", "product_id")
 
@@ -40,6 +40,15 @@ class PartitionedTable:
         out = df.withColumn("bucket", self.bucket()).repartition("bucket")
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
 
+    def replace(self, buckets: list[int], df: DataFrame) -> None:
+        """Let the buckets hold the rows of ``df``, which lie in them: a bucket without rows goes."""
+        df = stored(df, "replaced")
+        filled = self.met(df)
+        if filled:
+            self._write(df)
+        for b in set(buckets) - set(filled):
+            delete(self.spark, f"{self.path}/bucket={b}")
+
     def create(self, rows: DataFrame) -> None:
         self._write(rows)
 
