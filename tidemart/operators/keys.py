@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemart.sources.scratch import stored
+from tidemart.operators.ranges import named, numbered
 
 
 def dense_keys(df: DataFrame, name: str, order: list[str]) -> DataFrame:
@@ -14,19 +14,9 @@ def dense_keys(df: DataFrame, name: str, order: list[str]) -> DataFrame:
 
 
 def ranged_keys(df: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """The same numbers without a single-task window: range partitions, a number within each, and their offsets.
-
-    The order must be total for the same rows to get the same numbers. What the offsets are counted from is written
-    once to the shared folder, so that a recomputed task cannot deal rows differently.
-    """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    dealt = stored(dealt, "keys").withColumn("_part", F.shiftright("_at", 33))
-    counts = dealt.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("first"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shifts = counts.select("_part", (before - F.col("first") + 1).alias("_shift"))  # one row a partition
-    numbered = dealt.join(F.broadcast(shifts), "_part")
-    return numbered.select((F.col("_at") + F.col("_shift")).alias(name), *[F.col(f"`{c}`") for c in df.columns])
+    """The same numbers without a single-task window (see ``numbered``), the number first; the order must be total for
+    the same rows to get the same numbers."""
+    return numbered(df, name, order, start=1).select(name, *named(df.columns))
 
 
 def numbered_within(df: DataFrame, name: str, keys: list[str], order: list[Column]) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemart import busy, oracles
 from tidemart.config import DEFAULT
 from tidemart.operators import checks as q, scores, silver as ops
+from tidemart.operators.asof import as_of
+from tidemart.operators.history import add_changes, history
 from tidemart.operators.merge import track_changes
 from tidemart.plans import marts, metrics as m, suites
 from tidemart.plans.registry import MODELS, Warehouse
@@ -112,6 +114,32 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def sales_of_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each sale with the version of its product on that day, or none in a gap."""
+    w = warehouse(spark, sf_dir)
+    n = F.substring("product_id", 6, 20).cast("int")
+    versions = faulty_versions(w["int_product_scd2"]).where((n % 7 != 3) & (n % 5 != 0))  # those that do not overlap
+    sold = w["stg_sales"].select("order_id", "product_id", "sale_date")
+    met = as_of(sold, versions, "product_id", "sale_date", "effective_date", ["product_scd2_key", "effective_date"], "expiration_date", "product_scd2_key")
+    return met.select("order_id", "product_id", "sale_date", F.col("version.product_scd2_key").alias("version_key"), F.col("version.effective_date").alias("since"))
+
+
+def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price classes of parts by the lines that tell them, those of even orders a day late; a returned seventh line ends a part."""
+    lines = table(spark, sf_dir, "lineitem")
+    changes = lines.select(
+        "l_partkey",
+        F.col("l_shipdate").cast("date").alias("changed_on"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
+        F.floor(F.col("l_extendedprice") / F.col("l_quantity") / 100 + F.col("l_linenumber") / 4).alias("price_class"),
+        ((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")).alias("deleted"),
+    )
+    late = F.col("seq") % 16 < 8
+    points = add_changes(None, changes.where(~late), ("l_partkey",), ("price_class",))
+    points = stored(add_changes(points, changes.where(late), ("l_partkey",), ("price_class",)), "points")
+    return history(points, "l_partkey", ("price_class",), DEFAULT.scd2_end)
+
+
 FIRST_DAY, NEXT_DAY = date(2000, 1, 1), date(2001, 1, 1)
 
 
@@ -142,6 +170,11 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
+    return lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+
+
 def _order_totals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice"), table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_totalprice"
@@ -201,6 +234,22 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
         select old.*, date '2000-01-01' as effective_date, case when p_partkey % 3 = 0 then date '2000-12-31' else date '2099-12-31' end as expiration_date,
           p_partkey % 3 <> 0 as is_current from old
         union all select new.*, date '2001-01-01', date '2099-12-31', true from new where p_partkey % 3 = 0 or p_partkey % 10 = 7"""),
+    "sales_of_versions": (sales_of_versions, """
+        select s.order_id, s.product_id, s.sale_date, case when s.sale_date <= v.expiration_date then v.product_scd2_key end as version_key,
+          case when s.sale_date <= v.expiration_date then v.effective_date end as since
+        from stg_sales s asof left join (select * from faulty_versions where cast(substring(product_id, 6) as int) % 7 <> 3 and cast(substring(product_id, 6) as int) % 5 <> 0) v
+          on s.product_id = v.product_id and s.sale_date >= v.effective_date"""),
+    "price_history": (price_history, f"""
+        with points as (
+          select l_partkey, cast(l_shipdate as date) as day, cast(floor(l_extendedprice / l_quantity / 100 + l_linenumber / 4) as bigint) as price_class,
+            l_linenumber = 7 and l_returnflag = 'R' as deleted
+          from lineitem qualify row_number() over (partition by l_partkey, cast(l_shipdate as date) order by l_orderkey * 8 + l_linenumber desc) = 1
+        ), steps as (
+          select *, case when deleted then -1 else price_class end as state from points
+          qualify coalesce(state is distinct from lag(state) over (partition by l_partkey order by day), true)
+        )
+        select l_partkey, price_class, day as effective_date, coalesce(following - 1, {oracles.END}) as expiration_date, following is null as is_current
+        from (select *, lead(day) over (partition by l_partkey order by day) as following from steps) where not deleted"""),
     # reports
     "sales_by_category": (lambda s, d: m.sales_by_category(m.star(reports(s, d), "product")), f"""
         select p.category, {oracles.money("net_sales_amount")} as total_sales, {oracles.money("f.profit_amount")} as total_profit, count(distinct customer_key) as unique_customers
@@ -301,6 +350,14 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "check_disordered_dates": (lambda s, d: q.disordered_dates(_orders(s, d).select("o_custkey", "o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey", "o_custkey"), """
         select * from (select o_custkey, o_orderkey, cast(o_orderdate as date) as o_orderdate,
           lag(cast(o_orderdate as date)) over (partition by o_custkey order by o_orderkey) as previous_date from orders) where o_orderdate < previous_date"""),
+    "check_disordered_lines": (
+        lambda s, d: q.disordered_dates(_lines(s, d), "l_shipdate", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]), """
+        select * from (select *, lag(l_shipdate) over (order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) as previous_date
+          from (select l_orderkey, l_linenumber, l_partkey, l_extendedprice, cast(l_shipdate as date) as l_shipdate from lineitem)) where l_shipdate < previous_date"""),
+    "check_date_gaps": (lambda s, d: q.sequential_dates(_orders(s, d).where("o_orderstatus = 'P'"), "o_orderdate", None, 3), """
+        select o_orderdate, previous_date, cast(o_orderdate - previous_date as int) as day_gap from (
+          select o_orderdate, lag(o_orderdate) over (order by o_orderdate) as previous_date from (select distinct cast(o_orderdate as date) as o_orderdate from orders where o_orderstatus = 'P'))
+        where o_orderdate - previous_date > 3"""),
     "check_business_rule": (lambda s, d: q.business_rule_compliance(sales_view(s, d).select("row_id", "ship_date", "order_date"), "ship_date >= order_date"), """
         select row_id, ship_date, order_date from sales_view where not ship_date >= order_date"""),
     "check_cross_model": (lambda s, d: q.cross_model_consistency(
