@@ -182,12 +182,13 @@ def dim_time(spark: SparkSession) -> DataFrame:
 
 
 def fact_sales_unkeyed(
-    unified: DataFrame, dates: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame
+    unified: DataFrame, dates: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame | None = None
 ) -> DataFrame:
     """Sales with dimension keys: those with a date, a product and a store valid on that day, and a score of 80 or more.
 
     Versions are met on their business key with the range as a residual; the time key is a function of the hour and
-    needs no join. Which sides are small enough to broadcast is left to the sizes Spark knows.
+    needs no join. Which sides are small enough to broadcast is left to the sizes Spark knows. Without ``customers`` the
+    id is the customer's key: every sale that gets here makes its customer a row of that dimension.
     """
     s = unified.where("data_quality_score >= 80")
     p = products.where("is_current").select("product_id", "product_key", F.col("effective_date").alias("p0"), F.col("expiration_date").alias("p1"))
@@ -197,8 +198,11 @@ def fact_sales_unkeyed(
         .join(p, (s["product_id"] == p["product_id"]) & s["sale_date"].between(F.col("p0"), F.col("p1")))
         .join(t, (s["store_id"] == t["store_id"]) & s["sale_date"].between(F.col("t0"), F.col("t1")))
         .drop(p["product_id"], t["store_id"])
-        .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
     )
+    if customers is None:
+        joined = joined.withColumn("customer_key", F.nullif("customer_id", F.lit("")))
+    else:
+        joined = joined.join(customers.select("customer_id", "customer_key"), "customer_id", "left")
     return joined.withColumns(measures()).select("unified_sales_key", *FACT)
 
 

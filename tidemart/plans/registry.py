@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,19 +51,36 @@ class Warehouse:
     """The models over one cleaned table, each planned once.
 
     ``keep``: models to hold in memory; ``store``: models to write to the shared folder when they are first read, for
-    those that several others are made from.
+    those that several others are made from; ``models``: other ways to make some. Nothing is made that nobody reads.
     """
 
     def __init__(
-        self, spark: SparkSession, silver: DataFrame, settings: Settings = DEFAULT, keep: tuple[str, ...] = (), store: tuple[str, ...] = ()
+        self,
+        spark: SparkSession,
+        silver: DataFrame,
+        settings: Settings = DEFAULT,
+        keep: tuple[str, ...] = (),
+        store: tuple[str, ...] = (),
+        models: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] | None = None,
     ):
         self.spark, self.settings, self.keep, self.store = spark, settings, keep, store
+        self.models = MODELS | (models or {})
         self.made: dict[str, DataFrame] = {"silver": silver}
 
+    def together(self, *names: str) -> None:
+        """Write models that do not read each other at the same time, so that small jobs share the executors."""
+        plans = {n: self._plan(n) for n in names if n not in self.made}
+        if plans:
+            with ThreadPoolExecutor(len(plans)) as pool:
+                self.made |= zip(plans, pool.map(lambda item: stored(item[1], item[0]), plans.items()), strict=True)
+
+    def _plan(self, name: str) -> DataFrame:
+        reads, make = self.models[name]
+        return make(self.spark, self.settings, *[self[r] for r in reads])
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.made:
-            reads, make = MODELS[name]
-            df = make(self.spark, self.settings, *[self[r] for r in reads])
+            df = self._plan(name)
             if name in self.store:
                 df = stored(df, name)
             self.made[name] = df.persist() if name in self.keep else df

@@ -43,20 +43,32 @@ def star(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, silver(spark, sf_dir), DEFAULT, store=("stg_sales",))
 
 
+DIMENSION_OF = {"product": marts.dim_product, "store": marts.dim_store, "customer": marts.dim_customer}
 DIMENSIONS = ("int_sales_unified", "dim_date", "dim_product", "dim_store", "dim_customer")
 
 
 def reports(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """For what reads the fact once and counts keys at most: neither it nor its dimensions are numbered."""
-    w = star(spark, sf_dir)
-    for name, make in (("dim_product", marts.dim_product), ("dim_store", marts.dim_store), ("dim_customer", marts.dim_customer)):
-        w.made[name] = stored(make(*[w[t] for t in MODELS[name][0]], DEFAULT, dense=False), name)
-    w.made["fact_sales"] = marts.fact_for_reports(*[w[t] for t in DIMENSIONS])
+    """For what reads the fact once and counts keys at most: neither it nor its dimensions are numbered.
+
+    Products and stores, which decide what sales count, are written side by side; customers are made if a report reads
+    them.
+    """
+    made = {f"dim_{d}": (MODELS[f"dim_{d}"][0], lambda _, s, rows, make=make: make(rows, s, dense=False)) for d, make in DIMENSION_OF.items()}
+    made["fact_sales"] = (("int_sales_unified", "dim_date", "dim_product", "dim_store"), lambda _, s, *tables: marts.fact_for_reports(*tables))
+    w = Warehouse(spark, silver(spark, sf_dir), DEFAULT, store=("stg_sales",), models=made)
+    w.together("dim_product", "dim_store")
     return w
 
 
 def suite_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """For suites, which read the fact several times: it is written once, but not numbered."""
+    """For suites, which read the fact several times: it is written once, but nothing is numbered."""
+    w = reports(spark, sf_dir)
+    w.made["fact_sales"] = stored(w["fact_sales"], "fact")
+    w.made["fact_sales_daily"] = marts.daily_unkeyed(w["fact_sales"])
+    return w
+
+
+def numbered_suite_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
     w = star(spark, sf_dir)
     w.made["fact_sales"] = stored(marts.fact_for_reports(*[w[t] for t in DIMENSIONS]), "fact")
     w.made["fact_sales_daily"] = marts.daily_unkeyed(w["fact_sales"])
@@ -65,7 +77,7 @@ def suite_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 def faulty_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The same with faults: sales that the fact lacks, wrong and missing daily rows, versions that overlap or leave gaps."""
-    w = suite_tables(spark, sf_dir)
+    w = numbered_suite_tables(spark, sf_dir)
     daily, fact, key = w["fact_sales_daily"], w["fact_sales"], F.col("product_key") % 4
     daily = daily.where(key != 2).withColumns(
         {

@@ -9,13 +9,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SMALL_BYTES = 1 << 30  #: of a table that may lie in so few row groups that scans would leave cores idle
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """A small table in as many parts as there are shuffle partitions, by key; a larger one as it is, as its row groups do.
+
+    What is fused with a scan runs in a task for each row group, and a small table may have one only.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key) if size < SMALL_BYTES else df
+
+
 def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line in canonical columns; ``processing_timestamp`` is the ship date plus some hours."""
     t = lambda name: table(spark, sf_dir, name)
     places = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
     people = t("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = t("orders").join(people, F.col("o_custkey") == F.col("c_custkey"))
-    lines = t("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = dealt(t("lineitem"), "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     lines = lines.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     text = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
     shipped = F.col("l_shipdate").cast("timestamp")
