@@ -21,7 +21,7 @@ from tidemart.sources.generator import generate
 from tidemart.sources.partitioned import PartitionedTable
 from tidemart.sources.scratch import shared_dir, stored
 from tidemart.sources.warehouse import export_columns
-from tidemart.streaming import ingest
+from tidemart.streaming import ingest, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,14 +168,36 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same file as a stream."""
+    schema = table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windows of ``event_windows`` from a stream over the same file, run to its end."""
-    name = f"windows_{abs(hash((sf_dir, datetime.now())))}"
-    schema = table(spark, sf_dir, "events").schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    found = ingest.windowed(rows, "ts", "15 minutes", late="1 hour", by=("event_type",))
-    found.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    found = ingest.windowed(event_stream(spark, sf_dir), "ts", "15 minutes", late="1 hour", by=("event_type",))
+    return stateful.run_to_files(found, "windows", complete=True)
+
+
+def streamed_followups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views and the same user's purchases within six hours, or none, from two streams: views that were waited for to the end."""
+    rows = event_stream(spark, sf_dir).select("event_id", "user_id", "ts", "event_type")
+    views, bought = rows.where("event_type = 'view'"), event_stream(spark, sf_dir).where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    joined = stateful.interval_join(views.drop("event_type"), bought, "user_id", "ts", "ts", "6 hours", "1 hour", outer=True)
+    out = stateful.run_to_files(joined, "followups")
+    ends = events(spark, sf_dir).agg(*[F.max(F.when(F.col("event_type") == k, F.col("ts"))).alias(k) for k in ("view", "purchase")])
+    bound = ends.select((F.least("view", "purchase") - F.expr("interval 8 hours")).alias("_bound"))  # one row
+    out = out.join(F.broadcast(bound), F.col("ts") < F.col("_bound"))
+    return out.select("event_id", "user_id", "ts", F.col("r_event_id").alias("purchase_id"), F.col("r_ts").alias("purchased_at"))
+
+
+STEPS = ("view", "click", "purchase")
+
+
+def streamed_funnels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stateful.funnels(event_stream(spark, sf_dir), "user_id", "ts", "event_type", STEPS, timedelta(hours=12), "1 hour")
+    return stateful.run_to_files(found, "funnels")
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,6 +334,20 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     # streams
     "event_windows": (lambda s, d: ingest.windowed(events(s, d), "ts", "15 minutes", by=("event_type",)), WINDOWS),
     "event_windows_streamed": (streamed_windows, WINDOWS),
+    "event_followups_streamed": (streamed_followups, """
+        with v as (select * from events where event_type = 'view'), p as (select * from events where event_type = 'purchase')
+        select v.event_id, v.user_id, v.ts, p.event_id as purchase_id, p.ts as purchased_at
+        from v left join p on v.user_id = p.user_id and p.ts between v.ts and v.ts + interval 6 hours
+        where v.ts < least((select max(ts) from v), (select max(ts) from p)) - interval 8 hours"""),
+    "event_funnels_streamed": (streamed_funnels, """
+        with new as (select *, case when ts < lag(ts) over (partition by user_id order by ts) + interval 12 hours then 0 else 1 end as new from events),
+        numbered as (select *, sum(new) over (partition by user_id order by ts, new desc rows unbounded preceding) as k from new),
+        viewed as (select *, min(ts) filter (where event_type = 'view') over (partition by user_id, k) as t1 from numbered),
+        clicked as (select *, min(ts) filter (where event_type = 'click' and ts >= t1) over (partition by user_id, k) as t2 from viewed),
+        bought as (select *, min(ts) filter (where event_type = 'purchase' and ts >= t2) over (partition by user_id, k) as t3 from clicked)
+        select user_id, min(ts) as started, max(ts) + interval 12 hours as ended, count(*) as n,
+          cast((t1 is not null)::int + (t2 is not null)::int + (t3 is not null)::int as int) as reached, list_filter([t1, t2, t3], lambda x: x is not null) as step_times
+        from bought group by user_id, k, t1, t2, t3 having max(ts) + interval 13 hours <= (select max(ts) from events)"""),
     "event_sliding_windows": (lambda s, d: ingest.windowed(events(s, d), "ts", "1 hour", "30 minutes", value="value"), """
         select w as window_start, w + interval 1 hour as window_end, count(*) as n, cast(sum(cast(value as decimal(18,4))) as double) as total
         from (select value, unnest([time_bucket(interval 30 minutes, ts), time_bucket(interval 30 minutes, ts) - interval 30 minutes]) as w from events) group by 1"""),
