@@ -72,7 +72,12 @@ def test_runs_are_merged_from_their_files(spark, monkeypatch):
     want = sorted((c for some in captures for c in some), key=warc.key_of)
     for fan_in, range_rows in ((100, 10_000), (7, 500), (3, 90)):
         got = warc.merge_runs(runs, "page_id", fan_in, range_rows).collect()
-        assert [tuple(r)[:-1] for r in sorted(got, key=lambda r: r.position)] == want
+        got.sort(key=lambda r: r.position)
+        assert [tuple(r)[:-2] for r in got] == want
+        seen = Counter()
+        for r in got:
+            seen[r.url_key] += 1
+            assert r.rank == seen[r.url_key]
     assert len({r.position >> 40 for r in got}) > 20  # the hot URL has many ranges
 
     held, most = 0, 0  # captures pulled from the files and not yet given out, over all streams
@@ -90,6 +95,25 @@ def test_runs_are_merged_from_their_files(spark, monkeypatch):
     assert most <= len(files) + 1 and held == 0
 
 
+def test_every_pass_is_cut_into_ranges(spark, monkeypatch):
+    """300 runs, 8 at a time: each of the passes has as many tasks as there are ranges, about."""
+    monkeypatch.setattr(warc, "STREAM_ROWS", 4)
+    monkeypatch.setattr(warc, "BATCH_ROWS", 64)
+    schema = T.StructType([T.StructField("page_id", T.LongType()), *(T.StructField(n, T._parse_datatype_string(k)) for n, k in warc.CAPTURE)])
+    captures = [[(k * 10 + i, f"u{(k * 7 + i * 13) % 90}", "d", "u", "response", 1, "x", None, f"a{k}", i, 9) for i in range(10)] for k in range(300)]
+
+    def run(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                yield warc._batch(sorted(captures[k], key=warc.key_of), schema)
+
+    runs, tasks, real = warc._run_files(warc._tasks(spark, 300).mapInArrow(run, schema)), [], warc._tasks
+    monkeypatch.setattr(warc, "_tasks", lambda s, n: tasks.append(n) or real(s, n))
+    got = warc.merge_runs(runs, "page_id", 8, 150).collect()
+    assert [r.page_id for r in sorted(got, key=lambda r: r.position)] == [c[0] for c in sorted((c for some in captures for c in some), key=warc.key_of)]
+    assert len(tasks) == 3 and min(tasks) >= 18 and max(tasks) < 60
+
+
 def test_revisits_are_checked(spark):
     schema = "page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long"
     good = [(1, "response", 5, "A", None), (2, "revisit", 5, "A", 1)]

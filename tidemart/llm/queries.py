@@ -39,7 +39,7 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.warc import archive_index
 
     index = archive_index(table(spark, sf_dir, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "rank")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

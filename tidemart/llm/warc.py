@@ -13,12 +13,12 @@ from datetime import datetime, timedelta, timezone
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemart.llm.common import arrow_input, scratch_path, written
 
 EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
-YEARS = 10 * 365 * 86_400  #: capture dates made from ids stay within these seconds after EPOCH
+YEARS = 7000 * 365 * 86_400  #: capture dates made from ids stay within these seconds after EPOCH
 ROLL_BYTES, ROLL_RECORDS = 512 << 20, 50_000  #: an archive is closed beyond either
 FAN_IN, STREAM_ROWS, BATCH_ROWS = 128, 512, 10_000  #: runs merged at once, captures held of each, and of the output
 GROUP_BYTES = 1 << 20  #: of a row group of a run
@@ -312,43 +312,104 @@ def run_stream(path: str, low: tuple | None = None, high: tuple | None = None) -
                     yield row
 
 
+def stretch_stream(stretches: list[tuple], low: tuple | None, high: tuple | None) -> Iterator[tuple]:
+    """The same of a run that lies in several files, each (its least key or None, the next file's or None, path)."""
+    for first, after, path in stretches:
+        if (high is None or first is None or first < high) and (low is None or after is None or low < after):
+            yield from run_stream(path, low, high)
+
+
+def write_run(folder: str, rows: Iterable[tuple], schema: T.StructType) -> str | None:
+    """A run in a file of its own, row groups of BATCH_ROWS captures; None if it has no rows."""
+    from pyarrow import parquet
+
+    sink = writer = path = None
+    for batch in _batches(rows, schema, BATCH_ROWS):
+        if writer is None:
+            path = f"{folder}/{uuid.uuid4().hex}.parquet"
+            sink = _open(path, write=True)
+            writer = parquet.ParquetWriter(sink, batch.schema)
+        writer.write_batch(batch)
+    if writer is not None:
+        writer.close()
+        sink.close()
+    return path
+
+
+def _ends(keys: list[tuple], parts: int) -> list[tuple]:
+    """(low, high) of about so many ranges of keys, by a sorted sample of them."""
+    cuts = sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
+    return list(zip([None, *cuts], [*cuts, None], strict=True))
+
+
 def merge_runs(runs: DataFrame, id_name: str, fan_in: int | None = None, range_rows: int | None = None) -> DataFrame:
-    """The runs as one index in order of URL key, capture date and id: ``position`` grows along it.
+    """The runs as one index in order of URL key, capture date and id: ``position`` grows along it, and ``rank`` numbers
+    the captures of a URL key from 1.
 
     An external merge: a loser tree pulls from the runs' files and holds a batch of each, the output leaves in batches.
-    More than ``fan_in`` runs are first merged by groups into longer ones, as often as needed. In the last pass each task
-    merges a range of keys, found by sampling them, from the places in the files where it begins; so a frequent URL is
-    spread over ranges by date, id and place.
+    More than ``fan_in`` runs are first merged by groups, dealt evenly, into longer ones, as often as needed. In every
+    pass a task merges a range of the keys of its group, found by sampling them, from the places in the files where it
+    begins, so that each pass has as many tasks as the whole index asks for; a run of several ranges lies in as many
+    files, and a task opens only those that its range meets. A frequent URL is spread over ranges by date, id and place.
+    The names of a task's files reach it by a broadcast: one for ``ROLL_RECORDS`` captures or a range.
     """
     fan_in, range_rows, spark = fan_in or FAN_IN, range_rows or RANGE_ROWS, runs.sparkSession
-    out = T.StructType([*runs.schema.fields, T.StructField("position", T.LongType())])
-    files = sorted(runs.inputFiles())
-    while len(files) > fan_in:
-        groups, schema = [files[i : i + fan_in] for i in range(0, len(files), fan_in)], runs.schema
-
-        def longer(batches: Iterator[pa.RecordBatch], groups=groups) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for n in batch.column(0).to_pylist():
-                    yield from _batches(LoserTree(map(run_stream, groups[n]), key_of), schema, BATCH_ROWS)
-
-        runs = _run_files(_tasks(spark, len(groups)).mapInArrow(longer, schema))
-        files = sorted(runs.inputFiles())
-
+    schema = runs.schema
+    merging = [[(None, None, f)] for f in sorted(runs.inputFiles())]
     rows = runs.count()
     ranges = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // SMALL_RANGE), -(-rows // range_rows))
     keys = []
     if ranges > 1:  # about SAMPLED keys a range
         keys = sorted(key_of(tuple(r)) for r in runs.sample(min(1.0, SAMPLED * ranges / rows), seed=1).collect())
-    cuts = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
-    ends = list(zip([None, *cuts], [*cuts, None], strict=True))
+    while len(merging) > fan_in:
+        many = -(-len(merging) // fan_in)
+        ends = _ends(keys, -(-ranges // many))
+        tasks = spark.sparkContext.broadcast([(merging[g::many], *e) for g in range(many) for e in ends])
+        folder = scratch_path(spark, "merged")
+
+        def longer(batches: Iterator[pa.RecordBatch], tasks=tasks, folder=folder) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for n in batch.column(0).to_pylist():
+                    group, low, high = tasks.value[n]
+                    path = write_run(folder, LoserTree((stretch_stream(r, low, high) for r in group), key_of), schema)
+                    if path:
+                        yield pa.RecordBatch.from_pydict({"task": [n], "path": [path]})
+
+        # a task that runs again writes another file; the committed table says which counts
+        made = dict(written(_tasks(spark, many * len(ends)).mapInArrow(longer, "task long, path string"), "merges").collect())
+        merging = [[(*e, made[at]) for k, e in enumerate(ends) if (at := g * len(ends) + k) in made] for g in range(many)]
+        merging = [r for r in merging if r]
+
+    out = T.StructType([*schema.fields, T.StructField("position", T.LongType()), T.StructField("seq", T.LongType())])
+    ends = _ends(keys, ranges)
+    whole = spark.sparkContext.broadcast(merging)
+
+    def numbered(rows: Iterable[tuple], n: int) -> Iterator[tuple]:
+        last, seq = None, 0
+        for i, row in enumerate(rows):
+            seq = seq + 1 if row[1] == last else 1
+            last = row[1]
+            yield (*row, (n << 40) + i, seq)
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in batch.column(0).to_pylist():
-                merged = LoserTree((run_stream(f, *ends[n]) for f in files), key_of)
-                yield from _batches(((*row, (n << 40) + i) for i, row in enumerate(merged)), out, BATCH_ROWS)
+                merged = LoserTree((stretch_stream(r, *ends[n]) for r in whole.value), key_of)
+                yield from _batches(numbered(merged, n), out, BATCH_ROWS)
+
+    return _ranked(written(_tasks(spark, len(ends)).mapInArrow(last, out), "index"))
+
 
-    return _tasks(spark, len(ends)).mapInArrow(last, out)
+def _ranked(index: DataFrame) -> DataFrame:
+    """``rank`` from the numbers within ranges: a URL that a range begins with may have captures in those before."""
+    part = F.shiftright("position", 40)
+    begun = index.where(F.col("position") == F.shiftleft(part, 40)).select("url_key").distinct()  # a row for each range
+    sizes = index.join(F.broadcast(begun), "url_key", "left_semi").groupBy(part.alias("_part"), "url_key").agg(F.max("seq").alias("n"))
+    earlier = Window.partitionBy("url_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_part", F.col("url_key").alias("_key"), F.sum("n").over(earlier).alias("_before")).where("_before is not null")
+    met = index.join(F.broadcast(before), (part == F.col("_part")) & (F.col("url_key") == F.col("_key")), "left")
+    rank = F.col("seq") + F.coalesce("_before", F.lit(0))
+    return met.select(*[c for c in index.columns if c != "seq"], rank.alias("rank"))
 
 
 def archive_index(
@@ -362,7 +423,7 @@ def archive_index(
     """Write the pages as archives, read them back and merge their runs into one ordered index.
 
     One row per page: id, url_key, captured, url, record_type, payload_bytes, payload_digest, refers_to, archive,
-    offset, length, position. Integer ids. Null markup is an empty payload, a null URL or id is left out of the
+    offset, length, position, rank (its number in the history of its url_key, from 1). Integer ids. Null markup is an empty payload, a null URL or id is left out of the
     record's headers and comes back null; CR and LF in a URL are escaped; repeated rows each have a record; an empty
     table gives an empty index; other columns are not read. ``folder``: a URI all executors share (default: under
     ``spark.checkpoint.dir``).
@@ -377,7 +438,11 @@ def archive_index(
 #: The same rows for DuckDB, without what depends on how the archives were cut.
 SQL = """
 with hashed as (
-  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h,
+    case when instr(url, '://') > 0 then
+      array_to_string(list_reverse(string_split(lower(regexp_extract(substring(url, instr(url, '://') + 3), '^([^/?#]*)', 1)), '.')), ',') || ')'
+      || regexp_extract(substring(url, instr(url, '://') + 3), '(?s)^[^/?#]*([^#]*)', 1) else coalesce(url, '') end as url_key
+  from pages
 ), latest as (
   select *, max(page_id) over (partition by h) as latest from hashed
 ), symbols as (
@@ -387,7 +452,8 @@ with hashed as (
   select h, string_agg(substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(bits as int) + 1, 1), '' order by i) as digest
   from symbols group by h
 )
-select page_id, strlen(html)::bigint as payload_bytes, digest as payload_digest,
+select page_id, url_key, strftime(timestamp '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') as captured,
+  row_number() over (partition by url_key order by page_id) as rank, strlen(html)::bigint as payload_bytes, digest as payload_digest,
   case when page_id = latest then 'response' else 'revisit' end as record_type,
   case when page_id <> latest then latest end as refers_to
 from latest join digests using (h)
