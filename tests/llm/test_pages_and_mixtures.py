@@ -242,6 +242,9 @@ def linked_pages():
         '<link data-rel="canonical" href="{u}">',
         '<a rel="canonical" href="{u}">x</a>',
         '<link title="rel=canonical" href="{u}">',
+        "<iframe srcdoc='<link rel=canonical href=/quoted>'></iframe>",
+        '<p title="<link rel=canonical href=/quoted>">x</p>',
+        "<link " + 'data-x="y" ' * 300 + 'rel="canonical" href="{u}">',
     ]
     rows = []
     for i, url in enumerate(urls * 2):
@@ -268,6 +271,38 @@ def test_links_like_brute_force(spark):
     assert got[1000] == "block" and got[1100] == "block" and Counter(got.values())["allow"] > 20
 
 
+C = '<link rel=canonical href="'
+MARKUP = [  # (markup, targets) as browsers have them
+    (C + 'http:&#x2F;&#47;a.net&sol;&eacute;&#233">', ["http://a.net/éé"]),
+    (C + '/?a=1&copy=2&copyx=3&amp;b&lt;&bogus;&amp">', ["http://p.test/?a=1&copy=2&copyx=3&b<&bogus;&"]),
+    (C + '/&#128;&#0;&#xD800;&#99999999999;&#x1F600;&#;&#x">', ["http://p.test/€\ufffd\ufffd\ufffd😀&#;&#x"]),
+    ("<!-->" + C + '/a"><!--->' + C + '/b"><!-- x --!>' + C + '/c"><!-- ' + C + '/d">', ["http://p.test/a", "http://p.test/b", "http://p.test/c"]),
+    ("<template>" + C + '/a"><template></template>' + C + '/b"></template></template>' + C + '/c">', ["http://p.test/c"]),
+    ("<xmp>" + C + '/a"></xmp><title>' + C + '/b"></title ><script>"</scriptx>' + C + '/c"></script>' + C + '/d">', ["http://p.test/d"]),
+    ("<p title='" + C + '/a">\'><a x=">">' + C + '/b">', ["http://p.test/b"]),
+    ('<p "x><q a"b=c\'d>' + C + "/a'b\" rel=none>", ["http://p.test/a'b"]),
+    (C + '/a" title="never closed>' + C.replace('"', "") + "/b>", []),
+    ("<link rel=canonical href=/a/>" + "<link rel=canonical href = '/b' / ><link/rel=canonical/href=/c>", ["http://p.test/a/", "http://p.test/b"]),
+    ("<?x " + C + '/a"><!doctype "' + C + '/b"></>' + C + '/c">', ["http://p.test/c"]),
+    ("<scripty>" + C + '/a"><linker rel=canonical href=/b><link>', ["http://p.test/a"]),
+]
+
+
+def test_markup_is_cut_as_browsers_cut_it(spark):
+    import duckdb
+
+    rows = [(i, f"http://p{i}.test/", m) for i, (m, _) in enumerate(MARKUP)]
+    found = defaultdict(list)
+    for r in url_filter.alias_links(pages(spark, *rows)).collect():
+        found[r.url].append(r.target.replace(r.url, "http://p.test/"))
+    assert [found[url] for _, url, _ in rows] == [targets for _, targets in MARKUP]
+    rows = [(i, f"http://p{i}.test/", m.replace("p.test", f"p{i}.test") + f"{C}/" + '">') for i, (m, _) in enumerate(MARKUP)]
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows + [(99, "http://p1.test/?a=1&copy=2&copyx=3&b<&bogus;&", None)])
+    same_as_sql(url_filter.judge(pages(spark, *rows, (99, "http://p1.test/?a=1&copy=2&copyx=3&b<&bogus;&", None))), con, url_filter.sql())
+
+
 def test_links_like_sql(spark):
     import duckdb
 

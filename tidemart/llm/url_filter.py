@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.llm.common import once, written
@@ -66,22 +68,53 @@ def verdict_of(rule: Column, rules=RULES) -> Column:
     return out
 
 
-#: What is no markup: comments, scripts, style sheets, raw text.
-HIDDEN = r"(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script|$)|<style\b.*?(?:</style|$)|<textarea\b.*?(?:</textarea|$)|<title\b.*?(?:</title|$)"
-#: A tag that may hold a link, quoted values whole.
-TAG = r"""(?is)<(?:link|meta|base)[\s/][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*){0,200}>"""
+_W = r"[ \t\n\r\f]"  #: white space of markup
+_ATTRIBUTE = rf"""([^ \t\n\r\f/>=]+)(?:{_W}*+={_W}*+(?:"([^"]*)"|'([^']*)'|([^ \t\n\r\f>"'][^ \t\n\r\f>]*)))?"""
 #: An attribute: name, then its value in double, single or no quotes.
-ATTRIBUTE = r"""(?is)([^\s"'>/=<]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
+ATTRIBUTE = f"(?is){_ATTRIBUTE}"
+_INSIDE = rf"(?:[ \t\n\r\f/](?:[ \t\n\r\f/]|{_ATTRIBUTE})*+)?(?:={_W}*+)?>".replace("([^", "(?:[^")
+_RAW = "|".join(rf"<{n}{_INSIDE}.*?(?:</{n}[ \t\n\r\f/>]|\z)" for n in ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"))
+#: The pieces of a page in one pass, quoted values whole in every tag: comments, elements whose content is text, the tags
+#: that matter (the group), other tags, what looks like a tag, and a tag that never ends. Loops are possessive, so none
+#: has a bound and none recurses.
+PIECE = (
+    rf"(?is)<!--(?:-?>|.*?(?:--!?>|\z))|{_RAW}|(<(?:link|meta|base|/?template){_INSIDE})|</?[a-z][^ \t\n\r\f/>]*+{_INSIDE}"
+    r"|<[!?/][^>]*+>?|<[a-z].*\z"
+)
+#: A character reference as far as an attribute's value has them, or what is between.
+REFERENCE = r"(?s)&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*[;=]?|[^&]+|&"
+WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}  #: what these numbers stand for
 REFRESH = r"""(?is)^\s*[\d.]*\s*[;,]\s*(?:url\s*=\s*)?["']?([^"']*)"""
-#: Character references that URLs are written with; the last one is decoded last.
-REFERENCES = (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#47;", "/"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"))
 SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
+def _map_of(entries: dict[str, str]) -> Column:
+    """A map literal that is one string until the optimizer reads it."""
+    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in entries.items())), F.lit("\x01"), F.lit("\x02"))
+
+
 def decoded(value: Column) -> Column:
-    for name, sign in REFERENCES:
-        value = F.replace(value, F.lit(name), F.lit(sign))
-    return value
+    """The value without character references: numbers, and the names of HTML; a name without semicolon only before what
+    is neither a letter, a digit nor an equals sign, as in attributes."""
+    names, windows = _map_of(html5), _map_of({str(n): c for n, c in WINDOWS.items()})
+
+    def numbered(n: Column) -> Column:
+        bad = n.isNull() | (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(n)), 8, "0")), "UTF-32")
+        return F.when(n.between(0x80, 0x9F), F.try_element_at(windows, n.cast("string"))).otherwise(sign)
+
+    def one(piece: Column) -> Column:
+        digits = F.regexp_extract(piece, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+        number = F.when(piece.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        number = F.when(F.length(digits) > 7, 0x110000).otherwise(F.coalesce(number.try_cast("long"), F.lit(0)))
+        return (
+            F.when(piece.startswith("&#") & (F.length(piece) > 2), once(number, numbered))
+            .when(piece.startswith("&"), F.coalesce(F.try_element_at(names, F.substr(piece, F.lit(2))), piece))
+            .otherwise(piece)
+        )
+
+    whole = F.array_join(F.transform(F.regexp_extract_all(value, F.lit(REFERENCE), F.lit(0)), one), "")
+    return F.when(value.contains("&"), whole).otherwise(value)
 
 
 def resolved(target: Column, base: Column) -> Column:
@@ -107,17 +140,34 @@ def _resolved(target: Column, base: Column) -> Column:
     )
 
 
+def _outside(tags: Column) -> Column:
+    """The tags that are in no template."""
+    is_ = lambda t, start: F.lower(F.substring(t, 1, len(start))) == start
+    state = lambda depth, kept: F.struct(depth.alias("depth"), kept.alias("kept"))
+
+    def step(s: Column, t: Column) -> Column:
+        return (
+            F.when(is_(t, "<template"), state(s["depth"] + 1, s["kept"]))
+            .when(is_(t, "</template"), state(F.greatest(s["depth"] - 1, F.lit(0)), s["kept"]))
+            .when(s["depth"] == 0, state(s["depth"], F.array_append(s["kept"], t)))
+            .otherwise(s)
+        )
+
+    nested = F.aggregate(tags, state(F.lit(0), F.array().cast("array<string>")), step)["kept"]
+    return F.when(F.exists(tags, lambda t: is_(t, "<template")), nested).otherwise(F.filter(tags, lambda t: ~is_(t, "</template")))
+
+
 def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(url, target) for each canonical link and each refresh redirect in the pages' markup.
 
     Link elements count whose rel holds the word canonical, meta elements whose http-equiv is refresh; targets are
-    resolved against the page's URL, or its first base element with a href. Comments, scripts, styles and raw text hold
-    no elements; of an element's equal attributes the first counts; a tag with over 200 quoted values is none.
+    resolved against the page's URL, or its first base element with a href. Comments, templates, elements whose content
+    is text (scripts and the like) and other tags' attributes hold no elements; of an element's equal attributes the
+    first counts. Tags, comments and character references are cut as browsers cut them, except that a tag with an
+    attribute whose name begins with an equals sign counts as one that never ends, and what noscript holds counts.
     """
-    shown = F.regexp_replace(html_col, HIDDEN, " ")
-    tags = pages.where(F.col(html_col).rlike("(?i)<(?:link|meta)[\\s/]")).select(
-        F.col(url_col).alias("url"), F.regexp_extract_all(shown, F.lit(TAG), F.lit(0)).alias("_tags")
-    )
+    found = F.filter(F.regexp_extract_all(html_col, F.lit(PIECE), F.lit(1)), lambda t: t != "")
+    tags = pages.where(F.col(html_col).rlike("(?i)<(?:link|meta)[ \t\n\r\f/]")).select(F.col(url_col).alias("url"), _outside(found).alias("_tags"))
 
     def told(tag: Column) -> Column:
         body = F.regexp_replace(tag, "^<[A-Za-z]+", "")
@@ -241,24 +291,42 @@ def _duck_joined(target: str, base: str) -> str:
       else {site} || case when {folder} = '' then '/' else {folder} end || {target} end"""
 
 
+def _duck_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
 def _duck_decoded(value: str) -> str:
-    for name, sign in REFERENCES:
-        value = f"replace({value}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
-    return value
+    digits = "regexp_extract(x, '^&#[xX]?0*([0-9a-fA-F]*)', 1)"
+    number = f"""case when length({digits}) > 7 then 1114112 when {digits} = '' then 0
+      when regexp_matches(x, '^&#[xX]') then ('0x' || {digits})::bigint else {digits}::bigint end"""
+    bad = f"({number}) = 0 or ({number}) > 1114111 or ({number}) between 55296 and 57343"
+    sign = f"""case when {bad} then chr(65533) when ({number}) between 128 and 159 then windows[({number}) - 127] else chr(({number})::int) end"""
+    one = f"""case when starts_with(x, '&#') and length(x) > 2 then {sign}
+      when starts_with(x, '&') then coalesce(signs[list_position(names, x[2:])], x) else x end"""
+    return f"array_to_string(list_transform(regexp_extract_all({value}, '{REFERENCE}', 0), lambda x: {one}), '')"
 
 
 def sql() -> str:
     """The same for DuckDB over ``pages``."""
-    quoted = lambda x: x.replace("'", "''")
+    quoted = lambda x: x.replace("'", "''").replace("*+", "*")
     host, path = _duck_parts("url")
     t_host, t_path = _duck_parts("target")
     attribute = lambda name: _duck_decoded(f"v[list_position(n, '{name}')]")
     clean = lambda x: f"trim(regexp_replace({x}, '[\\t\\n\\r]', '', 'g'))"
     blank = lambda x: f"case when instr(url, '://') > 0 then {x} else '' end"
     return f"""
-with recursive tags as (
-  select rid, url, unnest(t) as tag, generate_subscripts(t, 1) as place from (
-    select row_number() over () as rid, url, regexp_extract_all(regexp_replace(html, '{quoted(HIDDEN)}', ' ', 'g'), '{quoted(TAG)}', 0) as t from pages)
+with recursive known as (
+  select {_duck_list(html5)} as names, {_duck_list(html5.values())} as signs, {_duck_list(WINDOWS.values())} as windows
+), found as (
+  select row_number() over () as rid, url, list_filter(regexp_extract_all(html, '{quoted(PIECE)}', 1), lambda x: x <> '') as t from pages
+), outside as (
+  select rid, url, list_reduce(list_prepend({{'depth': 0, 'kept': []::varchar[]}}, list_transform(t, lambda x: {{'depth': 0, 'kept': [x]}})),
+    lambda a, b: case when starts_with(lower(b.kept[1]), '<template') then {{'depth': a.depth + 1, 'kept': a.kept}}
+      when starts_with(lower(b.kept[1]), '</template') then {{'depth': greatest(a.depth - 1, 0), 'kept': a.kept}}
+      when a.depth = 0 then {{'depth': 0, 'kept': a.kept || b.kept}} else a end).kept as t
+  from found where len(t) > 0
+), tags as (
+  select rid, url, unnest(t) as tag, generate_subscripts(t, 1) as place from outside
 ), split as (
   select rid, url, place, lower(regexp_extract(tag, '^<([A-Za-z]+)', 1)) as name, regexp_replace(tag, '^<[A-Za-z]+', '') as body from tags
 ), attributes as (
@@ -271,7 +339,7 @@ with recursive tags as (
     case when list_contains(n, 'href') then {attribute('href')} end as href,
     case when list_contains(n, 'http-equiv') then {attribute('http-equiv')} end as equiv,
     case when list_contains(n, 'content') then {attribute('content')} end as content
-  from attributes
+  from attributes, known
 ), bases as (
   select rid, arg_min(href, place) as base from elements where name = 'base' and href is not null group by rid
 ), wanted as (
