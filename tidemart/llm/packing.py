@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemart.llm.common import arrow_input, field, written
-from tidemart.llm.mixing import numbered
+from tidemart.operators.ranges import numbered
 
 #: Characters whose classes (letter, digit, space) no Unicode version disputes: Latin, Greek, Cyrillic, kana, Han and
 #: Hangul; other texts take the slower encoder.
@@ -193,8 +193,8 @@ def pack(
         return out
 
     if in_order:
-        placed = numbered(pieces.withColumnRenamed("_at", "_place").withColumn("_all", F.lit(0)), "_all", ["_file", "_place", "piece"])
-        dealt = placed.drop("_all", "_file", "_place").withColumn("_shard", F.expr(f"_n * {shards} div {max(1, count)}"))
+        placed = numbered(pieces.withColumnRenamed("_at", "_place"), "_n", ["_file", "_place", "piece"])
+        dealt = placed.drop("_file", "_place").withColumn("_shard", F.expr(f"_n * {shards} div {max(1, count)}"))
     else:
         dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("_at", "piece"), F.lit(shards)))
     return dealt.groupBy("_shard").applyInPandas(run, schema)
