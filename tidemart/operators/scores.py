@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemart.functions.columns import snake_name
 from tidemart.schemas import CANONICAL
+from tidemart.sources.scratch import stored
 
 # Thresholds of the scores.
 FILE_VALID, EVENT_VALID, MOSTLY_NULL = 70, 90, 50
@@ -159,7 +160,7 @@ def validate_raw(df: DataFrame, wanted: tuple[str, ...] = RAW_COLUMNS) -> DataFr
         ),
     ]
     if "sales" in has:
-        rate = iqr_outliers(df.select(number("sales").alias("sales")), "sales")
+        rate = iqr_outliers(stored(df.select(number("sales").alias("sales")), "sales"), "sales")  # which reads it several times
         out.append(_result(rate, stage, "outliers", F.col("outlier_rate") <= 0.1, 1 - F.col("outlier_rate"), "q1", "q3", "outlier_rate"))
     return _together(out)
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemart.functions import columns as c
+from tidemart.operators.quantiles import quantiles
 from tidemart.plans.registry import Warehouse
 
 
-
 def metrics() -> dict[str, Column]:
     """Aggregates by name; ratios are ratios of sums."""
     net, orders = c.money_sum("net_sales_amount"), F.countDistinct("sales_key")
@@ -151,12 +151,23 @@ def model_counts(w: Warehouse, *names: str) -> DataFrame:
 
 
 def iqr_outliers(df: DataFrame, column: str, times: float = 1.5) -> DataFrame:
-    """Quartiles by linear interpolation and how many values lie beyond ``times`` the range between them."""
-    q = df.agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
-    both = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).join(F.broadcast(q))  # one row
-    reach = times * (F.col("q3") - F.col("q1"))
-    out = (F.col("v") < F.col("q1") - reach) | (F.col("v") > F.col("q3") + reach)
-    return both.groupBy("q1", "q3").agg(F.count("*").alias("n"), F.count_if(out).alias("outliers")).withColumn("outlier_rate", F.col("outliers") / F.col("n"))
+    """Quartiles by linear interpolation and how many values lie beyond ``times`` the range between them.
+
+    The quartiles are exact and found in a few passes over the column (``quantiles``), no task sees all values. No row if
+    all is null.
+    """
+    v = F.col("v")
+    q1, q3 = quantiles(df, column, [0.25, 0.75])
+    values = df.select(F.col(column).alias("v")).where(v.isNotNull())
+    low, high = (F.lit(q).cast("double") for q in (q1, q3))
+    reach = times * (high - low)
+    out = values.agg(F.count("*").alias("n"), F.count_if((v < low - reach) | (v > high + reach)).alias("outliers")).where("n > 0")
+    return out.select(low.alias("q1"), high.alias("q3"), "n", "outliers", (F.col("outliers") / F.col("n")).alias("outlier_rate"))
+
+
+def quantile_table(df: DataFrame, column: str, *shares: float) -> DataFrame:
+    """A row for each share with the column's exact quantile."""
+    return df.sparkSession.createDataFrame(list(zip(shares, quantiles(df, column, list(shares)), strict=True)), "share double, value double")
 
 
 def for_reader(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:

@@ -32,7 +32,7 @@ MODELS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
     "fact_sales_daily": (("fact_sales",), lambda spark, s, fact: marts.fact_sales_daily(fact)),
 }
 
-#: Columns that the tables are sorted by when they are stored, so that readers can skip row groups.
+#: Columns that the tables are clustered by when they are stored, so that readers can skip files by any of them.
 CLUSTERED = {
     "dim_customer": ("customer_segment", "is_active"),
     "dim_product": ("category", "is_current"),

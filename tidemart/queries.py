@@ -12,6 +12,8 @@ from tidemart import busy, oracles
 from tidemart.config import DEFAULT
 from tidemart.operators import checks as q, scores, silver as ops
 from tidemart.operators.asof import as_of
+from tidemart.operators.curve import clustered
+from tidemart.operators.distinct import ERROR, estimates, followed, united
 from tidemart.operators.history import add_changes, history
 from tidemart.operators.merge import track_changes
 from tidemart.plans import marts, metrics as m, suites
@@ -152,6 +154,26 @@ def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history(points, "l_partkey", ("price_class",), DEFAULT.scd2_end)
 
 
+def distinct_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by month, exactly and whether the sketches of its days, kept from two batches that overlap, come near."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "o_custkey")
+    days = followed(None, orders.where("o_orderkey % 3 < 2"), ("o_orderdate",), "o_custkey")
+    days = followed(stored(days, "days"), orders.where("o_orderkey % 3 > 0"), ("o_orderdate",), "o_custkey")
+    month = lambda df: df.withColumn("month", F.trunc("o_orderdate", "month"))
+    near = estimates(united(month(days), ("month",), "o_custkey"), "o_custkey").withColumnRenamed("o_custkey", "estimate")
+    exact = month(orders).groupBy("month").agg(F.countDistinct("o_custkey").alias("customers"))
+    within = F.abs(F.col("estimate") - F.col("customers")) <= F.greatest(F.lit(1.0), F.col("customers") * ERROR)
+    return exact.join(near, "month").select("month", "customers", within.alias("sketch_within_bound"))
+
+
+def clustered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines, stored along a curve of day and part, by year and part class."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity")
+    kept = stored(clustered(lines, ["l_shipdate", "l_partkey"]), "curve")
+    by = kept.groupBy(F.year("l_shipdate").alias("ship_year"), (F.col("l_partkey") % 10).alias("part_class"))
+    return by.agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"), F.max("l_orderkey").alias("last_order"))
+
+
 FIRST_DAY, NEXT_DAY = date(2000, 1, 1), date(2001, 1, 1)
 
 
@@ -329,6 +351,16 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
         select q1, q3, count(*) as n, count(*) filter (where l_extendedprice < q1 - 1.5::double * (q3 - q1) or l_extendedprice > q3 + 1.5::double * (q3 - q1)) as outliers,
           count(*) filter (where l_extendedprice < q1 - 1.5::double * (q3 - q1) or l_extendedprice > q3 + 1.5::double * (q3 - q1)) / count(*) as outlier_rate
         from lineitem, q group by q1, q3"""),
+    "price_quantiles": (lambda s, d: m.quantile_table(table(s, d, "lineitem"), "l_extendedprice", 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0), """
+        with sorted as (select l_extendedprice as v, row_number() over (order by l_extendedprice) - 1 as k from lineitem where l_extendedprice is not null),
+        places as (select share, ((select count(*) from sorted) - 1) * share as pos from (select unnest([0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]::double[]) as share))
+        select share, case when low.v = high.v then low.v else (ceil(pos) - pos) * low.v + (pos - floor(pos)) * high.v end as value
+        from places join sorted low on low.k = floor(pos) join sorted high on high.k = ceil(pos)"""),
+    "distinct_customers": (distinct_customers, """
+        select cast(date_trunc('month', o_orderdate) as date) as month, count(distinct o_custkey) as customers, true as sketch_within_bound from orders group by 1"""),
+    "clustered_lines": (clustered_lines, """
+        select cast(year(l_shipdate) as int) as ship_year, l_partkey % 10 as part_class, count(*) as lines, sum(l_quantity) as quantity, max(l_orderkey) as last_order
+        from lineitem group by 1, 2"""),
     "recent_facts": (lambda s, d: marts.recent(star(s, d)["fact_sales"], "date_key"), f"""
         select * from fact_sales where date_key >= cast(strftime({oracles.AS_OF} - 30, '%Y%m%d') as int)"""),
     # streams

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemart.operators.curve import clustered
 from tidemart.plans.registry import CLUSTERED, Warehouse, build_order
 
 VIEWS = ("stg_sales", "stg_customers", "stg_products", "int_sales_unified")
@@ -69,7 +70,7 @@ def append_jdbc(df: DataFrame, url: str, name: str, connections: int = CONNECTIO
 
 
 def store(w: Warehouse, root: str, names: list[str] | None = None) -> dict[str, str]:
-    """Rebuild models as tables under ``root``, sorted by their clustering columns; staging stays a view."""
+    """Rebuild models as tables under ``root``, clustered by all their clustering columns at once; staging stays a view."""
     out = {}
     for name in build_order():
         if names is not None and name not in names:
@@ -79,7 +80,7 @@ def store(w: Warehouse, root: str, names: list[str] | None = None) -> dict[str,
             continue
         df, path = w[name], f"{root.rstrip('/')}/{name}"
         if by := CLUSTERED.get(name):
-            df = df.repartitionByRange(*by).sortWithinPartitions(*by)
+            df = clustered(df, list(by))
         df.write.mode("overwrite").parquet(path)
         w.made[name] = w.spark.read.parquet(path)
         out[name] = path
