@@ -108,6 +108,18 @@ def percent_of(part: Name, whole: Name) -> Column:
     return F.round((100 * col(part).cast("decimal(18,4)") / F.nullif(col(whole), F.lit(0))).cast("decimal(18,6)"), 2).cast("double")
 
 
+def number_text(x: Name) -> Column:
+    """A double as text: the fewest digits that read back as it, plain from 0.0001 up to 1e16, else as ``1.5e-07``.
+
+    A cast would write 36000000 as ``3.6E7``. Not for NaN or infinity; beyond 1e16 the last digit may be one off.
+    """
+    v = col(x).cast("double")
+    written = F.array(*[F.format_string(f"%.{digits}e", v) for digits in range(17)])
+    short = F.try_element_at(F.filter(written, lambda w: w.try_cast("double") == v), F.lit(1))
+    plain = F.regexp_replace(F.regexp_replace(short.try_cast("decimal(38,20)").cast("string"), "0+$", ""), r"\.$", ".0")
+    return F.when(v == 0, "0.0").when((F.abs(v) >= 1e-4) & (F.abs(v) < 1e16), plain).otherwise(short)
+
+
 # -- labels and scores
 
 

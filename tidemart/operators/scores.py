@@ -5,9 +5,9 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemart.functions.columns import snake_name
+from tidemart.functions.columns import number_text, snake_name
 from tidemart.schemas import CANONICAL
 from tidemart.sources.scratch import stored
 
@@ -105,13 +105,23 @@ def quarantine_record(spark: SparkSession, path: str, reason: str, score: float,
 RESULT = "stage string, check_name string, passed boolean, score double, details string"
 
 
+def _details(facts: DataFrame, names: tuple[str, ...]) -> Column:
+    """The facts named as JSON without nulls; numbers are written without exponents of Java's kind."""
+    kinds = dict(facts.dtypes)
+    # what JSON cannot say of a number, NaN or infinity, is quoted
+    number = lambda n: F.when(F.isnan(n) | (F.abs(n) == float("inf")), F.concat(F.lit('"'), F.col(n).cast("string"), F.lit('"'))).otherwise(number_text(n))
+    value = lambda n: number(n) if kinds[n] == "double" else F.col(n).cast("string")
+    parts = F.array_compact(F.array(*[F.concat(F.lit(f'"{n}":'), value(n)) for n in names]))
+    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+
+
 def _result(facts: DataFrame, stage: str, name: str, passed, score, *details: str) -> DataFrame:
     return facts.select(
         F.lit(stage).alias("stage"),
         F.lit(name).alias("check_name"),
         F.coalesce(passed, F.lit(False)).alias("passed"),
         F.coalesce(score.cast("double"), F.lit(0.0)).alias("score"),
-        F.to_json(F.struct(*details)).alias("details"),
+        _details(facts, details).alias("details"),
     )
 
 
