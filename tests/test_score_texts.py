@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import number_text
 from tidemart.operators import scores
+from tidemart.plans.metrics import iqr_outliers
 
 
 def test_numbers_are_written_as_duckdb_writes_them(spark, duck):
@@ -23,3 +24,11 @@ def test_rates_of_any_size_are_plain(spark, seconds, rate):
     after = before.select("order_id", *[F.lit(1.0).alias(c) for c in ("customer_id", "product_id", "unit_price", "quantity", "sales")])
     found = {r.check_name: r.details for r in scores.validate_etl(before, after, seconds).collect()}
     assert found["throughput"] == f'{{"rate":{rate}}}' and found["retention"] == '{"rows_in":36,"rows_out":36}'
+
+
+@pytest.mark.parametrize("values", [(31869.35, 31869.39), (94118.55, 94118.58), (63896.36, 63897.16), (float("-inf"), float("inf"))])
+def test_quartiles_have_the_last_digit_of_the_sql(spark, duck, values):
+    sales = spark.createDataFrame([(v,) for v in values], "sales double")
+    row = iqr_outliers(sales, "sales").select(number_text("q1").alias("a"), number_text("q3").alias("b")).first()
+    if values[1] < float("inf"):
+        assert tuple(row) == duck.execute("select cast(quantile_cont(v, 0.25) as varchar), cast(quantile_cont(v, 0.75) as varchar) from (select unnest(?::double[]) as v)", [values]).fetchone()

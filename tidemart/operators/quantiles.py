@@ -79,9 +79,12 @@ def select_ranks(df: DataFrame, column: str, ranks: list[int], rows: int) -> dic
     return out
 
 
-def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
+def quantiles(df: DataFrame, column: str, shares: list[float], one_rounding: bool = False) -> list[float | None]:
     """The quantiles of a numeric column by linear interpolation, as ``percentile`` gives them; None if all is null.
 
+    With ``one_rounding`` the lower value's part is added to the upper's before it is rounded, as ``quantile_cont`` does:
+    the results differ by a last digit at most.
+
     NaN is above all numbers, zeros have no sign. ``df`` is read about seven times whatever its size, one column of it; store it if it is
     dear to make.
     """
@@ -95,6 +98,10 @@ def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | N
     def between(place: float) -> float:
         down, up = math.floor(place), math.ceil(place)
         low, high = found[down], found[up]
-        return low if down == up or low == high else (up - place) * low + (place - down) * high
+        if down == up or low == high:
+            return low
+        if one_rounding and math.isfinite(low) and math.isfinite(high):
+            return math.fma(low, up - place, (place - down) * high)
+        return (up - place) * low + (place - down) * high
 
     return [between(p) for p in places]

@@ -157,7 +157,7 @@ def iqr_outliers(df: DataFrame, column: str, times: float = 1.5) -> DataFrame:
     all is null.
     """
     v = F.col("v")
-    q1, q3 = quantiles(df, column, [0.25, 0.75])
+    q1, q3 = quantiles(df, column, [0.25, 0.75], one_rounding=True)
     values = df.select(F.col(column).alias("v")).where(v.isNotNull())
     low, high = (F.lit(q).cast("double") for q in (q1, q3))
     reach = times * (high - low)
