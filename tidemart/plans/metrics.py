@@ -9,12 +9,16 @@ from tidemart.operators.quantiles import quantiles
 from tidemart.plans.registry import Warehouse
 
 
-def metrics() -> dict[str, Column]:
-    """Aggregates by name; ratios are ratios of sums."""
-    net, orders = c.money_sum("net_sales_amount"), F.countDistinct("sales_key")
+def metrics(unique: bool = False) -> dict[str, Column]:
+    """Aggregates by name; ratios are ratios of sums.
+
+    ``unique``: each row is a sale of its own, as in the fact, so rows are counted and no key is dealt to be told apart.
+    """
+    net, sales = c.money_sum("net_sales_amount"), F.count(F.lit(1) if unique else "sales_key")
+    orders = sales if unique else F.countDistinct("sales_key")
     return {
         "profit_margin": c.money_sum("profit_amount") / F.nullif(net, F.lit(0.0)),
-        "average_order_value": net / F.count("sales_key"),
+        "average_order_value": net / sales,
         "discount_rate": c.money_sum("discount_amount") / F.nullif(c.money_sum("gross_sales_amount"), F.lit(0.0)),
         "units_per_order": F.sum("quantity_sold") / orders,
         "total_orders": orders,
@@ -41,13 +45,13 @@ def star(w: Warehouse, *with_: str) -> DataFrame:
     return out
 
 
-def kpis(sales: DataFrame, *by: str) -> DataFrame:
-    return (sales.groupBy(*by) if by else sales.groupBy()).agg(*[m.alias(n) for n, m in metrics().items()])
+def kpis(sales: DataFrame, *by: str, unique: bool = False) -> DataFrame:
+    return (sales.groupBy(*by) if by else sales.groupBy()).agg(*[m.alias(n) for n, m in metrics(unique).items()])
 
 
-def drill_down(sales: DataFrame, hierarchy: str, levels: int) -> DataFrame:
+def drill_down(sales: DataFrame, hierarchy: str, levels: int, unique: bool = False) -> DataFrame:
     by = HIERARCHIES[hierarchy][:levels]
-    return kpis(sales, *by)
+    return kpis(sales, *by, unique=unique)
 
 
 def roll_up(sales: DataFrame, hierarchy: str, levels: int = 2) -> DataFrame:
@@ -97,8 +101,8 @@ def tier_summary(customers: DataFrame) -> DataFrame:
     return customers.groupBy("customer_value_tier", "recency_segment").agg(F.count("*").alias("customers"), c.money_sum("total_spent").alias("spent"))
 
 
-def segment_summary(sales: DataFrame) -> DataFrame:
-    return kpis(sales, "customer_segment")
+def segment_summary(sales: DataFrame, unique: bool = False) -> DataFrame:
+    return kpis(sales, "customer_segment", unique=unique)
 
 
 def shipping_cost(stg: DataFrame) -> DataFrame:

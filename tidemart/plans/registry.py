@@ -67,10 +67,14 @@ class Warehouse:
         self.models = MODELS | (models or {})
         self.made: dict[str, DataFrame] = {"silver": silver}
 
-    def together(self, *names: str) -> None:
-        """Write models that do not read each other at the same time, so that small jobs share the executors."""
+    def together(self, *names: str, small: bool = True) -> None:
+        """Write models that do not read each other at the same time, so that small jobs share the executors; if they are
+        not ``small``, one after the other, so that what one shuffled is gone when the next begins."""
         plans = {n: self._plan(n) for n in names if n not in self.made}
-        if plans:
+        if not small:
+            for name, df in plans.items():
+                self.made[name] = stored(df, name)
+        elif plans:
             with ThreadPoolExecutor(len(plans)) as pool:
                 self.made |= zip(plans, pool.map(lambda item: stored(item[1], item[0]), plans.items()), strict=True)
 
