@@ -5,8 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import rows_of
+
 from tidemart import busy, queries
 from tidemart.operators import silver as ops
+from tidemart.plans import staging
 from tidemart.sources import scratch
 
 
@@ -47,3 +50,38 @@ def test_tables_that_follow_leave_no_scratch(spark, sf_dir, tmp_path, monkeypatc
     monkeypatch.setattr(busy, "_made", {})
     busy.followed(spark, sf_dir)
     assert [p.name.split("-")[0] for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["gold"]
+
+
+def test_stored_sales_of_odd_tables_are_those_of_silver(spark, sf_dir, tmp_path):
+    """Rows of one source row that name several parts, some not there; repeated parts, customers and orders; lost customers."""
+    t = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    lines, key = t("lineitem").where("l_orderkey % 10 = 1"), F.col("l_orderkey")
+    later = lines.withColumns({"l_partkey": F.when(key % 3 == 0, -1).otherwise(F.col("l_partkey") + 1), "l_shipdate": F.expr("l_shipdate + interval 400 days")})
+    orders, people, part = t("orders"), t("customer").where("c_custkey % 7 <> 0"), t("part")
+    odd = {
+        "lineitem": lines.unionByName(later.select(*[F.col(c).cast(kind) for c, kind in lines.dtypes])),
+        "orders": orders.unionByName(orders.where("o_orderkey % 4 = 1").withColumn("o_custkey", F.lit(-1).cast(orders.schema["o_custkey"].dataType))),
+        "customer": people.unionByName(people.where("c_custkey % 2 = 0").withColumn("c_name", F.lit("zz"))),
+        "part": part.unionByName(part.where("p_partkey % 2 = 0").withColumns({"p_type": F.lower("p_type"), "p_name": F.lit("a")})),
+        "nation": t("nation"),
+        "region": t("region"),
+    }
+    for name, df in odd.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    want = rows_of(queries.silver(spark, str(tmp_path)).select(*staging.READ))
+    assert len(want) > 100 and rows_of(queries.kept(spark, str(tmp_path))) == want
+
+
+def joins(df) -> int:
+    return len(re.findall(r"SortMergeJoin|ShuffledHashJoin", plan(df).split("== Initial Plan ==")[-1]))
+
+
+def test_reports_join_and_deal_what_they_read(spark, sf_dir, unbroadcast):
+    """The date, the product and the place decide what counts; no key is dealt to be told apart, no dimension met unread."""
+    found = queries.QUERIES["kpis"](spark, sf_dir)
+    assert joins(found) <= 3 and "sales_key" not in plan(found)
+    assert joins(queries.QUERIES["top_products"](spark, sf_dir)) <= 4
+
+
+def test_checks_of_versions_read_them_stored(spark, sf_dir):
+    assert "l_extendedprice" not in plan(queries.QUERIES["check_scd2"](spark, sf_dir))
