@@ -9,7 +9,8 @@ from conftest import rows_of
 
 from tidemart import busy, queries
 from tidemart.operators import silver as ops
-from tidemart.plans import staging
+from tidemart.plans import marts, staging
+from tidemart.plans.registry import Warehouse
 from tidemart.sources import scratch
 
 
@@ -85,3 +86,10 @@ def test_reports_join_and_deal_what_they_read(spark, sf_dir, unbroadcast):
 
 def test_checks_of_versions_read_them_stored(spark, sf_dir):
     assert "l_extendedprice" not in plan(queries.QUERIES["check_scd2"](spark, sf_dir))
+
+
+def test_joins_of_the_fact_do_not_carry_what_follows(spark, sf_dir, unbroadcast):
+    w = Warehouse(spark, queries.silver(spark, sf_dir))
+    found = plan(marts.fact_for_reports(*[w[t] for t in queries.DIMENSIONS[:1]], w["dim_date"], *[w["int_product_scd2"].withColumn("product_key", F.col("product_id"))], w["int_store_scd2"].withColumn("store_key", F.col("store_id"))))
+    above, below = found.split("SortMergeJoin", 1)
+    assert "MORNING" in above and "MORNING" not in below
