@@ -10,7 +10,7 @@ from conftest import rows_of, same_as_sql
 from tidemart import busy, queries
 from tidemart.operators import ranges, silver as ops
 from tidemart.operators.keys import ranged_keys
-from tidemart.plans import marts, staging, suites
+from tidemart.plans import marts, registry, staging, suites
 from tidemart.plans.registry import Warehouse
 from tidemart.sources import adapter, scratch
 
@@ -174,3 +174,18 @@ def test_suites_write_what_they_read(spark, sf_dir):
     """No hash of each sale, which hardly compresses."""
     fact = queries.suite_tables(spark, sf_dir)["fact_sales"]
     assert "sales_key" not in fact.columns and {"date_key", "product_key", "store_key", "net_sales_amount"} < set(fact.columns)
+
+
+def test_shares_of_groups_are_those_of_all(spark, sf_dir, duck, monkeypatch):
+    """Of large tables products are grouped a share at a time: a condition on the key reaches the lines below the groups."""
+    monkeypatch.setattr(adapter, "SLICE_BYTES", adapter.size_of(adapter.table(spark, sf_dir, "lineitem")) // 3 + 1)
+    written, write = {}, registry.stored_parts
+
+    def count(parts, label, root=None):
+        written[label] = list(parts)
+        return write(written[label], label, root)
+
+    monkeypatch.setattr(registry, "stored_parts", count)
+    same_as_sql(queries.QUERIES["check_scd2"](spark, sf_dir), duck, queries.ORACLES["check_scd2"])
+    found = [plan(x).split("== Initial Plan ==")[-1] for x in written["int_product_scd2"]]
+    assert len(found) == 2 and all("xxhash64" in x.split("HashAggregate")[-1] for x in found)

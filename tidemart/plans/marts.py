@@ -10,7 +10,7 @@ from tidemart.config import DEFAULT, Settings
 from tidemart.functions import columns as c
 from tidemart.operators.keys import dense_keys, ranged_keys
 from tidemart.plans.intermediate import derived
-from tidemart.sources.scratch import stored
+from tidemart.sources.scratch import shares, stored, stored_parts
 
 # Holidays by month and day.
 HOLIDAYS = ((1, 1, "New Year's Day"), (7, 4, "Independence Day"), (12, 25, "Christmas Day"))
@@ -73,19 +73,21 @@ def blank(kind: str, *names: str) -> list[Column]:
     return [F.lit(None).cast(kind).alias(n) for n in names]
 
 
-def keyed(df: DataFrame, name: str, order: list[str], dense: bool, only: tuple[str, ...] | None = None) -> DataFrame:
+def keyed(df: DataFrame, name: str, order: list[str], dense: bool, only: tuple[str, ...] | None = None, parts: int = 1) -> DataFrame:
     """A dimension with keys 1..N in the order given, or (not ``dense``) with the ordering columns themselves as key.
 
     The rows are written before they are numbered, as finding the ranges reads them once more. ``only``: the columns that
-    are read, if not all.
+    are read, if not all. ``parts``: in how many shares, by the first column of the order, rows are made and written.
     """
     df = df.select(*only) if only else df
     if dense:
-        return ranged_keys(stored(df, name), name, order)
+        return ranged_keys(stored_parts((df.where(x) for x in shares(F.col(order[0]), parts)), name), name, order)
     return df.select(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).alias(name), "*")
 
 
-def dim_product(versions: DataFrame, settings: Settings = DEFAULT, dense: bool = True, only: tuple[str, ...] | None = None) -> DataFrame:
+def dim_product(
+    versions: DataFrame, settings: Settings = DEFAULT, dense: bool = True, only: tuple[str, ...] | None = None, parts: int = 1
+) -> DataFrame:
     office = ["OFFICE_SUPPLIES"] + (["OFFICE SUPPLIES"] if settings.office_with_space else [])
     family = F.when(F.col("category").isin("TECHNOLOGY", "ELECTRONICS"), "HIGH_TECH").when(F.col("category").isin("FURNITURE", *office), "TRADITIONAL").otherwise("OTHER")
     markup = c.ratio(F.col("unit_price"), F.col("unit_cost"))
@@ -97,10 +99,12 @@ def dim_product(versions: DataFrame, settings: Settings = DEFAULT, dense: bool =
         c.bucket(markup, [(3, "HIGH_MARKUP"), (2, "MEDIUM_MARKUP"), (1.5, "LOW_MARKUP")], "MINIMAL_MARKUP", below=False).alias("markup_category"),
         "data_quality_score", "ingestion_timestamp", "created_at", "updated_at",
     )
-    return keyed(out, "product_key", ["product_id", "effective_date"], dense, only)
+    return keyed(out, "product_key", ["product_id", "effective_date"], dense, only, parts)
 
 
-def dim_store(versions: DataFrame, settings: Settings = DEFAULT, dense: bool = True, only: tuple[str, ...] | None = None) -> DataFrame:
+def dim_store(
+    versions: DataFrame, settings: Settings = DEFAULT, dense: bool = True, only: tuple[str, ...] | None = None, parts: int = 1
+) -> DataFrame:
     age = c.years_between("opening_date", F.lit(settings.as_of))
     kind, region = F.col("store_type"), F.col("region")
     out = versions.where(F.col("is_valid_record") & (F.col("data_quality_score") >= 80)).select(
@@ -113,11 +117,12 @@ def dim_store(versions: DataFrame, settings: Settings = DEFAULT, dense: bool = T
         c.bucket(age, [(1, "RAMP_UP"), (3, "GROWTH"), (10, "MATURE")], "LEGACY").alias("lifecycle_stage"),
         "data_quality_score", "ingestion_timestamp", "created_at", "updated_at",
     )
-    return keyed(out, "store_key", ["store_id", "effective_date"], dense, only)
+    return keyed(out, "store_key", ["store_id", "effective_date"], dense, only, parts)
 
 
 def dim_customer(
-    unified: DataFrame, settings: Settings = DEFAULT, dense: bool = True, only: tuple[str, ...] | None = None, names: DataFrame | None = None
+    unified: DataFrame, settings: Settings = DEFAULT, dense: bool = True, only: tuple[str, ...] | None = None, names: DataFrame | None = None,
+    parts: int = 1,
 ) -> DataFrame:
     """Customers with their newest place and recency, frequency and value segments; one aggregation of the sales.
 
@@ -171,7 +176,7 @@ def dim_customer(
         _now(settings).alias("created_at"),
         _now(settings).alias("updated_at"),
     )
-    return keyed(out, "customer_key", ["customer_id"], dense, only)
+    return keyed(out, "customer_key", ["customer_id"], dense, only, parts)
 
 
 FACT = (

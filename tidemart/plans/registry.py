@@ -6,11 +6,11 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from graphlib import TopologicalSorter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.config import DEFAULT, Settings
 from tidemart.plans import intermediate as mid, marts, staging
-from tidemart.sources.scratch import stored
+from tidemart.sources.scratch import shares, stored_parts
 
 #: name: (what it reads, how it is made from (spark, settings, *what it reads))
 MODELS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
@@ -32,6 +32,11 @@ MODELS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
     "fact_sales_daily": (("fact_sales",), lambda spark, s, fact: marts.fact_sales_daily(fact)),
 }
 
+#: Of models that are made by grouping sales, the key by which they may be made a share at a time.
+GROUPED = {
+    "int_product_scd2": "product_id", "int_store_scd2": "store_id", "dim_product": "product_id", "dim_store": "store_id", "dim_customer": "customer_id",
+}
+
 #: Columns that the tables are clustered by when they are stored, so that readers can skip files by any of them.
 CLUSTERED = {
     "dim_customer": ("customer_segment", "is_active"),
@@ -51,7 +56,8 @@ class Warehouse:
     """The models over one cleaned table, each planned once.
 
     ``keep``: models to hold in memory; ``store``: models to write to the shared folder when they are first read, for
-    those that several others are made from; ``models``: other ways to make some. Nothing is made that nobody reads.
+    those that several others are made from; ``models``: other ways to make some; ``parts``: in how many shares to make and
+    write models that group sales. Nothing is made that nobody reads.
     """
 
     def __init__(
@@ -62,10 +68,12 @@ class Warehouse:
         keep: tuple[str, ...] = (),
         store: tuple[str, ...] = (),
         models: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] | None = None,
+        parts: int = 1,
     ):
         self.spark, self.settings, self.keep, self.store = spark, settings, keep, store
         self.models = MODELS | (models or {})
         self.made: dict[str, DataFrame] = {"silver": silver}
+        self.parts = parts
 
     def together(self, *names: str, small: bool = True) -> None:
         """Write models that do not read each other at the same time, so that small jobs share the executors; if they are
@@ -73,20 +81,26 @@ class Warehouse:
         plans = {n: self._plan(n) for n in names if n not in self.made}
         if not small:
             for name, df in plans.items():
-                self.made[name] = stored(df, name)
+                self.made[name] = self.written(name, df)
         elif plans:
             with ThreadPoolExecutor(len(plans)) as pool:
-                self.made |= zip(plans, pool.map(lambda item: stored(item[1], item[0]), plans.items()), strict=True)
+                self.made |= zip(plans, pool.map(lambda item: self.written(*item), plans.items()), strict=True)
 
     def _plan(self, name: str) -> DataFrame:
         reads, make = self.models[name]
         return make(self.spark, self.settings, *[self[r] for r in reads])
 
+    def written(self, name: str, df: DataFrame | None = None) -> DataFrame:
+        """A model, or some columns of it with its key, written share by share."""
+        df = self[name] if df is None else df
+        parts = shares(F.col(GROUPED[name]), self.parts) if name in GROUPED else [F.lit(True)]
+        return stored_parts((df.where(x) for x in parts), name)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.made:
             df = self._plan(name)
             if name in self.store:
-                df = stored(df, name)
+                df = self.written(name, df)
             self.made[name] = df.persist() if name in self.keep else df
         return self.made[name]
 
