@@ -189,3 +189,12 @@ def test_shares_of_groups_are_those_of_all(spark, sf_dir, duck, monkeypatch):
     same_as_sql(queries.QUERIES["check_scd2"](spark, sf_dir), duck, queries.ORACLES["check_scd2"])
     found = [plan(x).split("== Initial Plan ==")[-1] for x in written["int_product_scd2"]]
     assert len(found) == 2 and all("xxhash64" in x.split("HashAggregate")[-1] for x in found)
+
+
+def test_sales_are_summed_as_they_meet_their_products(spark, sf_dir, duck, tmp_path, monkeypatch):
+    """Of large tables too no fact is written, nor dealt by product once more."""
+    monkeypatch.setattr(adapter, "SLICE_BYTES", adapter.size_of(adapter.table(spark, sf_dir, "lineitem")) // 3 + 1)
+    monkeypatch.setitem(scratch._owned, spark.sparkContext.applicationId, [f"file://{tmp_path}"])
+    same_as_sql(queries.QUERIES["drill_down_products"](spark, sf_dir), duck, queries.ORACLES["drill_down_products"])
+    found = {p.name.split("-")[0] for p in tmp_path.iterdir()}
+    assert "sums" in found and "fact" not in found

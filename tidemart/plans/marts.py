@@ -204,7 +204,7 @@ CARRIED = (
 
 
 def sales_with_keys(
-    unified: DataFrame, dates: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame | None = None
+    unified: DataFrame, dates: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame | None = None, told: tuple[str, ...] = ()
 ) -> DataFrame:
     """Sales with dimension keys: those with a date, a product and a store valid on that day, and a score of 80 or more.
 
@@ -212,10 +212,10 @@ def sales_with_keys(
     needs no join. Which sides are small enough to broadcast is left to the sizes Spark knows. Without ``customers`` the
     id is the customer's key: every sale that gets here makes its customer a row of that dimension. Stores are the
     customers' places under the customers' ids, so the keys of both are put together first and sales meet them once. What
-    follows from other columns is left out, as these rows are dealt by each key.
+    follows from other columns is left out, as these rows are dealt by each key. ``told``: what products say besides.
     """
     s = unified.where("data_quality_score >= 80").select(*CARRIED)
-    p = products.where("is_current").select("product_id", "product_key", F.col("effective_date").alias("p0"), F.col("expiration_date").alias("p1"))
+    p = products.where("is_current").select("product_id", "product_key", F.col("effective_date").alias("p0"), F.col("expiration_date").alias("p1"), *told)
     t = stores.where("is_current").select("store_id", "store_key", F.col("effective_date").alias("t0"), F.col("expiration_date").alias("t1"))
     if customers is not None:
         t = t.join(customers.select(F.col("customer_id").alias("store_id"), "customer_key"), "store_id", "left")
@@ -228,9 +228,9 @@ def sales_with_keys(
     return joined.withColumn("customer_key", F.nullif("store_id", F.lit(""))) if customers is None else joined
 
 
-def fact_sales_unkeyed(*tables: DataFrame) -> DataFrame:
+def fact_sales_unkeyed(*tables: DataFrame, told: tuple[str, ...] = ()) -> DataFrame:
     """The fact without a number (see ``sales_with_keys``)."""
-    return sales_with_keys(*tables).withColumns(derived()).withColumns(measures()).select("unified_sales_key", *FACT)
+    return sales_with_keys(*tables, told=told).withColumns(derived()).withColumns(measures()).select("unified_sales_key", *FACT, *told)
 
 
 def measures() -> dict[str, Column]:
@@ -276,12 +276,12 @@ def fact_sales(*tables: DataFrame, in_one_task: bool = False, slices: list[Colum
     return keyed.withColumns({x: v for x, v in derived().items() if x not in key}).withColumns(measures()).select("sales_key", *FACT)
 
 
-def fact_for_reports(*tables: DataFrame) -> DataFrame:
+def fact_for_reports(*tables: DataFrame, told: tuple[str, ...] = ()) -> DataFrame:
     """The fact with the unified key, unique too, as ``sales_key``: for readers that only count it.
 
     Nothing is sorted, numbered or written, and columns that a reader does not use are pruned to the sources.
     """
-    return fact_sales_unkeyed(*tables).withColumnRenamed("unified_sales_key", "sales_key")
+    return fact_sales_unkeyed(*tables, told=told).withColumnRenamed("unified_sales_key", "sales_key")
 
 
 def fact_sales_daily(fact: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemart.functions import columns as c
 from tidemart.operators.quantiles import quantiles
 from tidemart.plans.registry import Warehouse
+from tidemart.sources.scratch import stored_parts
 
 
 def metrics(unique: bool = False) -> dict[str, Column]:
@@ -14,13 +17,17 @@ def metrics(unique: bool = False) -> dict[str, Column]:
 
     ``unique``: each row is a sale of its own, as in the fact, so rows are counted and no key is dealt to be told apart.
     """
-    net, sales = c.money_sum("net_sales_amount"), F.count(F.lit(1) if unique else "sales_key")
-    orders = sales if unique else F.countDistinct("sales_key")
+    sales = F.count(F.lit(1) if unique else "sales_key")
+    return _metrics(c.money_sum, F.sum("quantity_sold"), sales, sales if unique else F.countDistinct("sales_key"))
+
+
+def _metrics(money: Callable[[str], Column], units: Column, sales: Column, orders: Column) -> dict[str, Column]:
+    net = money("net_sales_amount")
     return {
-        "profit_margin": c.money_sum("profit_amount") / F.nullif(net, F.lit(0.0)),
+        "profit_margin": money("profit_amount") / F.nullif(net, F.lit(0.0)),
         "average_order_value": net / sales,
-        "discount_rate": c.money_sum("discount_amount") / F.nullif(c.money_sum("gross_sales_amount"), F.lit(0.0)),
-        "units_per_order": F.sum("quantity_sold") / orders,
+        "discount_rate": money("discount_amount") / F.nullif(money("gross_sales_amount"), F.lit(0.0)),
+        "units_per_order": units / orders,
         "total_orders": orders,
     }
 
@@ -49,6 +56,15 @@ def kpis(sales: DataFrame, *by: str, unique: bool = False) -> DataFrame:
     return (sales.groupBy(*by) if by else sales.groupBy()).agg(*[m.alias(n) for n, m in metrics(unique).items()])
 
 
+def kpis_of_parts(parts: Iterable[DataFrame], *by: str) -> DataFrame:
+    """``kpis`` of sales that come in parts, each row a sale of its own: the sums of each part are written, then added."""
+    money = ("net_sales_amount", "profit_amount", "discount_amount", "gross_sales_amount")
+    sums = [F.sum(F.col(x).cast("decimal(18,4)")).alias(x) for x in money] + [F.sum("quantity_sold").alias("units"), F.count(F.lit(1)).alias("sales")]
+    found = stored_parts((part.groupBy(*by).agg(*sums) for part in parts), "sums")
+    added = _metrics(lambda x: F.sum(x).cast("double"), F.sum("units"), F.sum("sales"), F.sum("sales"))
+    return found.groupBy(*by).agg(*[v.alias(n) for n, v in added.items()])
+
+
 def drill_down(sales: DataFrame, hierarchy: str, levels: int, unique: bool = False) -> DataFrame:
     by = HIERARCHIES[hierarchy][:levels]
     return kpis(sales, *by, unique=unique)
