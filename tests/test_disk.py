@@ -198,3 +198,25 @@ def test_sales_are_summed_as_they_meet_their_products(spark, sf_dir, duck, tmp_p
     same_as_sql(queries.QUERIES["drill_down_products"](spark, sf_dir), duck, queries.ORACLES["drill_down_products"])
     found = {p.name.split("-")[0] for p in tmp_path.iterdir()}
     assert "sums" in found and "fact" not in found
+
+
+def test_slices_are_made_once_and_then_deleted(spark, tmp_path, monkeypatch):
+    """Rows are written before they are dealt to ranges, so the sample that finds these does not make them again."""
+    monkeypatch.setitem(scratch._owned, spark.sparkContext.applicationId, [f"file://{tmp_path}"])
+    made = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for x in rows:
+            made.add(len(x))
+            yield x
+
+    df = spark.range(300).select(F.col("id").alias("n")).mapInPandas(count, "n long")
+    found = ranges.ranged(df, ["n"], slices=[F.col("n") < 100, F.col("n") >= 100])
+    assert [r.n for r in found.orderBy("_at").collect()] == list(range(300)) and made.value == 600
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"ranges"} and not list(tmp_path.glob("slice-*/*"))
+
+
+def test_joins_of_the_fact_carry_no_amount_that_follows(spark, sf_dir):
+    w = queries.sold(spark, sf_dir)
+    found = marts.sales_with_keys(w["int_sales_unified"], w["dim_date"], *[w[f"int_{d}_scd2"].withColumn(f"{d}_key", F.lit(1)) for d in ("product", "store")])
+    assert not {"net_amount", "unit_price", "discount_amount"} & set(found.columns)

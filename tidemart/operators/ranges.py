@@ -8,11 +8,12 @@ that break ties.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemart.sources.scratch import stored_parts
+from tidemart.sources.scratch import delete, shared_dir, stored, stored_parts
 
 
 def named(columns: list[str]) -> list[Column]:
@@ -29,7 +30,8 @@ def ranged(
 ) -> DataFrame:
     """The rows in order: ``_part`` numbers the range, ``_at`` rises along the whole order (with gaps between ranges).
 
-    ``slices``: conditions that follow each other in the order; the rows of one at a time are dealt and written.
+    ``slices``: conditions that follow each other in the order; the rows of one at a time are made and written, then dealt:
+    what making them shuffled is gone by then, and finding the ranges does not make them again.
     ``without``: columns of the order that are not written, as nobody reads them.
     """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -38,8 +40,14 @@ def ranged(
         at = F.monotonically_increasing_id() + F.lit(first * ranges << 33).cast("long")
         return rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", at).drop(*without)
 
-    parts = [dealt(df.where(some), i) for i, some in enumerate(slices)] if slices else [dealt(df, 0)]
-    return stored_parts(parts, "ranges").withColumn("_part", F.shiftright("_at", 33))
+    def kept(rows: DataFrame, first: int) -> DataFrame:
+        made = f"{shared_dir(rows.sparkSession)}/slice-{uuid.uuid4().hex}"
+        out = stored_parts([dealt(stored(rows, "rows", made), first)], "ranges")
+        delete(rows.sparkSession, made)
+        return out
+
+    parts = [kept(df.where(some), i) for i, some in enumerate(slices)] if slices else [stored_parts([dealt(df, 0)], "ranges")]
+    return reduce(DataFrame.unionByName, parts).withColumn("_part", F.shiftright("_at", 33))
 
 
 def numbered(
