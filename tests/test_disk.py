@@ -227,3 +227,22 @@ def test_checks_of_some_days_write_keys_of_dimensions_only(spark, sf_dir, duck,
     monkeypatch.setitem(scratch._owned, spark.sparkContext.applicationId, [f"file://{tmp_path}"])
     same_as_sql(queries.QUERIES[query](spark, sf_dir), duck, queries.ORACLES[query])
     assert not {"int_product_scd2", "int_store_scd2"} & {p.name.split("-")[0] for p in tmp_path.iterdir()}
+
+
+def test_keys_are_never_broadcast(spark, sf_dir):
+    """Millions of keys are a few megabytes in files, and too much for the driver that builds their table."""
+    t = lambda name: adapter.table(spark, sf_dir, name)
+    found = adapter.lost(t("lineitem"), "l_partkey", t("part"), "p_partkey")
+    assert "Broadcast" not in plan(found) and found.isEmpty()
+    assert adapter.lost(t("lineitem"), "l_partkey", t("part").where("p_partkey % 2 = 0"), "p_partkey").where("l_partkey % 2 = 0").isEmpty()
+
+
+def test_days_are_broadcast_and_products_of_large_tables_are_not(spark, sf_dir, duck, tmp_path, monkeypatch):
+    """Sales meet their days where they lie; products and stores, of which only what reports read is written, are merged."""
+    monkeypatch.setattr(adapter, "SLICE_BYTES", adapter.size_of(adapter.table(spark, sf_dir, "lineitem")) // 3 + 1)
+    w = queries.reports(spark, sf_dir, written=False, told=True)
+    found = plan(marts.fact_for_reports(*[w[x] for x in queries.DIMENSIONS[:-1]]))
+    assert found.count("SortMergeJoin") == 2 and "hashpartitioning(sale_date" not in found
+    assert not {"unit_price", "product_family"} & set(w["dim_product"].columns) and "store_name" not in w["dim_store"].columns
+    for name in ("drill_down_dates", "drill_down_places", "top_products", "bottom_products"):
+        same_as_sql(queries.QUERIES[name](spark, sf_dir), duck, queries.ORACLES[name])

@@ -230,7 +230,7 @@ def sales_with_keys(
     if customers is not None:
         t = t.join(customers.select(F.col("customer_id").alias("store_id"), "customer_key"), "store_id", "left")
     joined = (
-        s.join(dates.select(F.col("date_value").alias("sale_date"), "date_key"), "sale_date")
+        s.join(F.broadcast(dates.select(F.col("date_value").alias("sale_date"), "date_key")), "sale_date")  # a row a day
         .join(p, (s["product_id"] == p["product_id"]) & s["sale_date"].between(F.col("p0"), F.col("p1")))
         .join(t, (s["store_id"] == t["store_id"]) & s["sale_date"].between(F.col("t0"), F.col("t1")))
         .drop(p["product_id"], t["store_id"])

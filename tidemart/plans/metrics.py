@@ -46,7 +46,7 @@ def star(w: Warehouse, *with_: str) -> DataFrame:
     products = w["dim_product"].select("product_key", "product_id", "product_name", "category", "sub_category")
     customers = w["dim_customer"].select("customer_key", "customer_segment", "customer_value_tier", "recency_segment", "region", "country", "state", "city")
     out = w["fact_sales"]
-    for name, df in (("date", dates), ("product", products), ("customer", customers)):
+    for name, df in (("date", F.broadcast(dates)), ("product", products), ("customer", customers)):
         if not with_ or name in with_:
             out = out.join(df, f"{name}_key", "left")
     return out
