@@ -246,3 +246,12 @@ def test_days_are_broadcast_and_products_of_large_tables_are_not(spark, sf_dir,
     assert not {"unit_price", "product_family"} & set(w["dim_product"].columns) and "store_name" not in w["dim_store"].columns
     for name in ("drill_down_dates", "drill_down_places", "top_products", "bottom_products"):
         same_as_sql(queries.QUERIES[name](spark, sf_dir), duck, queries.ORACLES[name])
+
+
+def test_the_daily_table_writes_no_fact(spark, sf_dir, duck, tmp_path, monkeypatch):
+    """Of large tables too: days are summed as sales get their keys, and customers are neither made nor told apart."""
+    monkeypatch.setattr(adapter, "SLICE_BYTES", adapter.size_of(adapter.table(spark, sf_dir, "lineitem")) // 3 + 1)
+    monkeypatch.setitem(scratch._owned, spark.sparkContext.applicationId, [f"file://{tmp_path}"])
+    same_as_sql(queries.QUERIES["fact_sales_daily"](spark, sf_dir), duck, queries.ORACLES["fact_sales_daily"])
+    found = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert not {"fact", "customer_key"} & set(found) and found.count("ranges") == 2 + 3  # two dimensions, three slices

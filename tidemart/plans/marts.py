@@ -299,9 +299,22 @@ def fact_sales_daily(fact: DataFrame) -> DataFrame:
     return ranged_keys(daily_unkeyed(fact), "daily_sales_key", ["date_key", "product_key", "store_key"])
 
 
-def daily_unkeyed(fact: DataFrame) -> DataFrame:
+def daily_of_sales(*tables: DataFrame, slices: list[Column]) -> DataFrame:
+    """``fact_sales_daily`` straight from sales with their keys: the fact, whose rows it only sums, is neither numbered nor written.
+
+    A group lies within a day, so each range of days in ``slices`` is joined, summed and written by itself.
+    """
+    sales = sales_with_keys(*tables).withColumns(amounts()).withColumns(derived()).withColumns(measures())
+    daily = daily_unkeyed(sales, "sale_date", one_customer=True)
+    return ranged_keys(daily, "daily_sales_key", ["date_key", "product_key", "store_key"], slices, without=("sale_date",))
+
+
+def daily_unkeyed(fact: DataFrame, *also: str, one_customer: bool = False) -> DataFrame:
+    """``also``: columns that follow from the day. ``one_customer``: stores are customers, so that a store has one at most and
+    nothing is dealt to tell customers apart."""
+    customers = F.max(F.col("customer_key").isNotNull().cast("long")) if one_customer else F.countDistinct("customer_key")
     yes = lambda x, *v: F.count_if(F.col(x).isin(*v))
-    by = fact.groupBy("date_key", "product_key", "store_key").agg(
+    by = fact.groupBy("date_key", "product_key", "store_key", *also).agg(
         F.count("*").alias("transaction_count"),
         F.sum("quantity_sold").alias("total_quantity_sold"),
         c.money_sum("gross_sales_amount").alias("total_gross_sales"),
@@ -311,7 +324,7 @@ def daily_unkeyed(fact: DataFrame) -> DataFrame:
         c.money_sum("profit_amount").alias("total_profit_amount"),
         c.money_avg("net_sales_amount").alias("avg_transaction_size"),
         c.fraction_avg("profit_margin_pct").alias("avg_profit_margin_pct"),
-        F.countDistinct("customer_key").alias("unique_customers"),
+        customers.alias("unique_customers"),
         F.count_if(F.col("discount_pct") > 0).alias("discounted_transactions"),
         yes("transaction_size_category", "LARGE", "EXTRA_LARGE").alias("large_transactions"),
         yes("quantity_category", "BULK_PURCHASE").alias("bulk_purchases"),
@@ -328,7 +341,7 @@ def daily_unkeyed(fact: DataFrame) -> DataFrame:
     peak = F.when(part("AFTERNOON") == most, "AFTERNOON").when(part("EVENING") == most, "EVENING").when(part("MORNING") == most, "MORNING").otherwise("NIGHT")
     pct = lambda x: c.percent_of(x, "transaction_count")
     return by.where((F.col("transaction_count") >= 1) & (F.col("avg_data_quality_score") >= 70)).select(
-        "date_key", "product_key", "store_key", "transaction_count", "total_quantity_sold", "total_gross_sales",
+        "date_key", "product_key", "store_key", *also, "transaction_count", "total_quantity_sold", "total_gross_sales",
         "total_discount_amount", "total_net_sales", "total_cost_amount", "total_profit_amount", "avg_transaction_size",
         "avg_profit_margin_pct", "unique_customers",
         "discounted_transactions", pct("discounted_transactions").alias("discount_penetration_pct"),
