@@ -10,9 +10,10 @@ from conftest import rows_of, same_as_sql
 from tidemart import busy, queries
 from tidemart.operators import ranges, silver as ops
 from tidemart.operators.keys import ranged_keys
+from tidemart.operators.merge import merge_rows
 from tidemart.plans import marts, registry, staging, suites
 from tidemart.plans.registry import Warehouse
-from tidemart.sources import adapter, scratch
+from tidemart.sources import adapter, partitioned, scratch
 
 
 @pytest.fixture
@@ -255,3 +256,15 @@ def test_the_daily_table_writes_no_fact(spark, sf_dir, duck, tmp_path, monkeypat
     same_as_sql(queries.QUERIES["fact_sales_daily"](spark, sf_dir), duck, queries.ORACLES["fact_sales_daily"])
     found = [p.name.split("-")[0] for p in tmp_path.iterdir()]
     assert not {"fact", "customer_key"} & set(found) and found.count("ranges") == 2 + 3  # two dimensions, three slices
+
+
+def test_large_merges_go_some_buckets_at_a_time(spark, sf_dir, duck, tmp_path, monkeypatch):
+    """Lines are made a range of orders at a time, nothing merged is written twice, and no slice stays."""
+    monkeypatch.setattr(adapter, "SLICE_BYTES", adapter.size_of(adapter.table(spark, sf_dir, "lineitem")) // 3 + 1)
+    monkeypatch.setattr(partitioned, "AT_ONCE", 1)
+    monkeypatch.setitem(scratch._owned, spark.sparkContext.applicationId, [f"file://{tmp_path}"])
+    labels, write, merge = [], scratch.stored_parts, []
+    monkeypatch.setattr(scratch, "stored_parts", lambda parts, label, root=None: labels.append(label) or write(parts, label, root))
+    monkeypatch.setattr(partitioned, "merge_rows", lambda *a, **k: merge.append(0) or merge_rows(*a, **k))
+    same_as_sql(queries.QUERIES["silver_merge"](spark, sf_dir), duck, queries.ORACLES["silver_merge"])
+    assert labels == ["rows"] * 3 and len(merge) == 8
