@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemart import busy
 from tidemart.operators import merge
-from tidemart.plans import marts
+from tidemart.plans import incremental, marts
 from tidemart.plans.incremental import Gold
 from tidemart.sources.partitioned import PartitionedTable
 from tidemart.sources.scratch import stored
@@ -77,3 +77,17 @@ def test_the_fixture_reaches_every_branch(spark, sf_dir):
     daily = busy.REGISTERED["busy_sales_daily"][0](spark, sf_dir)
     most = daily.agg(F.max("transaction_count").alias("n"), F.max("streaming_transactions").alias("s"), F.max("batch_transactions").alias("b")).first()
     assert most.n > 1 and most.s > 0 and most.b > 0
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """A key may hold all rows; few keys are broadcast, and many never."""
+    table = PartitionedTable(spark, f"file://{tmp_path}/t", ("k",), 4)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "65536")
+    try:
+        table.create(spark.range(0, 50_000, 1, 8).select(F.lit("a").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list(tmp_path.glob("t/bucket=*"))) == 1 and len(list(tmp_path.glob("t/bucket=*/*.parquet"))) > 1
+    table.replace(table.met(table.read()), table.read().where("v < '8'"))
+    assert 0 < table.read().count() < 50_000 and table.read().where("v >= '8'").isEmpty()
+    assert "broadcast" in incremental.few(table.read().select("k").distinct())._jdf.queryExecution().analyzed().toString()
